@@ -60,3 +60,226 @@ FEEDBACK_COLS = "id, text, text_hash, model_score, user_feedback, model_version,
 SQL: dict[str, str] = {}
 
 SQL["clean_feedback"] = with_ctes(FE, DEDUP, CLEAN) + f"SELECT {FEEDBACK_COLS} FROM clean"
+
+# ------------------------------------------------------------------ more CTEs
+
+STALE = """
+stale AS (
+  SELECT id, text, text_hash, model_score, user_feedback, model_version, event_timestamp,
+         CASE WHEN model_version = 'm1' THEN NULL WHEN model_version = 'm2' THEN 0.25
+              ELSE target_score END::DOUBLE AS target_score
+  FROM fe
+)"""
+
+PRED = """
+pred AS (
+  SELECT id, model_version, text, event_timestamp, target_score AS y_true, model_score AS y_pred FROM fe
+)"""
+
+MAP_TARGET = """CASE WHEN user_feedback = 'human' THEN 0.0 WHEN user_feedback = 'human_edited_ai' THEN 0.5
+                     WHEN user_feedback = 'ai' THEN 1.0 END::DOUBLE"""
+
+BAND = """CASE WHEN {s} IS NULL OR isnan({s}) THEN NULL WHEN {s} < 0.35 THEN '{lo}'
+               WHEN {s} <= 0.65 THEN 'Human-edited AI' ELSE '{hi}' END"""
+
+PAT = r" ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
+
+TRAIN = """
+tset AS (
+  SELECT d.doc_id, d.source, d.text, l.target_score AS label
+  FROM documents d LEFT JOIN (SELECT text_hash, target_score FROM dd) l ON sha256(d.text) = l.text_hash
+)"""
+
+ROWHASH = """CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(text AS VARCHAR), '\\N'),
+                  coalesce(CAST(label AS VARCHAR), '\\N'))), 1, 8))::BIGINT AS DECIMAL(20,0))"""
+
+DSR = f"""
+dsr AS (
+  SELECT source AS dataset_run_id,
+         CAST(CAST(sum({ROWHASH}) AS DECIMAL(38,0)) AS VARCHAR) AS dataset_checksum,
+         CAST(count(*) AS DOUBLE) AS num_rows,
+         avg(CASE WHEN NOT isnan(label) THEN label END) AS label_mean,
+         stddev_samp(CASE WHEN NOT isnan(label) THEN label END) AS label_std,
+         min(CASE WHEN NOT isnan(label) THEN label END) AS label_min,
+         max(CASE WHEN NOT isnan(label) THEN label END) AS label_max
+  FROM tset GROUP BY source
+)"""
+
+MR = """
+mr AS (
+  SELECT 'run' || CAST(n.n_nationkey AS VARCHAR) AS run_id,
+         'src' || CAST(n.n_nationkey AS VARCHAR) AS dataset_run_id,
+         CASE WHEN n.n_nationkey % 5 = 0 OR d.dataset_checksum IS NULL
+              THEN md5('src' || CAST(n.n_nationkey AS VARCHAR)) ELSE d.dataset_checksum END AS dataset_checksum
+  FROM nation n LEFT JOIN dsr d ON d.dataset_run_id = 'src' || CAST(n.n_nationkey AS VARCHAR)
+)"""
+
+AS_OF = "TIMESTAMP '2024-02-01 00:00:00'"
+
+PREV = f"""
+prev_fe AS (SELECT * FROM fe WHERE event_timestamp < TIMESTAMP '2024-01-16 00:00:00'),
+prev_dd AS (
+  SELECT * FROM prev_fe WHERE coalesce(length(text) BETWEEN 5 AND 1000, false)
+  QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp DESC NULLS FIRST, id DESC) = 1
+),
+prev_clean AS (
+  SELECT * FROM prev_dd WHERE coalesce(lang = 'en', false) AND {CONSISTENT}
+    AND target_score IS NOT NULL AND NOT isnan(target_score)
+),
+hist AS (SELECT TIMESTAMP '2024-01-16 00:00:00' AS run_ts, avg(CASE WHEN NOT isnan(model_score) THEN model_score END) AS mean_score FROM prev_clean),
+base AS (SELECT max_by(mean_score, run_ts) AS b FROM hist)"""
+
+F_ = with_ctes(FE)
+SQL["scan_feedback"] = F_ + f"SELECT {FEEDBACK_COLS} FROM fe"
+SQL["text_hash"] = "SELECT doc_id, sha256(text) AS text_hash FROM documents"
+SQL["target_score"] = F_ + f"SELECT id, user_feedback, {MAP_TARGET} AS target_score FROM fe"
+SQL["target_backfill"] = with_ctes(FE, STALE) + f"SELECT id, coalesce(target_score, {MAP_TARGET}) AS target_score FROM stale"
+SQL["target_remap"] = with_ctes(FE, STALE) + f"""
+SELECT id, CASE WHEN (SELECT coalesce(max(CASE WHEN target_score IS NULL OR isnan(target_score) THEN 1 ELSE 0 END), 0) FROM stale) = 1
+                THEN {MAP_TARGET} ELSE target_score END AS target_score FROM stale"""
+SQL["score_band"] = with_ctes(FE, PRED) + "SELECT id, y_pred, " + BAND.format(
+    s="y_pred", lo="Human-written", hi="AI-generated") + " AS band FROM pred"
+SQL["score_band_reversed"] = with_ctes(FE, PRED) + "SELECT id, y_pred, " + BAND.format(
+    s="y_pred", lo="AI-generated", hi="Human-written") + " AS band FROM pred"
+SQL["band_to_feedback"] = with_ctes(FE, PRED) + """
+SELECT id, band,
+       CASE WHEN band = 'Human-written' THEN 'human' WHEN band = 'Human-edited AI' THEN 'human_edited_ai'
+            WHEN band = 'AI-generated' THEN 'ai' END AS feedback,
+       printf('%.3f', y_pred) AS score_shown
+FROM (SELECT id, y_pred, """ + BAND.format(s="y_pred", lo="Human-written", hi="AI-generated") + " AS band FROM pred) b"
+SQL["residuals"] = with_ctes(FE, PRED) + "SELECT id, round(y_true - y_pred, 9) AS residual, round(abs(y_true - y_pred), 9) AS abs_error FROM pred"
+SQL["token_length"] = f"SELECT doc_id, CAST(len(regexp_extract_all(text, '{PAT}')) + 2 AS INTEGER) AS token_length FROM documents"
+SQL["truncated_length"] = f"SELECT doc_id, CAST(length(array_to_string(list_slice(regexp_extract_all(text, '{PAT}'), 1, 510), '')) AS INTEGER) AS truncated_length FROM documents"
+
+SQL["gate_language"] = F_ + "SELECT id, text_hash FROM fe WHERE coalesce(lang = 'en', false)"
+SQL["gate_length"] = F_ + "SELECT id, text_hash FROM fe WHERE coalesce(length(text) BETWEEN 5 AND 1000, false)"
+SQL["gate_consistency"] = F_ + f"SELECT id, text_hash FROM fe WHERE {CONSISTENT}"
+SQL["gate_target"] = with_ctes(FE, STALE) + "SELECT id, text_hash FROM stale WHERE target_score IS NOT NULL AND NOT isnan(target_score)"
+SQL["clean_feedback_remap"] = with_ctes(FE, DEDUP) + f""",
+c AS (SELECT * FROM dd WHERE coalesce(lang = 'en', false) AND coalesce(length(text) BETWEEN 5 AND 1000, false) AND {CONSISTENT})
+SELECT id, text, text_hash, model_score, user_feedback, model_version, event_timestamp,
+       CASE WHEN (SELECT coalesce(max(CASE WHEN target_score IS NULL OR isnan(target_score) THEN 1 ELSE 0 END), 0) FROM c) = 1
+            THEN {MAP_TARGET} ELSE target_score END AS target_score, lang
+FROM c"""
+SQL["dedup_latest"] = with_ctes(FE, DEDUP) + "SELECT id, text_hash, event_timestamp FROM dd"
+SQL["duplicate_flag"] = F_ + """SELECT id, row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp ASC NULLS LAST, id ASC) > 1 AS is_duplicate FROM fe"""
+SQL["funnel_report"] = with_ctes(FE, DEDUP) + f""",
+s AS (
+  SELECT (SELECT count(*) FROM fe) AS initial_rows,
+         count(*) AS after_dedup,
+         count(*) FILTER (WHERE coalesce(lang = 'en', false)) AS after_language,
+         count(*) FILTER (WHERE coalesce(lang = 'en', false) AND coalesce(length(text) BETWEEN 5 AND 1000, false)) AS after_length,
+         count(*) FILTER (WHERE coalesce(lang = 'en', false) AND coalesce(length(text) BETWEEN 5 AND 1000, false) AND {CONSISTENT}) AS after_consistency,
+         count(*) FILTER (WHERE coalesce(lang = 'en', false) AND coalesce(length(text) BETWEEN 5 AND 1000, false) AND {CONSISTENT}
+                                AND target_score IS NOT NULL AND NOT isnan(target_score)) AS after_target
+  FROM dd
+)
+SELECT CAST(initial_rows AS BIGINT) AS initial_rows, CAST(after_dedup AS BIGINT) AS after_dedup,
+       CAST(after_language AS BIGINT) AS after_language, CAST(after_length AS BIGINT) AS after_length,
+       CAST(after_consistency AS BIGINT) AS after_consistency, CAST(after_target AS BIGINT) AS after_target,
+       CAST(initial_rows - after_dedup AS BIGINT) AS removed_dedup,
+       CAST(after_dedup - after_language AS BIGINT) AS removed_language,
+       CAST(after_language - after_length AS BIGINT) AS removed_length,
+       CAST(after_length - after_consistency AS BIGINT) AS removed_consistency,
+       CAST(after_consistency - after_target AS BIGINT) AS removed_target,
+       round(CASE WHEN initial_rows = 0 THEN NULL ELSE after_target * 100.0 / initial_rows END, 6) AS retention_pct
+FROM s"""
+
+_DL_COLS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
+SQL["null_ratio"] = """
+WITH dl AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
+            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, round(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END), 6) AS null_ratio, "
+    f"coalesce(avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) > 0.01, false) AS too_many FROM dl" for c in _DL_COLS)
+SQL["duplicate_ratio"] = F_ + """
+SELECT CAST(sum(n) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS groups,
+       round(CAST(sum(n) - count(*) AS DOUBLE) / sum(n), 6) AS duplicate_ratio
+FROM (SELECT text_hash, count(*) AS n FROM fe GROUP BY text_hash) g"""
+SQL["label_distribution"] = F_ + """
+SELECT target_score AS label, CAST(count(*) AS BIGINT) AS n,
+       round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM fe WHERE target_score IS NOT NULL AND NOT isnan(target_score)), 6) AS share
+FROM fe WHERE target_score IS NOT NULL AND NOT isnan(target_score) GROUP BY target_score"""
+MISMATCH = """coalesce(((user_feedback = 'human' AND model_score > 0.8) OR (user_feedback = 'ai' AND model_score < 0.2))
+                    AND NOT isnan(model_score), false)"""
+SQL["alignment_ratio"] = F_ + f"SELECT round(avg(CASE WHEN {MISMATCH} THEN 1.0 ELSE 0.0 END), 6) AS mismatch_ratio FROM fe"
+AGE = f"(epoch_us({AS_OF}) - epoch_us(event_timestamp)) / 86400e6"
+SQL["freshness"] = F_ + f"SELECT round(avg({AGE}), 6) AS avg_age_days FROM fe"
+INRANGE = "coalesce(target_score BETWEEN 0.0 AND 1.0 AND NOT isnan(target_score), false)"
+SQL["target_range"] = with_ctes(FE, STALE) + f"""
+SELECT coalesce(bool_and({INRANGE}), true) AS target_in_range,
+       CAST(count(*) FILTER (WHERE NOT {INRANGE}) AS BIGINT) AS n_out_of_range FROM stale"""
+SQL["score_drift"] = with_ctes(FE, DEDUP, CLEAN) + "," + PREV.lstrip() + """
+SELECT round((SELECT b FROM base), 6) AS previous_mean, round(avg(model_score), 6) AS current_mean,
+       round(abs(avg(model_score) - (SELECT b FROM base)), 6) AS drift,
+       CASE WHEN (SELECT b FROM base) IS NULL THEN 'info'
+            WHEN abs(avg(model_score) - (SELECT b FROM base)) > 0.2 THEN 'warn' ELSE 'pass' END AS status
+FROM clean"""
+SQL["validation_report"] = with_ctes(FE, DEDUP, CLEAN) + "," + PREV.lstrip() + f""",
+g AS (
+  SELECT CAST(count(*) AS DOUBLE) AS c2,
+         greatest(avg(CASE WHEN id IS NULL THEN 1.0 ELSE 0.0 END), avg(CASE WHEN text IS NULL THEN 1.0 ELSE 0.0 END),
+                  avg(CASE WHEN text_hash IS NULL THEN 1.0 ELSE 0.0 END),
+                  avg(CASE WHEN model_score IS NULL OR isnan(model_score) THEN 1.0 ELSE 0.0 END),
+                  avg(CASE WHEN user_feedback IS NULL THEN 1.0 ELSE 0.0 END), avg(CASE WHEN model_version IS NULL THEN 1.0 ELSE 0.0 END),
+                  avg(CASE WHEN event_timestamp IS NULL THEN 1.0 ELSE 0.0 END),
+                  avg(CASE WHEN target_score IS NULL OR isnan(target_score) THEN 1.0 ELSE 0.0 END),
+                  avg(CASE WHEN lang IS NULL THEN 1.0 ELSE 0.0 END)) AS c3,
+         avg(CASE WHEN {MISMATCH} THEN 1.0 ELSE 0.0 END) AS c7,
+         avg({AGE}) AS c8,
+         CAST(min(CASE WHEN {INRANGE} THEN 1 ELSE 0 END) AS DOUBLE) AS c9,
+         abs(avg(CASE WHEN NOT isnan(model_score) THEN model_score END) - (SELECT b FROM base)) AS c10,
+         (SELECT b FROM base) IS NULL AS no_baseline
+  FROM clean
+),
+dup AS (SELECT CAST(sum(n) - count(*) AS DOUBLE) / sum(n) AS c4 FROM (SELECT text_hash, count(*) n FROM clean GROUP BY text_hash) x),
+lab AS (SELECT max(share) AS c5, CAST(count(*) AS DOUBLE) AS c6 FROM (
+          SELECT round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clean WHERE target_score IS NOT NULL AND NOT isnan(target_score)), 6) AS share
+          FROM clean WHERE target_score IS NOT NULL AND NOT isnan(target_score) GROUP BY target_score) y),
+w AS (SELECT * FROM g, dup, lab),
+r AS (
+  SELECT 1 AS ord, 'required_columns' AS "check", 0.0::DOUBLE AS value, 0.0::DOUBLE AS limit_value, 'pass' AS status FROM w
+  UNION ALL SELECT 2, 'min_samples', c2, 100.0, CASE WHEN c2 < 100 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 3, 'null_ratio', c3, 0.01, CASE WHEN c3 > 0.01 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 4, 'duplicate_ratio', c4, 0.05, CASE WHEN c4 > 0.05 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 5, 'max_label_share', c5, 0.85, CASE WHEN c5 > 0.85 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 6, 'label_classes', c6, 2.0, CASE WHEN c6 < 2 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 7, 'feedback_mismatch', c7, 0.1, CASE WHEN c7 > 0.1 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 8, 'freshness_days', c8, 30.0, CASE WHEN c8 > 30 THEN 'warn' ELSE 'pass' END FROM w
+  UNION ALL SELECT 9, 'target_range', c9, 1.0, CASE WHEN coalesce(c9, 1.0) < 1 THEN 'fail' ELSE 'pass' END FROM w
+  UNION ALL SELECT 10, 'score_drift', c10, 0.2, CASE WHEN no_baseline THEN 'info' WHEN c10 > 0.2 THEN 'warn' ELSE 'pass' END FROM w
+)
+SELECT ord, "check", round(value, 6) AS value, limit_value, status,
+       CASE WHEN ord > coalesce(min(CASE WHEN status = 'fail' THEN ord END) OVER (), 99) THEN 'not_run' ELSE status END AS outcome
+FROM r"""
+
+SQL["audit_basic"] = with_ctes(FE, DEDUP, TRAIN) + """
+SELECT CAST(count(*) AS BIGINT) AS num_rows, CAST(count(*) FILTER (WHERE text IS NULL) AS BIGINT) AS num_null_text,
+       CAST(count(*) FILTER (WHERE label IS NULL OR isnan(label)) AS BIGINT) AS num_null_labels FROM tset"""
+SQL["audit_labels"] = with_ctes(FE, DEDUP, TRAIN) + """
+SELECT round(avg(x), 6) AS label_mean, round(stddev_samp(x), 6) AS label_std, round(min(x), 6) AS label_min,
+       round(max(x), 6) AS label_max, round(median(x), 6) AS label_median
+FROM (SELECT CASE WHEN NOT isnan(label) THEN label END AS x FROM tset) t"""
+SQL["audit_tokens"] = with_ctes(FE, DEDUP, TRAIN) + f"""
+SELECT round(avg(n), 6) AS token_len_mean, round(stddev_pop(n), 6) AS token_len_std,
+       round(quantile_cont(n, 0.95), 6) AS token_len_p95, round(quantile_cont(n, 0.99), 6) AS token_len_p99,
+       CAST(max(n) AS BIGINT) AS token_len_max, round(avg(CASE WHEN n > 512 THEN 1.0 ELSE 0.0 END), 6) AS pct_truncated
+FROM (SELECT len(regexp_extract_all(coalesce(text, 'nan'), '{PAT}')) + 2 AS n FROM tset) t"""
+SQL["table_fingerprint"] = with_ctes(FE, DEDUP, TRAIN) + f"""
+SELECT source, CAST(count(*) AS BIGINT) AS num_rows, CAST(CAST(sum({ROWHASH}) AS DECIMAL(38,0)) AS VARCHAR) AS fingerprint
+FROM tset GROUP BY source"""
+SQL["lineage_join"] = with_ctes(FE, DEDUP, TRAIN, DSR, MR) + """,
+j AS (SELECT mr.run_id, mr.dataset_run_id, d.num_rows, d.label_mean, d.label_std, d.label_min, d.label_max,
+             d.dataset_run_id IS NOT NULL AS found
+      FROM mr LEFT JOIN dsr d ON mr.dataset_run_id = d.dataset_run_id)
+SELECT run_id, dataset_run_id, 'dataset_num_rows' AS param_key, round(num_rows, 6) AS param_value FROM j WHERE num_rows IS NOT NULL
+UNION ALL SELECT run_id, dataset_run_id, 'dataset_label_mean', round(label_mean, 6) FROM j WHERE label_mean IS NOT NULL
+UNION ALL SELECT run_id, dataset_run_id, 'dataset_label_std', round(label_std, 6) FROM j WHERE label_std IS NOT NULL
+UNION ALL SELECT run_id, dataset_run_id, 'dataset_label_min', round(label_min, 6) FROM j WHERE label_min IS NOT NULL
+UNION ALL SELECT run_id, dataset_run_id, 'dataset_label_max', round(label_max, 6) FROM j WHERE label_max IS NOT NULL
+UNION ALL SELECT run_id, dataset_run_id, NULL, NULL FROM j WHERE NOT found"""
+SQL["lineage_check"] = with_ctes(FE, DEDUP, TRAIN, DSR, MR) + """
+SELECT mr.run_id, mr.dataset_run_id, mr.dataset_checksum AS declared_checksum, d.dataset_checksum AS audited_checksum,
+       CASE WHEN d.dataset_checksum IS NULL THEN 'missing'
+            WHEN mr.dataset_checksum IS NOT DISTINCT FROM d.dataset_checksum THEN 'match' ELSE 'mismatch' END AS status
+FROM mr LEFT JOIN dsr d ON mr.dataset_run_id = d.dataset_run_id"""

@@ -30,3 +30,246 @@ def query(name: str):
 @query("clean_feedback")
 def q_clean_feedback(spark, sf_dir):
     return G.clean_feedback(FX.feedback_events(spark, sf_dir)).select(*FEEDBACK_COLS)
+
+
+# ---------------------------------------------------------------- common inputs
+
+AS_OF = "2024-02-01 00:00:00"          # fixed "now" for age checks
+PREVIOUS_RUN_CUT = "2024-01-16 00:00:00"  # the previous validation run saw rows before this
+
+
+def _fe(spark, sf_dir):
+    return FX.feedback_events(spark, sf_dir)
+
+
+def _stale_targets(spark, sf_dir):
+    """Feedback rows as a store may hold them: m1 rows lost their target,
+    m2 rows carry an old value."""
+    fe = FX.feedback_events(spark, sf_dir, with_lang=False)
+    t = (F.when(F.col("model_version") == "m1", F.lit(None).cast("double"))
+         .when(F.col("model_version") == "m2", F.lit(0.25))
+         .otherwise(F.col("target_score")))
+    return fe.withColumn("target_score", t)
+
+
+# ---------------------------------------------------------------- A, B: scans and scalars
+
+from scoreloop.functions import scalars as S  # noqa: E402
+from scoreloop.functions import tokens as TK  # noqa: E402
+from scoreloop.sources.tables import table  # noqa: E402
+
+
+@query("scan_feedback")
+def q_scan_feedback(spark, sf_dir):
+    return _fe(spark, sf_dir).select(*FEEDBACK_COLS)
+
+
+@query("text_hash")
+def q_text_hash(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", S.text_hash("text").alias("text_hash"))
+
+
+@query("target_score")
+def q_target_score(spark, sf_dir):
+    return _fe(spark, sf_dir).select("id", "user_feedback",
+                                     S.target_from_feedback("user_feedback").alias("target_score"))
+
+
+@query("target_backfill")
+def q_target_backfill(spark, sf_dir):
+    return G.target_backfill(_stale_targets(spark, sf_dir)).select("id", "target_score")
+
+
+@query("target_remap")
+def q_target_remap(spark, sf_dir):
+    return G.target_remap(_stale_targets(spark, sf_dir)).select("id", "target_score")
+
+
+@query("score_band")
+def q_score_band(spark, sf_dir):
+    p = FX.predictions(spark, sf_dir)
+    return p.select("id", "y_pred", S.score_band("y_pred").alias("band"))
+
+
+@query("score_band_reversed")
+def q_score_band_reversed(spark, sf_dir):
+    p = FX.predictions(spark, sf_dir)
+    return p.select("id", "y_pred", S.score_band("y_pred", reversed_polarity=True).alias("band"))
+
+
+@query("band_to_feedback")
+def q_band_to_feedback(spark, sf_dir):
+    p = FX.predictions(spark, sf_dir).select("id", "y_pred", S.score_band("y_pred").alias("band"))
+    return p.select("id", "band", S.band_to_feedback("band").alias("feedback"),
+                    S.score_display("y_pred").alias("score_shown"))
+
+
+@query("residuals")
+def q_residuals(spark, sf_dir):
+    p = FX.predictions(spark, sf_dir)
+    return p.select("id", F.round(S.residual(), 9).alias("residual"),
+                    F.round(S.abs_error(), 9).alias("abs_error"))
+
+
+@query("token_length")
+def q_token_length(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", TK.token_length("text").alias("token_length"))
+
+
+@query("truncated_length")
+def q_truncated_length(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id",
+                                                    TK.truncated_length("text").alias("truncated_length"))
+
+
+# ---------------------------------------------------------------- C, F: gates and windows
+
+@query("gate_language")
+def q_gate_language(spark, sf_dir):
+    return G.gate_language(_fe(spark, sf_dir)).select("id", "text_hash")
+
+
+@query("gate_length")
+def q_gate_length(spark, sf_dir):
+    return G.gate_length(_fe(spark, sf_dir)).select("id", "text_hash")
+
+
+@query("gate_consistency")
+def q_gate_consistency(spark, sf_dir):
+    return G.gate_consistency(_fe(spark, sf_dir)).select("id", "text_hash")
+
+
+@query("gate_target")
+def q_gate_target(spark, sf_dir):
+    return G.gate_target(_stale_targets(spark, sf_dir)).select("id", "text_hash")
+
+
+@query("clean_feedback_remap")
+def q_clean_feedback_remap(spark, sf_dir):
+    return G.clean_feedback(_fe(spark, sf_dir), variant="remap").select(*FEEDBACK_COLS)
+
+
+@query("dedup_latest")
+def q_dedup_latest(spark, sf_dir):
+    return G.dedup_latest(_fe(spark, sf_dir)).select("id", "text_hash", "event_timestamp")
+
+
+@query("duplicate_flag")
+def q_duplicate_flag(spark, sf_dir):
+    return G.duplicate_flag(_fe(spark, sf_dir)).select("id", "is_duplicate")
+
+
+@query("funnel_report")
+def q_funnel_report(spark, sf_dir):
+    return G.funnel_report(_fe(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- E: validation
+
+from scoreloop.operators import validate as V  # noqa: E402
+
+
+def _docs_labels(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    lab = table(spark, sf_dir, "labels")
+    return d.join(lab, "doc_id", "left")
+
+
+def _previous_history(spark, sf_dir):
+    prev = G.clean_feedback(_fe(spark, sf_dir).filter(F.col("event_timestamp") < F.lit(PREVIOUS_RUN_CUT)
+                                                       .cast("timestamp_ntz")))
+    return V.drift_entry(prev, PREVIOUS_RUN_CUT)
+
+
+@query("null_ratio")
+def q_null_ratio(spark, sf_dir):
+    return V.null_ratio(_docs_labels(spark, sf_dir))
+
+
+@query("duplicate_ratio")
+def q_duplicate_ratio(spark, sf_dir):
+    d = V.duplicate_stats(_fe(spark, sf_dir))
+    return d.select("rows", "groups", F.round("duplicate_ratio", 6).alias("duplicate_ratio"))
+
+
+@query("label_distribution")
+def q_label_distribution(spark, sf_dir):
+    return V.label_distribution(_fe(spark, sf_dir))
+
+
+@query("alignment_ratio")
+def q_alignment_ratio(spark, sf_dir):
+    return _fe(spark, sf_dir).agg(F.round(F.avg(V.mismatch().cast("double")), 6).alias("mismatch_ratio"))
+
+
+@query("freshness")
+def q_freshness(spark, sf_dir):
+    return _fe(spark, sf_dir).agg(
+        F.round(F.avg(S.age_days("event_timestamp", AS_OF)), 6).alias("avg_age_days"))
+
+
+@query("target_range")
+def q_target_range(spark, sf_dir):
+    df = _stale_targets(spark, sf_dir)
+    return df.agg(F.coalesce(F.min(V.in_range()), F.lit(True)).alias("target_in_range"),
+                  F.count_if(~V.in_range()).cast("long").alias("n_out_of_range"))
+
+
+@query("score_drift")
+def q_score_drift(spark, sf_dir):
+    cur = G.clean_feedback(_fe(spark, sf_dir))
+    baseline = V.latest_baseline(_previous_history(spark, sf_dir))
+    m = cur.agg(F.avg("model_score").alias("current_mean"))
+    drift = F.abs(F.col("current_mean") - baseline)
+    return m.select(F.round(baseline, 6).alias("previous_mean"), F.round("current_mean", 6).alias("current_mean"),
+                    F.round(drift, 6).alias("drift"),
+                    F.when(baseline.isNull(), "info").when(drift > 0.2, "warn").otherwise("pass").alias("status"))
+
+
+@query("validation_report")
+def q_validation_report(spark, sf_dir):
+    cur = G.clean_feedback(_fe(spark, sf_dir))
+    return V.validation_report(cur, AS_OF, _previous_history(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- E9, E10, A6, D2, D3: audit and lineage
+
+from scoreloop.operators import audit as AU  # noqa: E402
+
+
+@query("audit_basic")
+def q_audit_basic(spark, sf_dir):
+    return AU.audit_basic(FX.training_set(spark, sf_dir))
+
+
+@query("audit_labels")
+def q_audit_labels(spark, sf_dir):
+    return AU.audit_labels(FX.training_set(spark, sf_dir))
+
+
+@query("audit_tokens")
+def q_audit_tokens(spark, sf_dir):
+    return AU.audit_tokens(FX.training_set(spark, sf_dir))
+
+
+@query("table_fingerprint")
+def q_table_fingerprint(spark, sf_dir):
+    return AU.table_fingerprint(FX.training_set(spark, sf_dir), ["text", "label"], by="source")
+
+
+@query("file_checksum")
+def q_file_checksum(spark, sf_dir):
+    return AU.file_checksums(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "size_bytes", "sha256")
+
+
+@query("lineage_join")
+def q_lineage_join(spark, sf_dir):
+    j = AU.lineage_join(FX.model_runs(spark, sf_dir), FX.dataset_runs(spark, sf_dir))
+    return j.select("run_id", "dataset_run_id", F.explode_outer("params").alias("param_key", "param_value")) \
+        .withColumn("param_value", F.round("param_value", 6))
+
+
+@query("lineage_check")
+def q_lineage_check(spark, sf_dir):
+    return AU.lineage_check(FX.model_runs(spark, sf_dir), FX.dataset_runs(spark, sf_dir))
