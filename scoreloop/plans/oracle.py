@@ -283,3 +283,178 @@ SELECT mr.run_id, mr.dataset_run_id, mr.dataset_checksum AS declared_checksum, d
        CASE WHEN d.dataset_checksum IS NULL THEN 'missing'
             WHEN mr.dataset_checksum IS NOT DISTINCT FROM d.dataset_checksum THEN 'match' ELSE 'mismatch' END AS status
 FROM mr LEFT JOIN dsr d ON mr.dataset_run_id = d.dataset_run_id"""
+
+
+# ------------------------------------------------------------------ evaluation, runs, splits
+
+EVAL = with_ctes(FE, PRED)
+ACT = "coalesce(y_true >= 0.5 AND NOT isnan(y_true), false)"
+
+
+def _pred_at(t):
+    return f"coalesce(y_pred >= {t} AND NOT isnan(y_pred), false)"
+
+
+SQL["regression_metrics"] = EVAL + """
+SELECT model_version, CAST(count(*) AS BIGINT) AS n, round(avg(abs(y_true - y_pred)), 6) AS mae,
+       round(avg((y_true - y_pred) * (y_true - y_pred)), 6) AS mse,
+       round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 6) AS rmse,
+       round(avg((y_true - y_pred) * (y_true - y_pred)), 6) AS ref_rmse
+FROM pred GROUP BY model_version"""
+SQL["confusion_matrix"] = EVAL + "\nUNION ALL\n".join(
+    f"SELECT {t} AS threshold, {a} AS actual, {p} AS predicted, "
+    f"CAST(count(*) FILTER (WHERE {'' if a else 'NOT '}{ACT} AND {'' if p else 'NOT '}{_pred_at(t)}) AS BIGINT) AS n FROM pred"
+    for t in (0.3, 0.5, 0.7) for a in (0, 1) for p in (0, 1))
+_BANDS = [(0.0, 0.35), (0.35, 0.65), (0.65, 1.0)]
+SQL["band_metrics"] = EVAL + """, b AS (""" + "\nUNION ALL\n".join(
+    f"SELECT '{lo:.2f}-{hi:.2f}' AS range, "
+    f"count(*) FILTER (WHERE coalesce(y_pred BETWEEN {lo} AND {hi} AND NOT isnan(y_pred), false) AND {ACT}) AS tp, "
+    f"count(*) FILTER (WHERE coalesce(y_pred BETWEEN {lo} AND {hi} AND NOT isnan(y_pred), false) AND NOT {ACT}) AS fp, "
+    f"count(*) FILTER (WHERE NOT coalesce(y_pred BETWEEN {lo} AND {hi} AND NOT isnan(y_pred), false) AND {ACT}) AS fn FROM pred"
+    for lo, hi in _BANDS) + """)
+SELECT range, round(CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END, 9) AS precision,
+       round(CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END, 9) AS recall,
+       CAST(fp AS BIGINT) AS false_positives, CAST(fn AS BIGINT) AS false_negatives, CAST(tp AS BIGINT) AS true_positives
+FROM b"""
+SQL["residual_histogram"] = EVAL + """,
+r AS (SELECT y_true - y_pred AS r FROM pred WHERE y_true - y_pred IS NOT NULL AND NOT isnan(y_true - y_pred)),
+st AS (SELECT min(r) AS lo, max(r) AS hi, (max(r) - min(r)) / 30 AS w FROM r),
+c AS (SELECT CAST(CASE WHEN st.w = 0 THEN 0 ELSE least(floor((r.r - st.lo) / st.w), 29) END AS INTEGER) AS bin, count(*) AS n
+      FROM r, st GROUP BY 1),
+g AS (SELECT CAST(unnest(range(0, 30)) AS INTEGER) AS bin FROM st WHERE lo IS NOT NULL)
+SELECT g.bin, round(st.lo + g.bin * st.w, 9) AS bin_lo, round(st.lo + (g.bin + 1) * st.w, 9) AS bin_hi,
+       CAST(coalesce(c.n, 0) AS BIGINT) AS n
+FROM g CROSS JOIN st LEFT JOIN c ON g.bin = c.bin"""
+SQL["residual_density"] = EVAL + """,
+r AS (SELECT y_true - y_pred AS r FROM pred WHERE y_true - y_pred IS NOT NULL AND NOT isnan(y_true - y_pred)),
+st AS (SELECT min(r) AS lo, max(r) AS hi, count(*) AS n, stddev_samp(r) * pow(CAST(count(*) AS DOUBLE), -0.2) AS h FROM r),
+v AS (SELECT r, CAST(count(*) AS DOUBLE) AS c FROM r GROUP BY r),
+g AS (SELECT unnest(range(0, 200)) AS k FROM st WHERE h > 0 AND hi > lo)
+SELECT CAST(g.k AS INTEGER) AS grid_index, round(st.lo + g.k * (st.hi - st.lo) / 199, 9) AS x,
+       round(sum(v.c * exp(-pow((st.lo + g.k * (st.hi - st.lo) / 199 - v.r) / st.h, 2) / 2)) / (st.n * st.h * sqrt(2 * pi())), 6) AS density
+FROM g CROSS JOIN st CROSS JOIN v GROUP BY g.k, st.lo, st.hi, st.n, st.h"""
+SQL["calibration"] = EVAL + """
+SELECT CAST(least(floor(y_pred * 10), 9) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n,
+       round(avg(y_pred), 6) AS mean_pred, round(avg(y_true), 6) AS mean_actual
+FROM pred WHERE y_pred IS NOT NULL AND NOT isnan(y_pred) AND y_true IS NOT NULL AND NOT isnan(y_true) GROUP BY 1"""
+SQL["error_by_length"] = EVAL + f"""
+SELECT CAST(floor(len / 100) * 100 AS BIGINT) AS length_bin, CAST(count(*) AS BIGINT) AS n,
+       round(avg(err), 6) AS mean_error, round(max(err), 6) AS max_error
+FROM (SELECT length(array_to_string(list_slice(regexp_extract_all(text, '{PAT}'), 1, 510), '')) AS len,
+             abs(y_true - y_pred) AS err FROM pred) t GROUP BY 1"""
+
+LL = """
+ll AS (SELECT 'r' || CAST(event_id % 7 AS VARCHAR) AS run_id, 'val' AS phase, (event_id // 7) // 50 AS epoch,
+              event_id // 7 AS step, value AS loss FROM events),
+ep AS (SELECT run_id, phase, epoch, avg(loss) AS epoch_loss, sum(loss) AS loss_sum, count(loss) AS steps
+       FROM ll GROUP BY run_id, phase, epoch)"""
+FIN = "(NOT isnan(m) AND abs(m) != 'inf'::DOUBLE)"
+ES = f"""
+es1 AS (SELECT run_id, epoch, epoch_loss AS m,
+               min(epoch_loss) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb
+        FROM ep),
+es2 AS (SELECT *, coalesce(m < pb, true) AND {FIN} AS improved FROM es1),
+es3 AS (SELECT *, sum(CASE WHEN improved THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS island FROM es2),
+es4 AS (SELECT *, row_number() OVER (PARTITION BY run_id, island ORDER BY epoch) - 1 AS wait FROM es3),
+es AS (SELECT run_id, min(CASE WHEN wait >= 2 OR NOT {FIN} THEN epoch END) AS stop_epoch,
+              CAST(count(*) AS BIGINT) AS epochs_seen FROM es4 GROUP BY run_id)"""
+SQL["epoch_loss"] = "WITH" + LL + "\nSELECT run_id, phase, epoch, round(epoch_loss, 9) AS epoch_loss, CAST(steps AS BIGINT) AS steps FROM ep"
+SQL["running_loss"] = "WITH" + LL + """
+SELECT run_id, phase, epoch,
+       round(sum(loss_sum) OVER w / sum(steps) OVER w, 9) AS running_loss
+FROM ep WINDOW w AS (PARTITION BY run_id, phase ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
+SQL["early_stop"] = "WITH" + LL + "," + ES + "\nSELECT run_id, stop_epoch, epochs_seen FROM es"
+SQL["best_checkpoint"] = "WITH" + LL + "," + ES + """,
+b AS (SELECT ep.run_id, ep.epoch, ep.epoch_loss,
+             row_number() OVER (PARTITION BY ep.run_id ORDER BY ep.epoch_loss, ep.epoch) AS rk
+      FROM ep LEFT JOIN es ON ep.run_id = es.run_id
+      WHERE (es.stop_epoch IS NULL OR ep.epoch <= es.stop_epoch) AND NOT isnan(ep.epoch_loss))
+SELECT run_id, epoch AS best_epoch, round(epoch_loss, 9) AS best_value FROM b WHERE rk = 1"""
+
+CAND = """
+cand AS (SELECT model_version AS family, CAST(event_timestamp AS DATE) AS day,
+                round(avg(abs(target_score - model_score)), 6) AS test_mae FROM fe GROUP BY 1, 2)"""
+
+
+def _promote(best, s):
+    return (f"coalesce({s} IS NOT NULL AND NOT isnan({s}) AND CASE WHEN {best} IS NULL THEN {s} < 'inf'::DOUBLE "
+            f"ELSE {s} < {best} AND ({best} - {s}) / {best} >= 0.02 END, false)")
+
+
+def _fold(src):
+    p = _promote("f.best", "c.test_mae")
+    return f"""
+c AS (SELECT family, day, test_mae, row_number() OVER (PARTITION BY family ORDER BY day) AS rn FROM {src}),
+fold AS (
+  SELECT family, CAST(0 AS BIGINT) AS rn, CAST(NULL AS DOUBLE) AS best, CAST(0 AS BIGINT) AS promotions,
+         CAST(NULL AS DATE) AS last_promoted
+  FROM (SELECT DISTINCT family FROM c) x
+  UNION ALL
+  SELECT c.family, c.rn, CASE WHEN {p} THEN c.test_mae ELSE f.best END,
+         f.promotions + CASE WHEN {p} THEN 1 ELSE 0 END,
+         CASE WHEN {p} THEN c.day ELSE f.last_promoted END
+  FROM fold f JOIN c ON c.family = f.family AND c.rn = f.rn + 1
+),
+hist AS (SELECT f.family, n.candidates, f.best AS final_best, f.promotions, f.last_promoted
+         FROM fold f JOIN (SELECT family, CAST(count(*) AS BIGINT) AS candidates FROM c GROUP BY family) n
+           ON f.family = n.family AND f.rn = n.candidates)"""
+
+
+SQL["promotion_history"] = "WITH RECURSIVE" + FE.replace("fe AS", " fe AS", 1) + "," + CAND + "," + _fold("cand") + """
+SELECT family, candidates, final_best, promotions, last_promoted FROM hist"""
+SQL["promotion_decision"] = "WITH RECURSIVE" + FE.replace("fe AS", " fe AS", 1) + "," + CAND + """,
+ld AS (SELECT family, max(day) AS last_day FROM cand GROUP BY family),
+latest AS (SELECT cand.family, test_mae AS candidate_score FROM cand JOIN ld ON cand.family = ld.family AND cand.day = ld.last_day),
+earlier AS (SELECT cand.* FROM cand JOIN ld ON cand.family = ld.family AND cand.day < ld.last_day),""" + _fold("earlier") + """,
+j AS (SELECT l.family, l.candidate_score, h.family IS NULL AS first_dep,
+             CASE WHEN h.family IS NULL THEN 'inf'::DOUBLE ELSE coalesce(h.final_best, 'inf'::DOUBLE) END AS best_v
+      FROM latest l LEFT JOIN hist h ON l.family = h.family),
+k AS (SELECT *, CASE WHEN best_v = 'inf'::DOUBLE THEN 1.0 ELSE (best_v - candidate_score) / best_v END AS improvement FROM j),
+m AS (SELECT *, coalesce(candidate_score < best_v AND NOT isnan(candidate_score) AND (first_dep OR improvement >= 0.02), false) AS p FROM k)
+SELECT family, candidate_score, best_v AS best_before, round(improvement, 9) AS improvement,
+       CASE WHEN candidate_score IS NULL THEN NULL ELSE p END AS promoted,
+       CASE WHEN candidate_score IS NULL THEN 'missing_metric' WHEN p THEN 'promoted'
+            WHEN NOT isnan(candidate_score) AND candidate_score >= best_v THEN 'no_improvement'
+            ELSE 'insufficient_improvement' END AS reason,
+       CASE WHEN p THEN candidate_score ELSE best_v END AS best_after
+FROM m"""
+SQL["run_compare"] = "WITH" + LL + "," + ES + """
+SELECT r.run_id, 2.0 AS patience, round(r.n_steps, 9) AS n_steps, round(r.mean_loss, 9) AS mean_loss,
+       round(e.n_epochs, 9) AS n_epochs, round(e.best_epoch_loss, 9) AS best_epoch_loss,
+       round(CAST(es.stop_epoch AS DOUBLE), 9) AS stop_epoch
+FROM (SELECT run_id, CAST(count(*) AS DOUBLE) AS n_steps, avg(loss) AS mean_loss FROM ll GROUP BY run_id) r
+JOIN (SELECT run_id, CAST(count(*) AS DOUBLE) AS n_epochs, min(epoch_loss) AS best_epoch_loss FROM ep GROUP BY run_id) e
+  ON r.run_id = e.run_id
+JOIN es ON r.run_id = es.run_id"""
+
+SKEY = "('0x' || substr(md5('42:' || CAST({k} AS VARCHAR)), 1, 8))::BIGINT"
+SQL["sample_head"] = with_ctes(FE, DEDUP, CLEAN) + """
+SELECT id, text, model_score, user_feedback, target_score FROM clean
+ORDER BY event_timestamp ASC NULLS LAST, id ASC LIMIT 5"""
+SQL["seeded_shuffle"] = F_ + f"""
+SELECT id, shuffle_key, row_number() OVER (ORDER BY shuffle_key, id) AS shuffle_rank
+FROM (SELECT id, {SKEY.format(k='id')} AS shuffle_key FROM fe) t"""
+SPLIT = f"""
+sk AS (SELECT doc_id, sha256(text) AS text_hash, row_number() OVER (ORDER BY {SKEY.format(k='doc_id')}, doc_id) AS rk FROM tset),
+sn AS (SELECT CAST(floor(count(*) * 0.7::DOUBLE) AS BIGINT) AS nt, count(*) AS n FROM tset),
+sv AS (SELECT nt, CAST(floor((n - nt) / 2) AS BIGINT) AS nv FROM sn),
+sx AS (SELECT sk.doc_id, sk.text_hash,
+              CASE WHEN rk <= nt THEN 'train' WHEN rk <= nt + nv THEN 'val' ELSE 'test' END AS split,
+              CAST(rk - CASE WHEN rk <= nt THEN 0 WHEN rk <= nt + nv THEN nt ELSE nt + nv END AS BIGINT) AS rank_in_split
+       FROM sk, sv)"""
+SQL["split_exact"] = with_ctes(FE, DEDUP, TRAIN) + "," + SPLIT + "\nSELECT doc_id, split, rank_in_split FROM sx"
+SQL["split_bucket"] = with_ctes(FE, DEDUP, TRAIN) + f"""
+SELECT doc_id, CASE WHEN k < 3006477107.2 THEN 'train' WHEN k < 3650722201.6 THEN 'val' ELSE 'test' END AS split
+FROM (SELECT doc_id, {SKEY.format(k='doc_id')} AS k FROM tset) t"""
+SQL["batch_plan"] = with_ctes(FE, DEDUP, TRAIN) + "," + SPLIT + """,
+pb AS (SELECT split, CAST(floor((rank_in_split - 1) / 4) AS BIGINT) AS batch, count(*) AS size FROM sx GROUP BY 1, 2)
+SELECT split, CAST(sum(size) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_batches,
+       CAST(arg_max(size, batch) AS BIGINT) AS last_batch_size FROM pb GROUP BY split"""
+SQL["split_leak"] = with_ctes(FE, DEDUP, TRAIN) + "," + SPLIT + """,
+a AS (SELECT DISTINCT text_hash FROM sx WHERE split = 'train' AND text_hash IS NOT NULL),
+b AS (SELECT * FROM sx WHERE split <> 'train' AND text_hash IS NOT NULL)
+SELECT CAST((SELECT count(*) FROM (SELECT text_hash FROM a INTERSECT SELECT text_hash FROM b)) AS BIGINT) AS overlap_keys,
+       CAST((SELECT count(*) FROM b WHERE text_hash IN (SELECT text_hash FROM a)) AS BIGINT) AS rows_leaked,
+       CAST((SELECT count(*) FROM b WHERE text_hash NOT IN (SELECT text_hash FROM a)) AS BIGINT) AS rows_clean,
+       CAST((SELECT count(*) FROM a) AS BIGINT) AS keys_a,
+       CAST((SELECT count(DISTINCT text_hash) FROM b) AS BIGINT) AS keys_b"""

@@ -273,3 +273,146 @@ def q_lineage_join(spark, sf_dir):
 @query("lineage_check")
 def q_lineage_check(spark, sf_dir):
     return AU.lineage_check(FX.model_runs(spark, sf_dir), FX.dataset_runs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- E11, E13-E18: evaluation
+
+from scoreloop.operators import evaluate as EV  # noqa: E402
+
+
+def _pred(spark, sf_dir):
+    return FX.predictions(spark, sf_dir)
+
+
+@query("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    return EV.regression_metrics(_pred(spark, sf_dir))
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    return EV.confusion_matrix(_pred(spark, sf_dir))
+
+
+@query("band_metrics")
+def q_band_metrics(spark, sf_dir):
+    return EV.band_metrics(_pred(spark, sf_dir))
+
+
+@query("residual_histogram")
+def q_residual_histogram(spark, sf_dir):
+    return EV.residual_histogram(_pred(spark, sf_dir))
+
+
+@query("residual_density")
+def q_residual_density(spark, sf_dir):
+    return EV.residual_density(_pred(spark, sf_dir))
+
+
+@query("calibration")
+def q_calibration(spark, sf_dir):
+    return EV.calibration(_pred(spark, sf_dir))
+
+
+@query("error_by_length")
+def q_error_by_length(spark, sf_dir):
+    return EV.error_by_length(_pred(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- E12, F4-F6, K1-K3: runs
+
+from scoreloop.operators import runs as RN  # noqa: E402
+
+
+def _epochs(spark, sf_dir):
+    return RN.epoch_loss(FX.loss_log(spark, sf_dir))
+
+
+@query("epoch_loss")
+def q_epoch_loss(spark, sf_dir):
+    return _epochs(spark, sf_dir).select("run_id", "phase", "epoch", F.round("epoch_loss", 9).alias("epoch_loss"),
+                                         "steps")
+
+
+@query("running_loss")
+def q_running_loss(spark, sf_dir):
+    r = RN.running_loss(FX.loss_log(spark, sf_dir))
+    return r.withColumn("running_loss", F.round("running_loss", 9))
+
+
+@query("early_stop")
+def q_early_stop(spark, sf_dir):
+    return RN.early_stop(_epochs(spark, sf_dir))
+
+
+@query("best_checkpoint")
+def q_best_checkpoint(spark, sf_dir):
+    e = _epochs(spark, sf_dir)
+    b = RN.best_checkpoint(e, RN.early_stop(e))
+    return b.withColumn("best_value", F.round("best_value", 9))
+
+
+@query("promotion_history")
+def q_promotion_history(spark, sf_dir):
+    return RN.promotion_history(FX.daily_candidates(spark, sf_dir))
+
+
+@query("promotion_decision")
+def q_promotion_decision(spark, sf_dir):
+    cands = FX.daily_candidates(spark, sf_dir)
+    last_day = cands.groupBy("family").agg(F.max("day").alias("last_day"))
+    c = cands.join(last_day, "family")
+    latest = c.filter(F.col("day") == F.col("last_day")).select("family", F.col("test_mae").alias("candidate_score"))
+    earlier = c.filter(F.col("day") < F.col("last_day")).drop("last_day")
+    best = RN.promotion_history(earlier).select("family", F.col("final_best").alias("best_score"))
+    d = RN.promotion_decision(latest, best)
+    return d.withColumn("improvement", F.round("improvement", 9))
+
+
+RUN_KEYS = ["patience", "n_steps", "mean_loss", "n_epochs", "best_epoch_loss", "stop_epoch"]
+
+
+@query("run_compare")
+def q_run_compare(spark, sf_dir):
+    rec = RN.run_records(FX.loss_log(spark, sf_dir)).withColumn("value", F.round("value", 9))
+    return RN.run_compare(rec, RUN_KEYS)
+
+
+# ---------------------------------------------------------------- G, H: order, splits, leaks
+
+from scoreloop.operators import splits as SP  # noqa: E402
+
+
+def _training_keyed(spark, sf_dir):
+    return FX.training_set(spark, sf_dir).withColumn("text_hash", S.text_hash("text"))
+
+
+@query("sample_head")
+def q_sample_head(spark, sf_dir):
+    return SP.sample_head(G.clean_feedback(_fe(spark, sf_dir)))
+
+
+@query("seeded_shuffle")
+def q_seeded_shuffle(spark, sf_dir):
+    return SP.seeded_shuffle(_fe(spark, sf_dir).select("id")).select("id", "shuffle_key", "shuffle_rank")
+
+
+@query("split_exact")
+def q_split_exact(spark, sf_dir):
+    return SP.split_exact(_training_keyed(spark, sf_dir), key="doc_id").select("doc_id", "split", "rank_in_split")
+
+
+@query("split_bucket")
+def q_split_bucket(spark, sf_dir):
+    return SP.split_bucket(_training_keyed(spark, sf_dir), key="doc_id").select("doc_id", "split")
+
+
+@query("batch_plan")
+def q_batch_plan(spark, sf_dir):
+    return SP.batch_plan(SP.split_exact(_training_keyed(spark, sf_dir), key="doc_id"))
+
+
+@query("split_leak")
+def q_split_leak(spark, sf_dir):
+    s = SP.split_exact(_training_keyed(spark, sf_dir), key="doc_id")
+    return SP.split_leak(s.filter(F.col("split") == "train"), s.filter(F.col("split") != "train"))
