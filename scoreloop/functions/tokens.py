@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from scoreloop.config import TOKEN_PATTERN, TRAINING
 
+TRIGRAM_PATTERN = "(?s)(?=(.{3}))."
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -28,8 +30,11 @@ def truncated_length(text="text", max_tokens: int = TRAINING.max_tokens) -> Colu
 
 
 def char_trigrams(text="text") -> Column:
-    """Lower-case character 3-grams of the whole text (empty below 3 characters)."""
-    t = F.lower(_c(text))
-    n = F.length(t)
-    return F.when(n >= 3, F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.substring(t, i, 3))) \
-        .otherwise(F.array().cast("array<string>"))
+    """Lower-case character 3-grams of the whole text, one per code point
+    position (none below 3 characters).
+
+    One linear regex pass: each match consumes one code point and a
+    lookahead captures the 3 code points starting there. (Indexing with
+    substring per position would rescan the UTF-8 text each time.)
+    """
+    return F.regexp_extract_all(F.lower(_c(text)), F.lit(TRIGRAM_PATTERN), F.lit(1))

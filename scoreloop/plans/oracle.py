@@ -458,3 +458,130 @@ SELECT CAST((SELECT count(*) FROM (SELECT text_hash FROM a INTERSECT SELECT text
        CAST((SELECT count(*) FROM b WHERE text_hash NOT IN (SELECT text_hash FROM a)) AS BIGINT) AS rows_clean,
        CAST((SELECT count(*) FROM a) AS BIGINT) AS keys_a,
        CAST((SELECT count(DISTINCT text_hash) FROM b) AS BIGINT) AS keys_b"""
+
+
+# ------------------------------------------------------------------ language, vocabulary, scoring, ingest
+
+PROF = """
+dg0 AS (SELECT doc_id, lang, lower(text) AS lt, unnest(range(1, length(lower(text)) - 1)) AS i
+        FROM documents WHERE text IS NOT NULL),
+dg AS (SELECT doc_id, lang, substr(lt, i, 3) AS gram FROM dg0),
+pc AS (SELECT lang, gram, count(*) AS n FROM dg WHERE lang IS NOT NULL GROUP BY lang, gram),
+pt AS (SELECT lang, sum(n) AS t FROM pc GROUP BY lang),
+pv AS (SELECT count(DISTINCT gram) AS v FROM pc),
+prof AS (SELECT gg.gram, pt.lang, ln(coalesce(pc.n, 0) + 0.5) - ln(pt.t + 0.5 * pv.v) AS lp
+         FROM (SELECT DISTINCT gram FROM pc) gg CROSS JOIN pt CROSS JOIN pv
+         LEFT JOIN pc ON pc.gram = gg.gram AND pc.lang = pt.lang)"""
+
+
+def detect_cte(src: str, key: str, name: str = "det") -> str:
+    return f"""
+{name}_g0 AS (SELECT {key} AS k, lower(text) AS lt, unnest(range(1, length(lower(text)) - 1)) AS i
+              FROM {src} WHERE text IS NOT NULL),
+{name}_g AS (SELECT k, substr(lt, i, 3) AS gram FROM {name}_g0),
+{name}_s AS (SELECT g.k, prof.lang, sum(prof.lp) AS s FROM {name}_g g JOIN prof ON g.gram = prof.gram GROUP BY 1, 2),
+{name} AS (SELECT k AS {key}, lang AS detected_lang FROM {name}_s
+           QUALIFY row_number() OVER (PARTITION BY k ORDER BY s DESC, lang ASC) = 1)"""
+
+
+LANG_REASON = "CASE WHEN detected_lang IS NULL THEN 'detection failed' WHEN detected_lang <> 'en' THEN 'not English' END"
+
+SQL["lang_profile"] = "WITH" + PROF + """
+SELECT pc.lang, pc.gram, CAST(pc.n AS BIGINT) AS n, round(ln(pc.n + 0.5) - ln(pt.t + 0.5 * pv.v), 9) AS logp
+FROM pc JOIN pt ON pc.lang = pt.lang CROSS JOIN pv"""
+SQL["lang_detect"] = "WITH" + PROF + "," + detect_cte("documents", "doc_id") + """
+SELECT d.doc_id, det.detected_lang FROM documents d LEFT JOIN det ON d.doc_id = det.doc_id"""
+
+VOCAB = f"""
+vc AS (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{PAT}')) AS token FROM documents) t
+       GROUP BY token),
+vocab AS (SELECT token, CAST(n AS BIGINT) AS n, CAST(row_number() OVER (ORDER BY n DESC, token ASC) + 3 AS INTEGER) AS token_id
+          FROM vc QUALIFY row_number() OVER (ORDER BY n DESC, token ASC) <= 50000)"""
+SQL["vocab_build"] = "WITH" + VOCAB + "\nSELECT token, n, token_id FROM vocab"
+SQL["encode_fixed"] = "WITH" + VOCAB + f""",
+et AS (SELECT doc_id, list_slice(regexp_extract_all(text, '{PAT}'), 1, 510) AS toks FROM documents),
+eu AS (SELECT doc_id, unnest(toks) AS token, unnest(range(1, len(toks) + 1)) AS pos FROM et),
+el AS (SELECT eu.doc_id, list(coalesce(v.token_id, 3) ORDER BY eu.pos) AS ids
+       FROM eu LEFT JOIN vocab v ON eu.token = v.token GROUP BY eu.doc_id),
+ea AS (SELECT d.doc_id, coalesce(el.ids, []::INTEGER[]) AS ids FROM documents d LEFT JOIN el ON d.doc_id = el.doc_id)
+SELECT doc_id,
+       array_to_string(list_concat([0], ids, [2]), ',') || repeat(',1', CAST(510 - len(ids) AS INTEGER)) AS ids_text,
+       CAST(len(ids) + 2 AS INTEGER) AS mask_sum
+FROM ea"""
+
+WEIGHTS = f"""
+lab AS (SELECT d.text, l.quality FROM documents d JOIN labels l ON d.doc_id = l.doc_id),
+wt AS (SELECT token, ln(CAST(count(*) FILTER (WHERE quality = 1) + 1 AS DOUBLE) /
+                        CAST(count(*) FILTER (WHERE quality = 0) + 1 AS DOUBLE)) AS w
+       FROM (SELECT quality, unnest(regexp_extract_all(text, '{PAT}')) AS token FROM lab) t GROUP BY token),
+stok AS (SELECT doc_id, unnest(regexp_extract_all(text, '{PAT}')) AS token FROM documents),
+sc AS (SELECT s.doc_id, sum(coalesce(wt.w, 0.0)) AS sw, count(*) AS nt FROM stok s LEFT JOIN wt ON s.token = wt.token
+       GROUP BY s.doc_id),
+lin AS (SELECT d.doc_id, 1.0 / (1.0 + exp(-(CASE WHEN coalesce(sc.nt, 0) > 0 THEN sc.sw / sc.nt ELSE 0.0 END))) AS score
+        FROM documents d LEFT JOIN sc ON d.doc_id = sc.doc_id)"""
+SQL["score_linear"] = "WITH" + WEIGHTS + "\nSELECT doc_id, round(score, 6) AS score FROM lin"
+SQL["predict_pipeline"] = "WITH" + PROF + "," + detect_cte("documents", "doc_id") + "," + WEIGHTS + f""",
+pp AS (SELECT d.doc_id, det.detected_lang FROM documents d LEFT JOIN det ON d.doc_id = det.doc_id),
+pr AS (SELECT pp.doc_id, pp.detected_lang, {LANG_REASON} AS reason, lin.score FROM pp JOIN lin ON pp.doc_id = lin.doc_id),
+ps AS (SELECT doc_id, detected_lang, reason, CASE WHEN reason IS NULL THEN score END AS score FROM pr)
+SELECT doc_id, detected_lang, reason, round(score, 6) AS score,
+       {BAND.format(s="score", lo="Human-written", hi="AI-generated")} AS label FROM ps"""
+
+INC = """
+half AS (SELECT max(id) / 2 AS h FROM fe),
+store AS (SELECT * FROM fe WHERE id < (SELECT h FROM half)
+          QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY id) = 1),
+inc AS (SELECT id, text, model_score, user_feedback, model_version, event_timestamp FROM fe
+        WHERE id >= (SELECT h FROM half)),
+ih AS (SELECT *, sha256(text) AS text_hash FROM inc)"""
+SHAPE = """CASE WHEN coalesce(length(text) < 5, true) THEN 'text_too_short'
+     WHEN model_score IS NULL OR isnan(model_score) OR model_score < 0.0 OR model_score > 1.0 THEN 'score_out_of_range'
+     WHEN NOT coalesce(regexp_matches(user_feedback, '^(human|ai|human_edited_ai)$'), false) THEN 'invalid_feedback'
+     WHEN model_version IS NULL THEN 'missing_model_version'
+     WHEN user_feedback NOT IN ('human', 'ai', 'human_edited_ai') THEN 'feedback_not_allowed' END"""
+
+
+def new_dups(src: str) -> str:
+    return f"""
+fst AS (SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp ASC NULLS LAST, id ASC) = 1),
+new AS (SELECT * FROM fst f WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.text_hash = f.text_hash)),
+dups AS (SELECT * FROM fst f WHERE EXISTS (SELECT 1 FROM store s WHERE s.text_hash = f.text_hash)
+         UNION ALL SELECT * FROM {src} x WHERE NOT EXISTS (SELECT 1 FROM fst WHERE fst.id = x.id))"""
+
+
+SQL["ingest_validate"] = with_ctes(FE, INC) + f"SELECT id, {SHAPE} AS reject_reason FROM inc"
+SQL["constraint_report"] = F_ + """
+SELECT 'text_not_null' AS rule, CAST(count(*) FILTER (WHERE text IS NULL) AS BIGINT) AS violations FROM fe
+UNION ALL SELECT 'text_hash_not_null', CAST(count(*) FILTER (WHERE text_hash IS NULL) AS BIGINT) FROM fe
+UNION ALL SELECT 'model_score_not_null', CAST(count(*) FILTER (WHERE model_score IS NULL) AS BIGINT) FROM fe
+UNION ALL SELECT 'user_feedback_not_null', CAST(count(*) FILTER (WHERE user_feedback IS NULL) AS BIGINT) FROM fe
+UNION ALL SELECT 'user_feedback_allowed', CAST(count(*) FILTER (WHERE user_feedback NOT IN ('human', 'ai', 'human_edited_ai')) AS BIGINT) FROM fe
+UNION ALL SELECT 'text_hash_width', CAST(count(*) FILTER (WHERE length(text_hash) > 64) AS BIGINT) FROM fe
+UNION ALL SELECT 'user_feedback_width', CAST(count(*) FILTER (WHERE length(user_feedback) > 20) AS BIGINT) FROM fe
+UNION ALL SELECT 'model_version_width', CAST(count(*) FILTER (WHERE length(model_version) > 100) AS BIGINT) FROM fe
+UNION ALL SELECT 'text_hash_unique', CAST(coalesce((SELECT sum(n) FROM (SELECT text_hash, count(*) AS n FROM fe
+          WHERE text_hash IS NOT NULL GROUP BY text_hash HAVING count(*) > 1) t), 0) AS BIGINT)"""
+SQL["ingest_lang_gate"] = with_ctes(FE, INC) + "," + PROF.lstrip() + "," + detect_cte(
+    "(SELECT DISTINCT text_hash, text FROM ih)", "text_hash") + f"""
+SELECT ih.id, det.detected_lang, {LANG_REASON} AS reason FROM ih LEFT JOIN det ON ih.text_hash = det.text_hash"""
+SQL["ingest_new"] = with_ctes(FE, INC) + "," + new_dups("ih") + "\nSELECT id, text_hash FROM new"
+SQL["ingest_duplicates"] = with_ctes(FE, INC) + "," + new_dups("ih") + "\nSELECT id, text_hash FROM dups"
+SQL["ingest_pipeline"] = with_ctes(FE, INC) + "," + PROF.lstrip() + "," + detect_cte(
+    "(SELECT DISTINCT text_hash, text FROM ih)", "text_hash") + f""",
+r0 AS (SELECT ih.*, {SHAPE} AS shape FROM ih),
+r AS (SELECT r0.*, coalesce(shape, {LANG_REASON}) AS reject_reason FROM r0 LEFT JOIN det ON r0.text_hash = det.text_hash),
+okr AS (SELECT * EXCLUDE (shape, reject_reason) FROM r WHERE reject_reason IS NULL),""" + new_dups("okr") + f"""
+SELECT id, text_hash, 'accepted' AS status, {MAP_TARGET} AS target_score FROM new
+UNION ALL SELECT id, text_hash, 'duplicate', NULL::DOUBLE FROM dups
+UNION ALL SELECT id, text_hash, reject_reason, NULL::DOUBLE FROM r WHERE reject_reason IS NOT NULL"""
+
+MON = f"""
+SELECT ws AS window_start, ws + INTERVAL {{dur}} AS window_end, CAST(count(*) AS BIGINT) AS n,
+       round(avg(CASE WHEN NOT isnan(model_score) THEN model_score END), 6) AS mean_score,
+       round(avg(CASE WHEN {MISMATCH} THEN 1.0 ELSE 0.0 END), 6) AS mismatch_ratio,
+       round(avg(CASE WHEN user_feedback = 'ai' THEN 1.0 ELSE 0.0 END), 6) AS ai_share
+FROM (SELECT *, {{start}} AS ws FROM fe {{extra}}) t GROUP BY ws"""
+SQL["monitor_tumbling"] = F_ + MON.format(dur="'1 day'", start="date_trunc('day', event_timestamp)", extra="")
+SQL["monitor_sliding"] = F_ + MON.format(
+    dur="'3 days'", start="date_trunc('day', event_timestamp) - to_days(CAST(k AS INTEGER))",
+    extra=", (SELECT unnest(range(0, 3)) AS k) kk")

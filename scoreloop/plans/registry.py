@@ -416,3 +416,114 @@ def q_batch_plan(spark, sf_dir):
 def q_split_leak(spark, sf_dir):
     s = SP.split_exact(_training_keyed(spark, sf_dir), key="doc_id")
     return SP.split_leak(s.filter(F.col("split") == "train"), s.filter(F.col("split") != "train"))
+
+
+# ---------------------------------------------------------------- D5, D6, B12, B15a: language, vocabulary, scoring
+
+from scoreloop.operators import ingest as IN  # noqa: E402
+from scoreloop.operators import lang as L  # noqa: E402
+from scoreloop.operators import vocab as VO  # noqa: E402
+
+
+def _docs(spark, sf_dir):
+    return table(spark, sf_dir, "documents")
+
+
+def _profile(spark, sf_dir):
+    return L.train_profile(_docs(spark, sf_dir))
+
+
+def _weights(spark, sf_dir):
+    lab = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+    return VO.token_weights(lab)
+
+
+@query("lang_profile")
+def q_lang_profile(spark, sf_dir):
+    p = L.profile_logp(L.profile_counts(_docs(spark, sf_dir)))
+    return p.withColumn("logp", F.round("logp", 9))
+
+
+@query("lang_detect")
+def q_lang_detect(spark, sf_dir):
+    prof, langs = _profile(spark, sf_dir)
+    d = _docs(spark, sf_dir).select("doc_id", "text")
+    return L.with_language(d, prof, langs, key="doc_id").select("doc_id", "detected_lang")
+
+
+@query("vocab_build")
+def q_vocab_build(spark, sf_dir):
+    return VO.vocab_build(_docs(spark, sf_dir))
+
+
+@query("encode_fixed")
+def q_encode_fixed(spark, sf_dir):
+    d = _docs(spark, sf_dir)
+    enc = VO.encode_fixed(d, VO.vocab_build(d), key="doc_id")
+    return enc.select("doc_id", F.array_join("input_ids", ",").alias("ids_text"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("mask_sum"))
+
+
+@query("score_linear")
+def q_score_linear(spark, sf_dir):
+    s = VO.score_linear(_docs(spark, sf_dir), _weights(spark, sf_dir), key="doc_id")
+    return s.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@query("predict_pipeline")
+def q_predict_pipeline(spark, sf_dir):
+    prof, langs = _profile(spark, sf_dir)
+    return IN.predict_batch(_docs(spark, sf_dir), prof, langs, _weights(spark, sf_dir), key="doc_id")
+
+
+# ---------------------------------------------------------------- C1-C3, D1, I1, I4: ingest and monitors
+
+
+@query("ingest_validate")
+def q_ingest_validate(spark, sf_dir):
+    _, inc = FX.feedback_split(spark, sf_dir)
+    return IN.validate_requests(inc).select("id", "reject_reason")
+
+
+@query("constraint_report")
+def q_constraint_report(spark, sf_dir):
+    return IN.constraint_report(_fe(spark, sf_dir))
+
+
+@query("ingest_lang_gate")
+def q_ingest_lang_gate(spark, sf_dir):
+    prof, langs = _profile(spark, sf_dir)
+    _, inc = FX.feedback_split(spark, sf_dir)
+    r = L.with_language(inc.withColumn("text_hash", S.text_hash("text")), prof, langs, key="text_hash")
+    return r.select("id", "detected_lang", L.language_reason().alias("reason"))
+
+
+@query("ingest_new")
+def q_ingest_new(spark, sf_dir):
+    store, inc = FX.feedback_split(spark, sf_dir)
+    new, _ = IN.split_new_and_duplicates(inc.withColumn("text_hash", S.text_hash("text")), store)
+    return new.select("id", "text_hash")
+
+
+@query("ingest_duplicates")
+def q_ingest_duplicates(spark, sf_dir):
+    store, inc = FX.feedback_split(spark, sf_dir)
+    _, dups = IN.split_new_and_duplicates(inc.withColumn("text_hash", S.text_hash("text")), store)
+    return dups.select("id", "text_hash")
+
+
+@query("ingest_pipeline")
+def q_ingest_pipeline(spark, sf_dir):
+    prof, langs = _profile(spark, sf_dir)
+    store, inc = FX.feedback_split(spark, sf_dir)
+    return IN.ingest_batch(inc, store, prof, langs)
+
+
+@query("monitor_tumbling")
+def q_monitor_tumbling(spark, sf_dir):
+    return IN.monitor(_fe(spark, sf_dir), "1 day")
+
+
+@query("monitor_sliding")
+def q_monitor_sliding(spark, sf_dir):
+    return IN.monitor(_fe(spark, sf_dir), "3 days", "1 day")
