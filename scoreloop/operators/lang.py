@@ -60,10 +60,16 @@ def profile_wide(counts: DataFrame, langs: list[str]) -> DataFrame:
     return wide.select(*cols)
 
 
+def prepare_profile(wide_profile: DataFrame) -> DataFrame:
+    """Materialise the profile once (checkpoint) and mark it for broadcast if
+    its counted size allows; reuse the result across many detections."""
+    return bounded_lookup(wide_profile)
+
+
 def detect(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str = "id",
-           text: str = "text") -> DataFrame:
+           text: str = "text", prepared: bool = False) -> DataFrame:
     """(key, detected_lang) for every key that has at least one known gram."""
-    prof = bounded_lookup(wide_profile)
+    prof = wide_profile if prepared else bounded_lookup(wide_profile)
     g = _grams(df, key, text).join(prof, "gram")
     sums = g.groupBy(key).agg(*[F.sum(f"lp_{lg}").alias(f"s_{lg}") for lg in langs])
     ranked = F.sort_array(F.array(*[F.struct((-F.col(f"s_{lg}")).alias("neg"), F.lit(lg).alias("lang"))
@@ -72,13 +78,13 @@ def detect(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str =
 
 
 def with_language(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str = "id",
-                  text: str = "text", out: str = "detected_lang") -> DataFrame:
+                  text: str = "text", out: str = "detected_lang", prepared: bool = False) -> DataFrame:
     """Add the detected language to every row (null when detection fails).
 
     Detection runs once per distinct key; when ``df`` is already
     partitioned by ``key`` (e.g. after a dedup on it) the join adds no shuffle.
     """
-    d = detect(df.select(key, text).dropDuplicates([key]), wide_profile, langs, key, text)
+    d = detect(df.select(key, text).dropDuplicates([key]), wide_profile, langs, key, text, prepared)
     return df.join(d.withColumnRenamed("detected_lang", out), key, "left")
 
 

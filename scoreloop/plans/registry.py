@@ -527,3 +527,40 @@ def q_monitor_tumbling(spark, sf_dir):
 @query("monitor_sliding")
 def q_monitor_sliding(spark, sf_dir):
     return IN.monitor(_fe(spark, sf_dir), "3 days", "1 day")
+
+
+# ---------------------------------------------------------------- K4, B15b, J4, K5: models (row-count checks)
+
+from scoreloop.plans import model as MD  # noqa: E402
+
+
+def _model_data(spark, sf_dir):
+    """Training rows: each document text with the target of its latest feedback."""
+    return FX.training_set(spark, sf_dir).filter(F.col("label").isNotNull())
+
+
+@query("train_score_model")
+def q_train_score_model(spark, sf_dir):
+    data = _model_data(spark, sf_dir)
+    split = SP.split_bucket(data, key="doc_id")
+    model = MD.train_score_model(split.filter(F.col("split") == "train"))
+    test = split.filter(F.col("split") == "test")
+    return MD.score_ml(model, test).select("doc_id", F.col("label").alias("y_true"), F.col("score").alias("y_pred"))
+
+
+@query("score_ml")
+def q_score_ml(spark, sf_dir):
+    model = MD.train_score_model(_model_data(spark, sf_dir), head="linear")
+    return MD.score_ml(model, _docs(spark, sf_dir)).select("doc_id", "score")
+
+
+@query("score_udf")
+def q_score_udf(spark, sf_dir):
+    return MD.score_udf(_docs(spark, sf_dir), MD.length_prior_scorer, key="doc_id")
+
+
+@query("retrain_report")
+def q_retrain_report(spark, sf_dir):
+    from scoreloop.plans.retrain import retrain_report
+    fe = _fe(spark, sf_dir)
+    return retrain_report(spark, fe, AS_OF, _previous_history(spark, sf_dir))
