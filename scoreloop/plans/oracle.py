@@ -585,3 +585,5 @@ SQL["monitor_tumbling"] = F_ + MON.format(dur="'1 day'", start="date_trunc('day'
 SQL["monitor_sliding"] = F_ + MON.format(
     dur="'3 days'", start="date_trunc('day', event_timestamp) - to_days(CAST(k AS INTEGER))",
     extra=", (SELECT unnest(range(0, 3)) AS k) kk")
+
+SQL["csv_roundtrip"] = SQL["clean_feedback"]

@@ -564,3 +564,22 @@ def q_retrain_report(spark, sf_dir):
     from scoreloop.plans.retrain import retrain_report
     fe = _fe(spark, sf_dir)
     return retrain_report(spark, fe, AS_OF, _previous_history(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- A2, A3: CSV round trip
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    import uuid
+
+    from pyspark.sql import types as T
+
+    from scoreloop.schemas import FEEDBACK_EVENTS
+    from scoreloop.session import scratch_path
+    from scoreloop.sources.files import read_csv, write_csv
+
+    clean = G.clean_feedback(_fe(spark, sf_dir)).select(*FEEDBACK_COLS)
+    path = scratch_path(spark, f"clean_feedback_csv-{uuid.uuid4().hex}")
+    write_csv(clean, path)
+    schema = T.StructType(FEEDBACK_EVENTS.fields + [T.StructField("lang", T.StringType(), True)])
+    return read_csv(spark, path, schema)

@@ -54,8 +54,9 @@ def start_ingest(requests: DataFrame, store_path: str, rejects_path: str, checkp
     src = requests
     if watermark:
         src = (src.withColumn("_h", S.text_hash("text"))
-               .withWatermark("event_timestamp", watermark)
-               .dropDuplicatesWithinWatermark(["_h"]).drop("_h"))
+               .withColumn("_et", F.col("event_timestamp").cast("timestamp"))   # UTC session
+               .withWatermark("_et", watermark)
+               .dropDuplicatesWithinWatermark(["_h"]).drop("_h", "_et"))
     w = (src.writeStream.foreachBatch(make_batch_handler(store_path, rejects_path, profile, langs))
          .option("checkpointLocation", checkpoint_path))
     w = w.trigger(**(trigger or {"availableNow": True}))

@@ -7,13 +7,17 @@ window is emitted once, when the watermark passes its end (append mode).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from scoreloop.operators.ingest import monitor
 
 
 def monitor_stream(feedback: DataFrame, duration: str, slide: str | None = None,
                    watermark: str = "1 day", ts: str = "event_timestamp") -> DataFrame:
-    return monitor(feedback.withWatermark(ts, watermark), duration, slide, ts)
+    # watermarks need TIMESTAMP; the session runs in UTC, so the cast from
+    # TIMESTAMP_NTZ keeps the wall-clock value
+    src = feedback.withColumn(ts, F.col(ts).cast("timestamp"))
+    return monitor(src.withWatermark(ts, watermark), duration, slide, ts)
 
 
 def start_monitor(feedback: DataFrame, sink_path: str, checkpoint_path: str, duration: str,
