@@ -87,8 +87,8 @@ def residual_histogram(pred: DataFrame, bins: int = 30) -> DataFrame:
     in the last bin; all-equal residuals make one bin. Empty bins are kept."""
     r = pred.select(S.residual().alias("r")).filter(F.col("r").isNotNull() & ~F.isnan("r"))
     stats = r.agg(F.min("r").alias("lo"), F.max("r").alias("hi"))
-    lo = stats.select("lo").scalar()
-    hi = stats.select("hi").scalar()
+    st = stats.select(F.struct("lo", "hi")).scalar()   # one subquery for both
+    lo, hi = st["lo"], st["hi"]
     w = (hi - lo) / bins
     b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("r") - lo) / w), F.lit(bins - 1))).cast("int")
     counts = r.groupBy(b.alias("bin")).agg(F.count("*").cast("long").alias("n"))
@@ -112,7 +112,8 @@ def residual_density(pred: DataFrame, grid_size: int = 200) -> DataFrame:
     r = pred.select(S.residual().alias("r")).filter(F.col("r").isNotNull() & ~F.isnan("r"))
     stats = r.agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("n"),
                   F.stddev_samp("r").alias("sd"))
-    lo, hi, n, sd = (stats.select(c).scalar() for c in ("lo", "hi", "n", "sd"))
+    st = stats.select(F.struct("lo", "hi", "n", "sd")).scalar()   # one subquery for all four
+    lo, hi, n, sd = (st[c] for c in ("lo", "hi", "n", "sd"))
     h = sd * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo) / (grid_size - 1)
     reach = F.lit(40.0) * h

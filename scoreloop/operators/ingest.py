@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from scoreloop.config import ALLOWED_FEEDBACK, FEEDBACK_PATTERN, LIMITS
 from scoreloop.functions import scalars as S
 from scoreloop.operators import lang as L
-from scoreloop.operators.gates import first_per_key
 from scoreloop.operators.validate import mismatch
 
 
@@ -55,42 +54,52 @@ def constraint_report(df: DataFrame) -> DataFrame:
     return g.select(F.inline(arr))
 
 
+def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash",
+                    eligible: Column | None = None) -> DataFrame:
+    """D1 + F3 in one pass: ``is_duplicate`` is true for a row whose key is
+    stored, or that is not the first arrival of its key inside the batch.
+    ``eligible`` restricts the first-arrival ranking to rows that passed the
+    earlier checks. One window over the key and one join with the stored
+    keys (a shuffle join at scale; the store's key set is not assumed small)."""
+    from pyspark.sql import Window
+
+    elig = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    x = incoming.withColumn("_elig", elig)
+    w = Window.partitionBy(key, "_elig").orderBy(F.col("event_timestamp").asc_nulls_last(), F.col("id").asc())
+    x = x.withColumn("_first", F.row_number().over(w) == 1)
+    stored = store.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_stored", F.lit(True))
+    x = x.join(stored, key, "left")
+    return x.withColumn("is_duplicate", F.coalesce(F.col("_stored"), F.lit(False)) | ~F.col("_first")) \
+        .drop("_elig", "_first", "_stored")
+
+
 def split_new_and_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash"):
-    """D1 + F3: first arrival per key inside the batch, then anti/semi join
-    against the stored keys. Returns (new, duplicates) where duplicates also
-    holds later copies inside the batch."""
-    first = first_per_key(incoming, key, [F.col("event_timestamp").asc_nulls_last(), F.col("id").asc()])
-    stored_keys = store.select(key).filter(F.col(key).isNotNull()).distinct()
-    new = first.join(stored_keys, key, "left_anti")
-    dup_store = first.join(stored_keys, key, "left_semi")
-    later = incoming.join(first.select("id"), "id", "left_anti")
-    return new, dup_store.unionByName(later)
-
-
-def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str = "text_hash") -> DataFrame:
-    """I1 batch form: every request with ``status`` ('accepted' or its reason)
-    and, for accepted rows, hash and target."""
+    """(new, duplicates): first arrival per key not yet stored, and the rest."""
+    f = flag_duplicates(incoming, store, key)
+    return f.filter(~F.col("is_duplicate")).drop("is_duplicate"), f.filter("is_duplicate").drop("is_duplicate")
+
+
+def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str = "text_hash",
+                 prepared: bool = False) -> DataFrame:
+    """I1 batch form: every request with ``status`` ('accepted' or its first
+    reason) and, for accepted rows, the target. One pass: shape check,
+    one language detection per distinct text, then the duplicate flag."""
     r = incoming.withColumn("text_hash", S.text_hash("text")).withColumn("reject_reason", shape_reason())
-    r = L.with_language(r, profile, langs, key="text_hash")
+    r = L.with_language(r, profile, langs, key="text_hash", prepared=prepared)
     r = r.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), L.language_reason()))
-    ok = r.filter(F.col("reject_reason").isNull())
-    new, dups = split_new_and_duplicates(ok.drop("reject_reason"), store, key)
-    accepted = new.select("id", "text_hash", F.lit("accepted").alias("status"),
-                          S.target_from_feedback("user_feedback").alias("target_score"))
-    duplicate = dups.select("id", "text_hash", F.lit("duplicate").alias("status"),
-                            F.lit(None).cast("double").alias("target_score"))
-    rejected = r.filter(F.col("reject_reason").isNotNull()).select(
-        "id", F.col("text_hash"), F.col("reject_reason").alias("status"),
-        F.lit(None).cast("double").alias("target_score"))
-    return accepted.unionByName(duplicate).unionByName(rejected)
-
-
-def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp: Column | None = None) -> DataFrame:
+    f = flag_duplicates(r, store, key, eligible=F.col("reject_reason").isNull())
+    status = F.coalesce(F.col("reject_reason"), F.when(F.col("is_duplicate"), "duplicate"), F.lit("accepted"))
+    return f.select("id", "text_hash", status.alias("status"),
+                    F.when(status == "accepted", S.target_from_feedback("user_feedback")).alias("target_score"))
+
+
+def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp: Column | None = None,
+                  prepared: bool = False) -> DataFrame:
     """Rows to append to the store (A8 input): accepted requests with hash,
     target (B2, as the insert trigger would set it) and time stamp."""
     r = incoming.withColumn("text_hash", S.text_hash("text"))
     r = r.filter(shape_reason().isNull())
-    r = L.with_language(r, profile, langs, key="text_hash").filter(L.language_reason().isNull())
+    r = L.with_language(r, profile, langs, key="text_hash", prepared=prepared).filter(L.language_reason().isNull())
     new, _ = split_new_and_duplicates(r, store)
     ts = stamp if stamp is not None else F.col("event_timestamp")
     return new.select("id", "text", "text_hash", "model_score", "user_feedback", "model_version",
@@ -98,14 +107,14 @@ def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp:
 
 
 def predict_batch(docs: DataFrame, profile, langs, weights: DataFrame, key: str = "id",
-                  text: str = "text") -> DataFrame:
+                  text: str = "text", prepared: bool = False) -> DataFrame:
     """I3 batch form: language gate, linear score, band. Rejected texts get
     a reason and no score."""
     from scoreloop.operators.vocab import score_linear
 
-    d = L.with_language(docs.select(key, text), profile, langs, key=key, text=text)
+    d = L.with_language(docs.select(key, text), profile, langs, key=key, text=text, prepared=prepared)
     d = d.withColumn("reason", L.language_reason())
-    sc = score_linear(d.filter(F.col("reason").isNull()), weights, key=key, text=text)
+    sc = score_linear(d.filter(F.col("reason").isNull()), weights, key=key, text=text, prepared=prepared)
     j = d.join(sc, key, "left")
     return j.select(key, "detected_lang", "reason", F.round("score", 6).alias("score"),
                     S.score_band(F.col("score")).alias("label"))

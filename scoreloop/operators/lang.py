@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloop.functions.tokens import char_trigrams
-from scoreloop.operators.sizing import bounded_lookup
+from scoreloop.operators.sizing import bounded_lookup, materialize
 
 SMOOTH = 0.5
 
@@ -53,9 +53,10 @@ def profile_wide(counts: DataFrame, langs: list[str]) -> DataFrame:
     v = counts.select(F.count_distinct("gram")).scalar()
     wide = counts.groupBy("gram").pivot("lang", langs).agg(F.first("n"))
     tot = counts.groupBy().pivot("lang", langs).agg(F.sum("n"))
+    totals = tot.select(F.struct(*[F.col(f"`{lg}`").alias(lg) for lg in langs])).scalar()
     cols = [F.col("gram")]
     for lg in langs:
-        t = tot.select(F.col(f"`{lg}`")).scalar()
+        t = totals[lg]
         cols.append((F.log(F.coalesce(F.col(f"`{lg}`"), F.lit(0)) + SMOOTH) - F.log(t + SMOOTH * v)).alias(f"lp_{lg}"))
     return wide.select(*cols)
 
@@ -95,7 +96,9 @@ def language_reason(detected: str = "detected_lang", wanted: str = "en"):
 
 
 def train_profile(docs: DataFrame, text: str = "text", lang: str = "lang"):
-    """Counts, languages and the wide profile from labelled documents."""
-    counts = profile_counts(docs, text, lang)
+    """Languages and the wide profile from labelled documents. The gram
+    counts are materialised once (checkpoint): the vocabulary size, the
+    per-language totals and the pivot all read them."""
+    counts = materialize(profile_counts(docs, text, lang))
     langs = languages(counts)
     return profile_wide(counts, langs), langs

@@ -25,6 +25,14 @@ def bounded_lookup(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= limit else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back:
+    later uses (several aggregates, scalar subqueries) scan the result
+    instead of recomputing its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def global_rank(df: DataFrame, order_cols: list, rank_col: str = "rank") -> DataFrame:
     """1-based rank over the whole table without a single-partition window.
 

@@ -36,7 +36,7 @@ def split_exact(df: DataFrame, key: str = "id", seed: int = TRAINING.seed,
     """G3 exact: train = floor(r n), validation = floor(rest / 2), test = the rest,
     by rank in the seeded order."""
     ranked = seeded_shuffle(df, key, seed)
-    n = df.select(F.count("*")).scalar()
+    n = ranked.select(F.count("*")).scalar()   # reads the checkpointed ranking
     n_train = F.floor(n * F.lit(train_ratio))
     n_val = F.floor((n - n_train) / 2)
     split = (F.when(F.col("shuffle_rank") <= n_train, "train")

@@ -54,11 +54,12 @@ def token_weights(labelled: DataFrame, text: str = "text", label: str = "quality
               (F.count_if(F.col("y") == 0) + 1).cast("double")).alias("w"))
 
 
-def score_linear(df: DataFrame, weights: DataFrame, key: str = "id", text: str = "text") -> DataFrame:
+def score_linear(df: DataFrame, weights: DataFrame, key: str = "id", text: str = "text",
+                 prepared: bool = False) -> DataFrame:
     """score = sigmoid(mean token weight), unknown tokens weigh 0, a
     text without tokens scores 0.5. The weight table is size-checked before
     it is broadcast; each text's rows collapse map-side in the aggregation."""
-    w = bounded_lookup(weights)
+    w = weights if prepared else bounded_lookup(weights)
     t = df.select(key, F.explode_outer(tokens(text)).alias("token"))
     j = t.join(w, "token", "left")
     s = j.groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("sw"),

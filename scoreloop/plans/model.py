@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
@@ -21,8 +22,7 @@ from pyspark.sql import functions as F
 from scoreloop.config import TOKEN_PATTERN, TRAINING
 
 
-def score_pipeline(head: str = "sigmoid", num_features: int | None = None, text: str = "text",
-                   label: str = "label", max_iter: int = 10, reg: float = 0.01) -> Pipeline:
+def _stages(head: str, num_features: int | None, text: str, label: str, max_iter: int, reg: float):
     """The GLM head is fitted by IRLS, whose normal equations are dense in the
     feature count (solved on the driver each iteration), so its default
     hashed space is small; the linear head uses L-BFGS (distributed
@@ -40,15 +40,33 @@ def score_pipeline(head: str = "sigmoid", num_features: int | None = None, text:
                                            family="binomial", link="logit", maxIter=max_iter, regParam=reg)
     else:
         raise ValueError(head)
-    return Pipeline(stages=[tok, tf, idf, reg_])
+    return tok, tf, idf, reg_
+
+
+def score_pipeline(head: str = "sigmoid", num_features: int | None = None, text: str = "text",
+                   label: str = "label", max_iter: int = 10, reg: float = 0.01) -> Pipeline:
+    """The unfitted pipeline: tokens -> hashed counts -> IDF -> head."""
+    return Pipeline(stages=list(_stages(head, num_features, text, label, max_iter, reg)))
 
 
 def train_score_model(train: DataFrame, head: str = "sigmoid", text: str = "text", label: str = "label",
-                      **kw) -> PipelineModel:
-    """K4: fit on (text, label in [0, 1])."""
+                      num_features: int | None = None, max_iter: int = 10, reg: float = 0.01) -> PipelineModel:
+    """K4: fit on (text, label in [0, 1]).
+
+    Texts are tokenized and hashed once; the sparse term counts are
+    persisted (memory, spilling to disk; recomputed from lineage if an
+    executor is lost) for the IDF pass and the iterative solver, instead
+    of re-tokenizing every text on every iteration."""
     data = train.select(F.col(text).alias("text"), F.col(label).cast("double").alias("label")).filter(
         F.col("text").isNotNull() & F.col("label").isNotNull() & ~F.isnan("label"))
-    return score_pipeline(head, **kw).fit(data)
+    tok, tf, idf, reg_ = _stages(head, num_features, "text", "label", max_iter, reg)
+    counts = tf.transform(tok.transform(data)).select("_tf", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        idf_model = idf.fit(counts)
+        reg_model = reg_.fit(idf_model.transform(counts))
+    finally:
+        counts.unpersist()
+    return PipelineModel(stages=[tok, tf, idf_model, reg_model])
 
 
 def score_ml(model: PipelineModel, df: DataFrame, text: str = "text") -> DataFrame:

@@ -430,7 +430,8 @@ def _docs(spark, sf_dir):
 
 
 def _profile(spark, sf_dir):
-    return L.train_profile(_docs(spark, sf_dir))
+    prof, langs = L.train_profile(_docs(spark, sf_dir))
+    return L.prepare_profile(prof), langs
 
 
 def _weights(spark, sf_dir):
@@ -440,7 +441,8 @@ def _weights(spark, sf_dir):
 
 @query("lang_profile")
 def q_lang_profile(spark, sf_dir):
-    p = L.profile_logp(L.profile_counts(_docs(spark, sf_dir)))
+    from scoreloop.operators.sizing import materialize
+    p = L.profile_logp(materialize(L.profile_counts(_docs(spark, sf_dir))))
     return p.withColumn("logp", F.round("logp", 9))
 
 
@@ -448,7 +450,7 @@ def q_lang_profile(spark, sf_dir):
 def q_lang_detect(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
     d = _docs(spark, sf_dir).select("doc_id", "text")
-    return L.with_language(d, prof, langs, key="doc_id").select("doc_id", "detected_lang")
+    return L.with_language(d, prof, langs, key="doc_id", prepared=True).select("doc_id", "detected_lang")
 
 
 @query("vocab_build")
@@ -473,7 +475,9 @@ def q_score_linear(spark, sf_dir):
 @query("predict_pipeline")
 def q_predict_pipeline(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
-    return IN.predict_batch(_docs(spark, sf_dir), prof, langs, _weights(spark, sf_dir), key="doc_id")
+    from scoreloop.operators.sizing import bounded_lookup
+    return IN.predict_batch(_docs(spark, sf_dir), prof, langs, bounded_lookup(_weights(spark, sf_dir)),
+                            key="doc_id", prepared=True)
 
 
 # ---------------------------------------------------------------- C1-C3, D1, I1, I4: ingest and monitors
@@ -494,7 +498,8 @@ def q_constraint_report(spark, sf_dir):
 def q_ingest_lang_gate(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
     _, inc = FX.feedback_split(spark, sf_dir)
-    r = L.with_language(inc.withColumn("text_hash", S.text_hash("text")), prof, langs, key="text_hash")
+    r = L.with_language(inc.withColumn("text_hash", S.text_hash("text")), prof, langs, key="text_hash",
+                        prepared=True)
     return r.select("id", "detected_lang", L.language_reason().alias("reason"))
 
 
@@ -516,7 +521,7 @@ def q_ingest_duplicates(spark, sf_dir):
 def q_ingest_pipeline(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
     store, inc = FX.feedback_split(spark, sf_dir)
-    return IN.ingest_batch(inc, store, prof, langs)
+    return IN.ingest_batch(inc, store, prof, langs, prepared=True)
 
 
 @query("monitor_tumbling")

@@ -29,7 +29,7 @@ def make_batch_handler(store_path: str, rejects_path: str, profile: DataFrame, l
         if store is None:
             store = spark.createDataFrame([], "text_hash string")
         req = batch.withColumn("text_hash", S.text_hash("text"))
-        status = IN.ingest_batch(req.drop("text_hash"), store, profile, langs)
+        status = IN.ingest_batch(req.drop("text_hash"), store, profile, langs, prepared=True)
         # accepted rows with their payload
         acc_ids = status.filter(F.col("status") == "accepted").select("id")
         accepted = (req.join(acc_ids, "id", "left_semi")
@@ -51,6 +51,7 @@ def start_ingest(requests: DataFrame, store_path: str, rejects_path: str, checkp
     event_timestamp). With ``watermark``, repeats of a text within the
     watermark are dropped in state first (I2); the store anti-join remains
     the exact, unbounded-in-time check."""
+    profile = L.prepare_profile(profile)      # once per stream, not per micro-batch
     src = requests
     if watermark:
         src = (src.withColumn("_h", S.text_hash("text"))
