@@ -35,11 +35,24 @@ def first_per_key(df: DataFrame, key: str = "text_hash", order: list | None = No
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+def first_arrival(df: DataFrame, keys: list, ts: str = "event_timestamp", tiebreak: str = "id") -> DataFrame:
+    """(keys..., _first_id): the earliest row per key (time ascending, missing
+    times last, then smallest id) as a grouping with map-side partial
+    aggregation -- a hot key costs one row per map task, not one task."""
+    order = F.struct(F.col(ts).isNull(), F.col(ts), F.col(tiebreak))
+    return df.groupBy(*keys).agg(F.min_by(F.col(tiebreak), order).alias("_first_id"))
+
+
 def duplicate_flag(df: DataFrame, key: str = "text_hash", ts: str = "event_timestamp",
                    tiebreak: str = "id") -> DataFrame:
-    """Second and later copies of a key are flagged (F2), in time order."""
-    w = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(), F.col(tiebreak).asc())
-    return df.withColumn("is_duplicate", F.row_number().over(w) > 1)
+    """Second and later copies of a key are flagged (F2), in time order.
+
+    Not a window over all rows of a key: the first arrival per key is an
+    aggregate, joined back on the key (AQE splits a skewed key's partition
+    of the big side; the per-key side has one row per key)."""
+    first = first_arrival(df, [key], ts, tiebreak)
+    j = df.join(first, df[key].eqNullSafe(first[key]), "left").drop(first[key])
+    return j.withColumn("is_duplicate", F.col(tiebreak) != F.col("_first_id")).drop("_first_id")
 
 
 # ---------------------------------------------------------------- predicates

@@ -58,19 +58,21 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
                     eligible: Column | None = None) -> DataFrame:
     """D1 + F3 in one pass: ``is_duplicate`` is true for a row whose key is
     stored, or that is not the first arrival of its key inside the batch.
-    ``eligible`` restricts the first-arrival ranking to rows that passed the
-    earlier checks. One window over the key and one join with the stored
-    keys (a shuffle join at scale; the store's key set is not assumed small)."""
-    from pyspark.sql import Window
+    ``eligible`` restricts the first-arrival choice to rows that passed the
+    earlier checks. The first arrival per key is an aggregate (skew-safe),
+    joined back with the stored keys on the key; neither side is assumed
+    small (shuffle joins at scale, AQE splits skewed keys)."""
+    from scoreloop.operators.gates import first_arrival
 
     elig = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     x = incoming.withColumn("_elig", elig)
-    w = Window.partitionBy(key, "_elig").orderBy(F.col("event_timestamp").asc_nulls_last(), F.col("id").asc())
-    x = x.withColumn("_first", F.row_number().over(w) == 1)
+    first = first_arrival(x, [key, "_elig"])
     stored = store.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_stored", F.lit(True))
-    x = x.join(stored, key, "left")
-    return x.withColumn("is_duplicate", F.coalesce(F.col("_stored"), F.lit(False)) | ~F.col("_first")) \
-        .drop("_elig", "_first", "_stored")
+    per_key = first.join(stored, key, "left")
+    x = x.join(per_key, [x[key].eqNullSafe(per_key[key]), x["_elig"] == per_key["_elig"]], "left") \
+        .drop(per_key[key]).drop(per_key["_elig"])
+    dup = F.coalesce(F.col("_stored"), F.lit(False)) | (F.col("id") != F.col("_first_id"))
+    return x.withColumn("is_duplicate", dup).drop("_elig", "_first_id", "_stored")
 
 
 def split_new_and_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash"):

@@ -79,13 +79,17 @@ def detect(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str =
 
 
 def with_language(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str = "id",
-                  text: str = "text", out: str = "detected_lang", prepared: bool = False) -> DataFrame:
+                  text: str = "text", out: str = "detected_lang", prepared: bool = False,
+                  unique_keys: bool = False) -> DataFrame:
     """Add the detected language to every row (null when detection fails).
 
     Detection runs once per distinct key; when ``df`` is already
     partitioned by ``key`` (e.g. after a dedup on it) the join adds no shuffle.
     """
-    d = detect(df.select(key, text).dropDuplicates([key]), wide_profile, langs, key, text, prepared)
+    src = df.select(key, text)
+    if not unique_keys:          # copies of a text are detected once
+        src = src.dropDuplicates([key])
+    d = detect(src, wide_profile, langs, key, text, prepared)
     return df.join(d.withColumnRenamed("detected_lang", out), key, "left")
 
 

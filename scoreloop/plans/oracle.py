@@ -587,3 +587,14 @@ SQL["monitor_sliding"] = F_ + MON.format(
     extra=", (SELECT unnest(range(0, 3)) AS k) kk")
 
 SQL["csv_roundtrip"] = SQL["clean_feedback"]
+
+SQL["clean_feedback_detected"] = with_ctes(FE) + "," + PROF.lstrip() + """,
+lf AS (SELECT * FROM fe WHERE coalesce(length(text) BETWEEN 5 AND 1000, false)),""" + detect_cte(
+    "(SELECT DISTINCT text_hash, text FROM lf)", "text_hash") + f""",
+x AS (SELECT lf.*, det.detected_lang FROM lf LEFT JOIN det ON lf.text_hash = det.text_hash
+      WHERE coalesce(det.detected_lang = 'en', false)),
+xd AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY text_hash
+                                                  ORDER BY event_timestamp DESC NULLS FIRST, id DESC) = 1)
+SELECT {FEEDBACK_COLS}, detected_lang FROM xd
+WHERE {CONSISTENT} AND target_score IS NOT NULL AND NOT isnan(target_score)"""
+SQL["calibration_points"] = with_ctes(FE, PRED) + "SELECT id, y_pred AS predicted, y_true AS actual FROM pred"

@@ -450,7 +450,8 @@ def q_lang_profile(spark, sf_dir):
 def q_lang_detect(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
     d = _docs(spark, sf_dir).select("doc_id", "text")
-    return L.with_language(d, prof, langs, key="doc_id", prepared=True).select("doc_id", "detected_lang")
+    return L.with_language(d, prof, langs, key="doc_id", prepared=True, unique_keys=True) \
+        .select("doc_id", "detected_lang")
 
 
 @query("vocab_build")
@@ -588,3 +589,20 @@ def q_csv_roundtrip(spark, sf_dir):
     write_csv(clean, path)
     schema = T.StructType(FEEDBACK_EVENTS.fields + [T.StructField("lang", T.StringType(), True)])
     return read_csv(spark, path, schema)
+
+
+@query("clean_feedback_detected")
+def q_clean_feedback_detected(spark, sf_dir):
+    """The funnel with the language gate by the detector (C4 via D5). The
+    detector is a function of the text, so it runs before the dedup shuffle,
+    once per distinct text that passes the length gate."""
+    prof, langs = _profile(spark, sf_dir)
+    fe = _fe(spark, sf_dir).filter(G.length_ok())
+    x = L.with_language(fe, prof, langs, key="text_hash", prepared=True)
+    out = G.clean_feedback(x, lang="detected_lang", text_only_language=True)
+    return out.select(*FEEDBACK_COLS, "detected_lang")
+
+
+@query("calibration_points")
+def q_calibration_points(spark, sf_dir):
+    return EV.calibration_points(_pred(spark, sf_dir))
