@@ -86,9 +86,12 @@ def text_length(text="text") -> Column:
 
 
 def age_days(ts="event_timestamp", as_of=None) -> Column:
-    """Age in days of a timestamp (read as UTC) relative to ``as_of``."""
-    ref = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else _c(as_of)
-    return (F.unix_micros(ref.cast("timestamp")) - F.unix_micros(_c(ts).cast("timestamp"))) / F.lit(86400e6)
+    """Age in days of a timestamp (read as UTC wall clock) relative to ``as_of``.
+
+    Computed on TIMESTAMP_NTZ values, so the result does not depend on the
+    session time zone (no daylight-saving shifts)."""
+    ref = F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else _c(as_of).cast("timestamp_ntz")
+    return F.timestamp_diff("MICROSECOND", _c(ts).cast("timestamp_ntz"), ref) / F.lit(86400e6)
 
 
 def label_double(label="label") -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scoreloop.config import ALLOWED_FEEDBACK, FEEDBACK_PATTERN, LIMITS
 from scoreloop.functions import scalars as S
 from scoreloop.operators import lang as L
+from scoreloop.operators.sizing import materialize
 from scoreloop.operators.validate import mismatch
 
 
@@ -89,6 +90,9 @@ def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str
     r = incoming.withColumn("text_hash", S.text_hash("text")).withColumn("reject_reason", shape_reason())
     r = L.with_language(r, profile, langs, key="text_hash", prepared=prepared)
     r = r.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), L.language_reason()))
+    # the narrow request rows (no text) are used twice by the duplicate flag:
+    # write them once instead of re-running the detection for each use
+    r = materialize(r.select("id", key, "user_feedback", "event_timestamp", "reject_reason"))
     f = flag_duplicates(r, store, key, eligible=F.col("reject_reason").isNull())
     status = F.coalesce(F.col("reject_reason"), F.when(F.col("is_duplicate"), "duplicate"), F.lit("accepted"))
     return f.select("id", "text_hash", status.alias("status"),
