@@ -97,3 +97,51 @@ def test_stream_monitor_equals_batch(spark, tmp_dir):
     want = {r["window_start"]: r["n"] for r in monitor(fe, "1 day").collect()}
     assert got and all(want[k] == v for k, v in got.items())
     assert len(want) - len(got) <= 1
+
+
+def test_stream_watermark_dedup_then_store_check(spark, tmp_dir):
+    """Repeats of a text inside the watermark are dropped in state; the
+    store anti-join still catches the rest."""
+    import datetime as dt
+
+    from scoreloop.operators import lang as L
+    from scoreloop.streaming.ingest import start_ingest
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    prof, langs = L.train_profile(docs)
+    en = [r["text"] for r in docs.filter("lang = 'en' AND length(text) BETWEEN 50 AND 400").limit(2).collect()]
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, en[0], 0.5, "ai", "v", t0), (2, en[0], 0.5, "ai", "v", t0 + dt.timedelta(minutes=5)),
+            (3, en[1], 0.5, "human", "v", t0 + dt.timedelta(minutes=6))]
+    schema = "id long, text string, model_score double, user_feedback string, model_version string, event_timestamp timestamp_ntz"
+    src = os.path.join(tmp_dir, "req")
+    spark.createDataFrame(rows, schema).write.parquet(src)
+    store = os.path.join(tmp_dir, "store")
+    q = start_ingest(spark.readStream.schema(schema).parquet(src), store, os.path.join(tmp_dir, "rej"),
+                     os.path.join(tmp_dir, "ck"), prof, langs, watermark="1 hour")
+    q.awaitTermination()
+    got = sorted(r["id"] for r in FL.read_feedback_store(spark, store).collect())
+    assert got == [1, 3]
+
+
+def test_stream_predict_equals_batch(spark, tmp_dir):
+    """Micro-batch scoring gives the batch result."""
+    from scoreloop.operators import lang as L
+    from scoreloop.operators import vocab as VO
+    from scoreloop.operators.ingest import predict_batch
+    from scoreloop.streaming.predict import start_predict
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("id"), "text")
+    lab = spark.read.parquet(f"{sf}/documents.parquet").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    prof, langs = L.train_profile(spark.read.parquet(f"{sf}/documents.parquet"))
+    w = VO.token_weights(lab)
+    want = {r["id"]: (r["reason"], r["score"]) for r in predict_batch(docs, prof, langs, w).collect()}
+    src = os.path.join(tmp_dir, "texts")
+    docs.write.parquet(src)
+    sink = os.path.join(tmp_dir, "scores")
+    q = start_predict(spark.readStream.schema(docs.schema).parquet(src), sink, os.path.join(tmp_dir, "ck"),
+                      prof, langs, w)
+    q.awaitTermination()
+    got = {r["id"]: (r["reason"], r["score"]) for r in spark.read.parquet(sink).collect()}
+    assert got == want
