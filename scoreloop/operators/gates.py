@@ -63,8 +63,11 @@ def length_ok(text: str = "text") -> Column:
 
 
 def language_ok(lang: str = "lang", wanted: str = "en") -> Column:
-    """C4: language equals ``wanted``; a failed detection (null) fails."""
-    return F.coalesce(F.col(lang) == F.lit(wanted), F.lit(False))
+    """C4: language equals ``wanted``; a failed detection (null) fails.
+
+    A plain comparison (null -> not kept by a filter or count_if), so a
+    stored language column is pushed to the parquet scan as EqualTo."""
+    return F.col(lang) == F.lit(wanted)
 
 
 def inconsistent(feedback: str = "user_feedback", score: str = "model_score",
