@@ -114,16 +114,21 @@ def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp:
 
 def predict_batch(docs: DataFrame, profile, langs, weights: DataFrame, key: str = "id",
                   text: str = "text", prepared: bool = False) -> DataFrame:
-    """I3 batch form: language gate, linear score, band. Rejected texts get
-    a reason and no score."""
+    """I3 batch form: language gate, linear score, band; rejected texts get
+    a reason and no score. Keys are request ids (unique).
+
+    Detection and scoring each reduce a text to one row per key map-side;
+    the two per-key results are joined, so texts are never shuffled. (Every
+    text is scored; the gate only decides what is reported.)"""
     from scoreloop.operators.vocab import score_linear
 
-    d = L.with_language(docs.select(key, text), profile, langs, key=key, text=text, prepared=prepared)
-    d = d.withColumn("reason", L.language_reason())
-    sc = score_linear(d.filter(F.col("reason").isNull()), weights, key=key, text=text, prepared=prepared)
-    j = d.join(sc, key, "left")
-    return j.select(key, "detected_lang", "reason", F.round("score", 6).alias("score"),
-                    S.score_band(F.col("score")).alias("label"))
+    src = docs.select(key, text)
+    det = L.detect(src, profile, langs, key=key, text=text, prepared=prepared)
+    sc = score_linear(src, weights, key=key, text=text, prepared=prepared)   # one row per key
+    j = sc.join(det, key, "left").withColumn("reason", L.language_reason())
+    score = F.when(F.col("reason").isNull(), F.col("score"))
+    return j.select(key, "detected_lang", "reason", F.round(score, 6).alias("score"),
+                    S.score_band(score).alias("label"))
 
 
 def monitor(df: DataFrame, duration: str, slide: str | None = None, ts: str = "event_timestamp") -> DataFrame:
