@@ -93,7 +93,8 @@ def residual_histogram(pred: DataFrame, bins: int = 30) -> DataFrame:
     b = F.when(w == 0, F.lit(0)).otherwise(F.least(F.floor((F.col("r") - lo) / w), F.lit(bins - 1))).cast("int")
     counts = r.groupBy(b.alias("bin")).agg(F.count("*").cast("long").alias("n"))
     # the bin grid is derived from the data's own extent (empty data: no bins)
-    grid = stats.filter(F.col("lo").isNotNull()).select(F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    last = F.when(w == 0, F.lit(0)).otherwise(F.lit(bins - 1))
+    grid = stats.filter(F.col("lo").isNotNull()).select(F.explode(F.sequence(F.lit(0), last)).alias("bin"))
     return (grid.join(counts, "bin", "left")
             .select("bin", F.round(lo + F.col("bin") * w, 9).alias("bin_lo"),
                     F.round(lo + (F.col("bin") + 1) * w, 9).alias("bin_hi"),

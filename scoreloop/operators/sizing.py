@@ -11,18 +11,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scoreloop.config import SIZING
 from scoreloop.session import ensure_checkpoint_dir
 
 
-def bounded_lookup(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Checkpoint ``df`` (cuts lineage), count it, broadcast it if small enough."""
+def row_width(schema: T.StructType) -> int:
+    """A conservative per-row size estimate in bytes (strings count 32)."""
+    size = 16
+    for f in schema.fields:
+        dt = f.dataType
+        if isinstance(dt, (T.StringType, T.BinaryType)):
+            size += 32
+        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
+            size += 128
+        else:
+            size += 8
+    return size
+
+
+def bounded_lookup(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Checkpoint ``df`` (cuts lineage), count it, broadcast it only if both its
+    row count and its estimated size are within bounds; otherwise return it
+    unhinted so the join stays a (skew-aware) shuffle join."""
     limit = SIZING.max_broadcast_rows if max_rows is None else max_rows
+    byte_limit = SIZING.max_broadcast_bytes if max_bytes is None else max_bytes
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
     n = df.count()
-    return F.broadcast(df) if n <= limit else df
+    small = n <= limit and n * row_width(df.schema) <= byte_limit
+    return F.broadcast(df) if small else df
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -30,11 +30,11 @@ def encode_fixed(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "
                  max_tokens: int = TRAINING.max_tokens) -> DataFrame:
     """Ids with start/end marks, truncated and padded to ``max_tokens``,
     plus the attention mask. Only the first max_tokens-2 tokens can survive
-    truncation, so only those are exploded and looked up; the vocabulary is
-    bounded by its build size, so broadcasting it is safe."""
+    truncation, so only those are exploded and looked up. The vocabulary is
+    bounded by its build size and goes through the same size check."""
     keep = max_tokens - 2
     toks = df.select(key, F.posexplode_outer(F.slice(tokens(text), 1, keep)).alias("pos", "token"))
-    v = F.broadcast(vocab.select("token", "token_id"))
+    v = bounded_lookup(vocab.select("token", "token_id"))   # bounded by the build size; checked anyway
     looked = toks.join(v, "token", "left").select(
         key, "pos", F.coalesce("token_id", F.lit(TOKEN_UNK)).alias("tid"))
     per_doc = looked.groupBy(key).agg(

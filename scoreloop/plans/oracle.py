@@ -321,7 +321,7 @@ r AS (SELECT y_true - y_pred AS r FROM pred WHERE y_true - y_pred IS NOT NULL AN
 st AS (SELECT min(r) AS lo, max(r) AS hi, (max(r) - min(r)) / 30 AS w FROM r),
 c AS (SELECT CAST(CASE WHEN st.w = 0 THEN 0 ELSE least(floor((r.r - st.lo) / st.w), 29) END AS INTEGER) AS bin, count(*) AS n
       FROM r, st GROUP BY 1),
-g AS (SELECT CAST(unnest(range(0, 30)) AS INTEGER) AS bin FROM st WHERE lo IS NOT NULL)
+g AS (SELECT CAST(unnest(range(0, CASE WHEN w = 0 THEN 1 ELSE 30 END)) AS INTEGER) AS bin FROM st WHERE lo IS NOT NULL)
 SELECT g.bin, round(st.lo + g.bin * st.w, 9) AS bin_lo, round(st.lo + (g.bin + 1) * st.w, 9) AS bin_hi,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM g CROSS JOIN st LEFT JOIN c ON g.bin = c.bin"""

@@ -66,3 +66,9 @@ def test_regression_metrics_rmse_is_mse(spark):
     df = spark.createDataFrame([(1, 1.0, 0.5), (2, 0.0, 0.5)], SCHEMA)
     r = EV.regression_metrics(df, by=None).first()
     assert (r["mae"], r["mse"], r["ref_rmse"], r["rmse"]) == (0.5, 0.25, 0.25, 0.5)
+
+
+def test_histogram_all_equal_is_one_bin(spark):
+    rows = [(i, 1.0, 0.5) for i in range(5)]
+    h = EV.residual_histogram(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [(r["bin"], r["n"]) for r in h] == [(0, 5)]
