@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scoreloop.config import ALLOWED_FEEDBACK, FEEDBACK_PATTERN, LIMITS
 from scoreloop.functions import scalars as S
 from scoreloop.operators import lang as L
-from scoreloop.operators.sizing import materialize
+from scoreloop.operators.sizing import bounded_lookup, materialize
 from scoreloop.operators.validate import mismatch
 
 
@@ -61,14 +61,18 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
     stored, or that is not the first arrival of its key inside the batch.
     ``eligible`` restricts the first-arrival choice to rows that passed the
     earlier checks. The first arrival per key is an aggregate (skew-safe),
-    joined back with the stored keys on the key; neither side is assumed
-    small (shuffle joins at scale, AQE splits skewed keys)."""
+    joined back with the stored keys on the key (AQE splits skewed keys)."""
     from scoreloop.operators.gates import first_arrival
 
     elig = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
     x = incoming.withColumn("_elig", elig)
     first = first_arrival(x, [key, "_elig"])
-    stored = store.select(key).filter(F.col(key).isNotNull()).distinct().withColumn("_stored", F.lit(True))
+    # probe the store only for this batch's keys: the batch key set (size-checked,
+    # broadcast when small) filters the store's key column map-side, so only
+    # matching keys reach the shuffle -- not the whole store per batch
+    batch_keys = bounded_lookup(x.select(key).filter(F.col(key).isNotNull()).distinct())
+    stored = (store.select(key).join(batch_keys, key, "left_semi").distinct()
+              .withColumn("_stored", F.lit(True)))
     per_key = first.join(stored, key, "left")
     x = x.join(per_key, [x[key].eqNullSafe(per_key[key]), x["_elig"] == per_key["_elig"]], "left") \
         .drop(per_key[key]).drop(per_key["_elig"])

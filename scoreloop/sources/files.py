@@ -121,7 +121,13 @@ def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash") ->
     spark = rows.sparkSession
     existing = read_parquet_or_none(spark, store_path)
     if existing is not None:
-        rows = rows.join(existing.select(key).distinct(), key, "left_anti")
+        from scoreloop.operators.sizing import bounded_lookup
+
+        # only the stored keys this batch carries matter: filter the store's
+        # key column by the batch keys (broadcast when the batch is small)
+        batch_keys = bounded_lookup(rows.select(key).filter(F.col(key).isNotNull()).distinct())
+        seen = existing.select(key).join(batch_keys, key, "left_semi").distinct()
+        rows = rows.join(seen, key, "left_anti")
     out = rows.withColumn("event_date", F.to_date("event_timestamp"))
     out.write.mode("append").partitionBy("event_date").parquet(store_path)
     return out
