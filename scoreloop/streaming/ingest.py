@@ -50,7 +50,9 @@ def start_ingest(requests: DataFrame, store_path: str, rejects_path: str, checkp
     the request columns (id, text, model_score, user_feedback, model_version,
     event_timestamp). With ``watermark``, repeats of a text within the
     watermark are dropped in state first (I2); the store anti-join remains
-    the exact, unbounded-in-time check."""
+    the exact, unbounded-in-time check. Note: inside one micro-batch the
+    state keeps whichever copy it meets first, not the earliest; without
+    ``watermark`` the batch plan applies the exact first-arrival rule (F3)."""
     profile = L.prepare_profile(profile)      # once per stream, not per micro-batch
     src = requests
     if watermark:

@@ -121,7 +121,9 @@ def test_stream_watermark_dedup_then_store_check(spark, tmp_dir):
                      os.path.join(tmp_dir, "ck"), prof, langs, watermark="1 hour")
     q.awaitTermination()
     got = sorted(r["id"] for r in FL.read_feedback_store(spark, store).collect())
-    assert got == [1, 3]
+    # one copy of the repeated text survives (which one, inside a single
+    # micro-batch, is up to the state store), plus the other text
+    assert len(got) == 2 and got[1] == 3 and got[0] in (1, 2)
 
 
 def test_stream_predict_equals_batch(spark, tmp_dir):
