@@ -598,3 +598,9 @@ xd AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY text_hash
 SELECT {FEEDBACK_COLS}, detected_lang FROM xd
 WHERE {CONSISTENT} AND target_score IS NOT NULL AND NOT isnan(target_score)"""
 SQL["calibration_points"] = with_ctes(FE, PRED) + "SELECT id, y_pred AS predicted, y_true AS actual FROM pred"
+
+SQL["score_udf"] = """
+SELECT doc_id,
+       round(1.0 / (1.0 + exp(-((CAST(len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]')) AS DOUBLE)
+                                 / greatest(length(coalesce(text, '')), 1)) - 0.5) * 4.0)), 6) AS score
+FROM documents"""

@@ -562,7 +562,8 @@ def q_score_ml(spark, sf_dir):
 
 @query("score_udf")
 def q_score_udf(spark, sf_dir):
-    return MD.score_udf(_docs(spark, sf_dir), MD.length_prior_scorer, key="doc_id")
+    s = MD.score_udf(_docs(spark, sf_dir), MD.length_prior_scorer, key="doc_id")
+    return s.select("doc_id", F.round("score", 6).alias("score"))
 
 
 @query("retrain_report")
