@@ -5,7 +5,7 @@ These are fixed values: they must equal the reference's for results to agree.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)

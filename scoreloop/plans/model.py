@@ -20,7 +20,7 @@ from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloop.config import TOKEN_PATTERN, TRAINING
+from scoreloop.config import TOKEN_PATTERN
 
 
 def _stages(head: str, num_features: int | None, text: str, label: str, max_iter: int, reg: float):
