@@ -81,6 +81,13 @@ def score_udf(df: DataFrame, score_fn: Callable[[pd.Series], pd.Series], key: st
     """A user's own scorer as an Arrow-batched ``mapInPandas`` -- the
     one Python hook. ``score_fn`` maps a Series of texts to a Series of
     floats and should load its model once (e.g. a module-level cache)."""
+    # ship this module's functions (the runner and the example scorer) by
+    # value, so Python workers need only pandas/numpy, not this package
+    from pyspark import cloudpickle
+    import sys
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
     def run(batches):
         for pdf in batches:
             yield pd.DataFrame({key: pdf[key], "score": score_fn(pdf[text].fillna("")).astype("float64")})
