@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import rules
+from scoreloop.llm import mixing, rules, sharding
 from scoreloop.llm.common import read
 
 QUERIES: dict = {}
@@ -24,3 +24,19 @@ def op8_quality_rules(spark, sf_dir):
     return rules.apply_policy(led, rules.STRICT).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         rules.failed(rules.BASE).alias("base_failed"), "kept", "fail_bits", "n_lines", "n_upper", "n_bangs")
+
+
+@query("op3_shard_hypergeometric")
+def op3_shard_hypergeometric(spark, sf_dir):
+    raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(raw) + 1).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"))
+    return sharding.shard(docs, n_shards=8).select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_mix_sainte_lague")
+def op6_mix_sainte_lague(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("size"))
+    return mixing.plan(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "rounds")
