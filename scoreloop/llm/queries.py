@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import mixing, rules, sharding
+from scoreloop.llm import mixing, rules, sharding, simhash
 from scoreloop.llm.common import read
 
 QUERIES: dict = {}
@@ -40,3 +40,10 @@ def op3_shard_hypergeometric(spark, sf_dir):
 def op6_mix_sainte_lague(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", mixing.n_words().alias("size"))
     return mixing.plan(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "rounds")
+
+
+@query("op5_simhash_gray")
+def op5_simhash_gray(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, size=3, max_bits=3).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
