@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import mixing, rules, sharding, simhash
-from scoreloop.llm.common import read
+from scoreloop.llm import crf, langid, mixing, rules, sharding, simhash
+from scoreloop.llm.common import read, rest
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -47,3 +47,23 @@ def op5_simhash_gray(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs, size=3, max_bits=3).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op9_language_hierarchy")
+def op9_language_hierarchy(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(rest("doc_id", 3) == 1, F.lit(False))
+    model = langid.fit(docs.filter(rest("doc_id", 3) != 1))
+    return (langid.predict(docs, model, ["doc_id"])
+            .select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
+@query("op1_quality_crf")
+def op1_quality_crf(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = (read(spark, sf_dir, "labels").filter((rest("doc_id", 5) != 0) & F.col("quality").isNotNull())
+              .groupBy("doc_id").agg(F.max("quality").alias("label")))
+    model = crf.fit(docs.join(labels, "doc_id"))
+    held_out = F.coalesce(rest("doc_id", 5) == 0, F.lit(False))
+    return crf.score(docs, model, ["doc_id"]).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_lines", "bad_lines")
