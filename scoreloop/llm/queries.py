@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import crf, langid, mixing, rules, sharding, simhash
+from scoreloop.llm import crf, grulm, langid, mixing, rules, sharding, simhash
 from scoreloop.llm.common import read, rest
 
 QUERIES: dict = {}
@@ -67,3 +67,12 @@ def op1_quality_crf(spark, sf_dir):
     held_out = F.coalesce(rest("doc_id", 5) == 0, F.lit(False))
     return crf.score(docs, model, ["doc_id"]).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "n_lines", "bad_lines")
+
+
+@query("op10_gru_lm")
+def op10_gru_lm(spark, sf_dir):
+    train = F.coalesce(rest("doc_id", 7) != 2, F.lit(False))
+    held_out = F.coalesce(rest("doc_id", 7) == 2, F.lit(False))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", train.alias("train"))
+    return grulm.score_documents(docs).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
