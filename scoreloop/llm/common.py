@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,18 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextlib.contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Rows of a batch sent to Python while the body runs (for rows of several MB)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def rest(doc_id: str, mod: int) -> F.Column:
     """crc32 of the id as text, modulo ``mod`` (null id: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import crf, grulm, langid, mixing, rules, sharding, simhash
+from scoreloop.llm import crf, ego, grulm, langid, mixing, rules, sharding, simhash
 from scoreloop.llm.common import read, rest
 
 QUERIES: dict = {}
@@ -76,3 +76,8 @@ def op10_gru_lm(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", train.alias("train"))
     return grulm.score_documents(docs).select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op2_embedding_ego")
+def op2_embedding_ego(spark, sf_dir):
+    return ego.near_duplicates(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), cosine=0.9)
