@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import crf, ego, grulm, langid, mixing, rules, sharding, simhash
+from scoreloop.llm import bpe, crf, ego, grulm, langid, mixing, rules, sharding, simhash
 from scoreloop.llm.common import read, rest
 
 QUERIES: dict = {}
@@ -81,3 +81,19 @@ def op10_gru_lm(spark, sf_dir):
 @query("op2_embedding_ego")
 def op2_embedding_ego(spark, sf_dir):
     return ego.near_duplicates(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), cosine=0.9)
+
+
+def public_vocabulary(name="byte_bpe_multi_50k.tiktoken"):
+    """(bytes of the rank file, pattern) of an installed public tokenizer."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read(), public_tokenizers.PATTERN
+
+
+@query("op7_bpe_duckdb")
+def op7_bpe_duckdb(spark, sf_dir):
+    vocabulary, pattern = public_vocabulary()
+    coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, pattern, ["doc_id"])
+    return bpe.decode(coded, vocabulary).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
