@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import bpe, crf, ego, grulm, langid, mixing, rules, sharding, simhash
+from scoreloop.llm import bpe, crf, ego, grulm, langid, mixing, rules, sharding, simhash, suffix
 from scoreloop.llm.common import read, rest
 
 QUERIES: dict = {}
@@ -97,3 +97,10 @@ def op7_bpe_duckdb(spark, sf_dir):
     coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, pattern, ["doc_id"])
     return bpe.decode(coded, vocabulary).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs, ["doc_id"], length=400).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
