@@ -15,6 +15,10 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Scratch folders this driver has written and not deleted yet. A result that is
+#: still lazy may read one; who has stored its results calls ``sweep``.
+_WRITTEN: list[str] = []
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, as Spark reads it (any file system)."""
@@ -36,12 +40,15 @@ def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet into a fresh scratch folder; (reread table, folder)."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def drop_scratch(spark: SparkSession, *paths: str) -> None:
     """Delete scratch folders that no later step reads."""
     for path in paths:
+        if path in _WRITTEN:
+            _WRITTEN.remove(path)
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -58,6 +65,11 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, old)
 
 
+def sweep(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
+    """Delete all scratch folders written so far but those in ``keep``."""
+    drop_scratch(spark, *[p for p in _WRITTEN if p not in keep])
+
+
 def rest(doc_id: str, mod: int) -> F.Column:
     """crc32 of the id as text, modulo ``mod`` (null id: null)."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % mod

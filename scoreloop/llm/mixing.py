@@ -91,8 +91,8 @@ def plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block:
     """Per document: size, source_size, target, taken, and what is taken.
 
     ``docs`` has doc_id, source, size and any further columns. ``rounds`` says how
-    often the whole document is taken, ``runs`` which word ranges [from, to) of it
-    are taken once more, ``quota`` the source's blocks per shard.
+    often the whole document is taken, ``pick`` which of its blocks are taken once
+    more, ``quota`` the source's blocks per shard.
     """
     key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     rows = cut(docs.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, 3)))
@@ -119,10 +119,25 @@ def plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block:
          .join(starts, F.col("source").eqNullSafe(F.col("_src")) & (F.col("_bucket") == F.col("_b")))
          .withColumn("_pos", F.col("_pos") + F.col("_start"))
          .join(src, F.col("source").eqNullSafe(F.col("_source"))))
-    runs = (f"transform(filter(if(size > 0 and extra > 0, sequence(_pos div {block}, (_pos + size - 1) div {block}), array()), "
-            f"b -> (mul * b + add) % n_blocks < extra), "
-            f"b -> struct(greatest(b * {block}, _pos) - _pos as from, least((b + 1) * {block}, _pos + size) - _pos as to))")
-    d = d.withColumn("runs", F.expr(runs))
-    taken = F.col("rounds") * F.col("size") + F.expr("aggregate(runs, 0L, (a, x) -> a + x.to - x.from)")
-    keep = [c for c in docs.columns if c not in ("source_size", "target", "taken", "rounds", "runs", "quota")]
-    return d.select(*keep, "source_size", "target", taken.alias("taken"), "rounds", "runs", "quota")
+    picked = f"filter(if(size > 0 and extra > 0, sequence(_pos div {block}, (_pos + size - 1) div {block}), array()), b -> (mul * b + add) % n_blocks < extra)"
+    extra = F.expr(f"aggregate({picked}, 0L, (a, b) -> a + least((b + 1) * {block}, _pos + size) - greatest(b * {block}, _pos))")
+    d = d.withColumn("_extra", extra)
+    pick = F.struct(F.col("_pos").alias("pos"), F.lit(block).alias("block"), "mul", "add", "n_blocks", "extra")
+    keep = [c for c in docs.columns if c not in ("source_size", "target", "taken", "rounds", "pick", "quota")]
+    return d.select(*keep, "source_size", "target", (F.col("rounds") * F.col("size") + F.col("_extra")).alias("taken"),
+                    "rounds", pick.alias("pick"), "quota")
+
+
+def taken_texts(d: DataFrame, text: str = "text") -> DataFrame:
+    """One row per copy the mix takes: ``rounds`` times the whole text, then, if only
+    some blocks of it are taken once more, those words joined by spaces (all: the text as it is)."""
+    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), SPACE_CLASS + "+"), "")
+    part = F.expr("array_join(filter(_words, (w, i) -> (pick.mul * ((pick.pos + i) div pick.block) + pick.add) % pick.n_blocks < pick.extra), ' ')")
+    more = F.col("taken") - F.col("rounds") * F.col("size")
+    copies = F.concat(F.when((F.col("rounds") > 0) & (F.col("size") > 0), F.array_repeat(F.lit(True), F.col("rounds").cast("int")))
+                      .otherwise(F.array().cast("array<boolean>")),
+                      F.when(more > 0, F.array(more == F.col("size"))).otherwise(F.array().cast("array<boolean>")))
+    d = d.withColumn("_words", F.when((more > 0) & (more < F.col("size")), words))
+    d = d.withColumn("_part", F.when(F.col("_words").isNotNull(), part)).drop("_words")
+    return (d.withColumn("_whole", F.explode(copies))
+            .withColumn(text, F.when(F.col("_whole"), F.col(text)).otherwise(F.col("_part"))).drop("_whole", "_part"))

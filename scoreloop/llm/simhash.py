@@ -32,6 +32,7 @@ import sys
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scoreloop.llm.common import connected_components, cut
 
@@ -63,18 +64,20 @@ def fingerprint(text: str | None, size: int = 3) -> int:
     return int.from_bytes(np.packbits(votes * 2 > len(starts)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, keep: list[str], size: int = 3) -> DataFrame:
+    """``keep`` columns and fp, the fingerprint as a signed long, of every row of ``docs`` (which has text)."""
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            fps = [fingerprint(t.as_py(), size) for t in b.column(1)]
+            fps = [fingerprint(t.as_py(), size) for t in b.column(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())], names=["doc_id", "fp"])
+                [b.column(k) for k in range(b.num_columns - 1)] + [pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())],
+                names=[*keep, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(run, schema)
 
 
 def gray_rank(codes):
@@ -216,14 +219,18 @@ def links(fps: DataFrame, max_bits: int = 3, node_rows: int = 1 << 18) -> DataFr
     return ready.repartition("path", "pattern").mapInArrow(search, "u long, v long")
 
 
+def groups(fps: DataFrame, max_bits: int = 3, node_rows: int = 1 << 18) -> DataFrame:
+    """(fp, group): near-duplicate group of every distinct fingerprint of ``fps``."""
+    distinct = cut(fps.select("fp").distinct())
+    comp = connected_components(links(distinct, max_bits, node_rows))
+    return (distinct.join(comp, F.col("fp") == F.col("node"), "left")
+            .select("fp", F.coalesce("component_id", "fp").alias("group")))
+
+
 def near_duplicates(docs: DataFrame, size: int = 3, max_bits: int = 3, node_rows: int = 1 << 18) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable by links."""
-    f = cut(fingerprints(docs, size))
-    classes = cut(f.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    comp = connected_components(links(classes.select("fp"), max_bits, node_rows))
-    named = (classes.join(comp, F.col("fp") == F.col("node"), "left")
-             .select("fp", "rep", F.coalesce("component_id", "fp").alias("top")))
-    tops = named.groupBy("top").agg(F.min("rep").alias("component_id"))
-    cls = named.join(tops, "top").select("fp", "component_id")
-    return f.join(cls, "fp").select("doc_id", "fp", "component_id")
-
+    f = cut(fingerprints(docs.withColumn("doc_id", F.col("doc_id").cast("long")), ["doc_id"], size))
+    low = f.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    named = cut(groups(f, max_bits, node_rows).join(low, "fp"))
+    tops = named.groupBy("group").agg(F.min("low").alias("component_id"))
+    return f.join(named.join(tops, "group").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
