@@ -216,16 +216,22 @@ class LineModel:
         return 1 / (1 + np.exp(-np.clip(self.a * self._logit(self._means(docs, marginals)) + self.b, -50, 50)))
 
 
-def fit(train: DataFrame, per_class: int = 800, max_lines: int = 200) -> LineModel | None:
-    """Fit on ``train`` (doc_id, text, label 0/1); None unless both labels occur."""
-    train = train.filter(f"label in (0, 1) and coalesce(size(split(text, '\\n')), 1) <= {max_lines}")
-    counts = {r["label"]: r["n"] for r in train.groupBy("label").agg(F.count("*").alias("n")).collect()}
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, max_lines: int = 200) -> LineModel | None:
+    """Fit on ``docs`` (doc_id, text) by ``labels`` (doc_id, label 0/1); None unless both labels occur.
+
+    The sample is drawn from the labels alone, so only its texts move."""
+    labels = labels.filter("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int"))
+    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {0, 1}:
         return None
     near = F.when(F.col("label") == 0, F.lit((2.0 * per_class + 100) / counts[0])).otherwise(F.lit((2.0 * per_class + 100) / counts[1]))
     order = Window.partitionBy("label").orderBy("_u", "doc_id")
-    sample = (train.withColumn("_u", unit(F.lit(SEED), F.col("doc_id"))).filter(F.col("_u") < near)
-              .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_class))
+    ids = (labels.withColumn("_u", unit(F.lit(SEED), F.col("doc_id"))).filter(F.col("_u") < near)
+           .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_class).drop("_r"))
+    once = Window.partitionBy("doc_id", "label").orderBy(F.length("text"), "text")
+    sample = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
+              .filter(f"coalesce(size(split(text, '\n')), 1) <= {max_lines}")
+              .withColumn("_r", F.row_number().over(once)).filter(F.col("_r") == 1))
 
     def run(batches):
         import pyarrow as pa
