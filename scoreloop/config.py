@@ -82,7 +82,6 @@ class Sizing:
 
     max_broadcast_rows: int = 2_000_000
     max_broadcast_bytes: int = 128 * 1024 * 1024
-    vocab_size: int = 50_000
 
 
 SIZING = Sizing()

@@ -14,15 +14,16 @@ LINEAGE_METRICS = ("num_rows", "label_mean", "label_std", "label_min", "label_ma
 
 
 def row_hash(*cols: str) -> Column:
-    """First 32 bits of md5 over the row's values (null shown as \\N), as a number."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols]
-    h = F.md5(F.concat_ws("|", *parts))
-    return F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
+    """First 60 bits of md5 over the row's values as a number. Every value goes in with
+    its length ("3:abc"), a null as "-", so different rows never spell the same text."""
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-"))
+             for c in cols]
+    return F.conv(F.substring(F.md5(F.concat(*parts)), 1, 15), 16, 10).cast("long")
 
 
 def fingerprint_agg(*cols: str) -> Column:
     """Order-free fingerprint: sum of row hashes as decimal(38,0), shown as text."""
-    return F.sum(row_hash(*cols).cast("decimal(20,0)")).cast("decimal(38,0)").cast("string")
+    return F.sum(row_hash(*cols).cast("decimal(28,0)")).cast("decimal(38,0)").cast("string")
 
 
 def table_fingerprint(df: DataFrame, cols: list[str], by: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scoreloop.config import LIMITS
 from scoreloop.functions import scalars as S
+from scoreloop.operators.sizing import materialize
 
 
 # ---------------------------------------------------------------- windows
@@ -36,11 +37,11 @@ def first_per_key(df: DataFrame, key: str = "text_hash", order: list | None = No
 
 
 def first_arrival(df: DataFrame, keys: list, ts: str = "event_timestamp", tiebreak: str = "id") -> DataFrame:
-    """(keys..., _first_id): the earliest row per key (time ascending, missing
-    times last, then smallest id) as a grouping with map-side partial
-    aggregation -- a hot key costs one row per map task, not one task."""
-    order = F.struct(F.col(ts).isNull(), F.col(ts), F.col(tiebreak))
-    return df.groupBy(*keys).agg(F.min_by(F.col(tiebreak), order).alias("_first_id"))
+    """(keys..., _first_row): the ``_row`` of the earliest row per key (time ascending,
+    missing times last, then smallest id, then row) as a grouping with map-side
+    partial aggregation -- a hot key costs one row per map task, not one task."""
+    order = F.struct(F.col(ts).isNull(), F.col(ts), F.col(tiebreak), F.col("_row"))
+    return df.groupBy(*keys).agg(F.min_by(F.col("_row"), order).alias("_first_row"))
 
 
 def duplicate_flag(df: DataFrame, key: str = "text_hash", ts: str = "event_timestamp",
@@ -50,9 +51,12 @@ def duplicate_flag(df: DataFrame, key: str = "text_hash", ts: str = "event_times
     Not a window over all rows of a key: the first arrival per key is an
     aggregate, joined back on the key (AQE splits a skewed key's partition
     of the big side; the per-key side has one row per key)."""
+    # every arriving row gets its own number, written once: a redelivered row may
+    # repeat key, time and id
+    df = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
     first = first_arrival(df, [key], ts, tiebreak)
     j = df.join(first, df[key].eqNullSafe(first[key]), "left").drop(first[key])
-    return j.withColumn("is_duplicate", F.col(tiebreak) != F.col("_first_id")).drop("_first_id")
+    return j.withColumn("is_duplicate", F.col("_row") != F.col("_first_row")).drop("_first_row", "_row")
 
 
 # ---------------------------------------------------------------- predicates
@@ -137,20 +141,20 @@ def clean_feedback(df: DataFrame, variant: str = "strict", lang: str = "lang",
     (``remap``).
 
     Length depends only on the text, and equal hash means equal text, so
-    it is applied before the dedup shuffle (fewer, smaller rows to move).
+    it is applied before the dedup shuffle (fewer, smaller rows to move);
+    rows without a hash form one group of different texts, so their gates
+    wait until the latest of them is known.
     Language moves too when it is a function of the text (a detector);
     a stored ``lang`` column stays after the dedup. Consistency must stay
     after the dedup: the latest row decides.
     """
     if variant not in ("strict", "basic", "remap"):
         raise ValueError(variant)
-    pre = df.filter(length_ok())
+    no_hash = F.col("text_hash").isNull()
+    pre = df.filter(no_hash | length_ok())
     if text_only_language:
-        pre = pre.filter(language_ok(lang, wanted))
-    out = dedup_latest(pre)
-    if not text_only_language:
-        out = out.filter(language_ok(lang, wanted))
-    out = out.filter(consistency_ok())
+        pre = pre.filter(no_hash | F.coalesce(language_ok(lang, wanted), F.lit(False)))
+    out = dedup_latest(pre).filter(length_ok()).filter(language_ok(lang, wanted)).filter(consistency_ok())
     if variant == "remap":
         return target_remap(out)
     return out.filter(target_ok())
@@ -162,15 +166,16 @@ def funnel_report(df: DataFrame, lang: str = "lang", wanted: str = "en") -> Data
     sizes and the latest row; partial aggregation runs map-side.
     """
     order_key = F.struct(F.col("event_timestamp").isNull(), F.col("event_timestamp"), F.col("id"))
-    latest = (df.groupBy("text_hash")
-              .agg(F.count("*").alias("n"),
-                   F.max_by(F.struct(lang, "text", "user_feedback", "model_score", "target_score"),
-                            order_key).alias("r"))
-              .select("n", "r.*"))
-    f_lang = language_ok(lang, wanted)
-    f_len = f_lang & length_ok()
-    f_cons = f_len & consistency_ok()
-    f_tgt = f_cons & target_ok()
+    # the gates become four booleans before the grouping: no text is sorted or moved
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    flags = df.select("text_hash", F.struct(
+        order_key.alias("o"), yes(language_ok(lang, wanted)).alias("lang"), yes(length_ok()).alias("len"),
+        yes(consistency_ok()).alias("cons"), yes(target_ok()).alias("tgt")).alias("r"))
+    latest = flags.groupBy("text_hash").agg(F.count("*").alias("n"), F.max("r").alias("r")).select("n", "r.*")
+    f_lang = F.col("lang")
+    f_len = f_lang & F.col("len")
+    f_cons = f_len & F.col("cons")
+    f_tgt = f_cons & F.col("tgt")
     agg = latest.agg(
         F.sum("n").alias("initial_rows"),
         F.count("*").alias("after_dedup"),

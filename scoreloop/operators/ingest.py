@@ -55,6 +55,21 @@ def constraint_report(df: DataFrame) -> DataFrame:
     return g.select(F.inline(arr))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Every arriving row with a number of its own; write it before using it twice."""
+    return df.withColumn("_row", F.monotonically_increasing_id())
+
+
+def stamped(requests: DataFrame) -> DataFrame:
+    """A request as the service takes it has no id and no time: both are set on arrival
+    (columns that are there stay)."""
+    if "id" not in requests.columns:
+        requests = requests.withColumn("id", F.xxhash64(F.expr("uuid()")))
+    if "event_timestamp" not in requests.columns:
+        requests = requests.withColumn("event_timestamp", F.current_timestamp().cast("timestamp_ntz"))
+    return requests
+
+
 def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash",
                     eligible: Column | None = None) -> DataFrame:
     """D1 + F3 in one pass: ``is_duplicate`` is true for a row whose key is
@@ -65,6 +80,8 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
     from scoreloop.operators.gates import first_arrival
 
     elig = F.lit(True) if eligible is None else F.coalesce(eligible, F.lit(False))
+    if "_row" not in incoming.columns:  # a redelivered request may repeat key, time and id
+        incoming = materialize(numbered(incoming))
     x = incoming.withColumn("_elig", elig)
     first = first_arrival(x, [key, "_elig"])
     # probe the store only for this batch's keys: the batch key set (size-checked,
@@ -76,14 +93,15 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
     per_key = first.join(stored, key, "left")
     x = x.join(per_key, [x[key].eqNullSafe(per_key[key]), x["_elig"] == per_key["_elig"]], "left") \
         .drop(per_key[key]).drop(per_key["_elig"])
-    dup = F.coalesce(F.col("_stored"), F.lit(False)) | (F.col("id") != F.col("_first_id"))
-    return x.withColumn("is_duplicate", dup).drop("_elig", "_first_id", "_stored")
+    dup = F.coalesce(F.col("_stored"), F.lit(False)) | (F.col("_row") != F.col("_first_row"))
+    return x.withColumn("is_duplicate", dup).drop("_elig", "_first_row", "_stored")
 
 
 def split_new_and_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash"):
     """(new, duplicates): first arrival per key not yet stored, and the rest."""
     f = flag_duplicates(incoming, store, key)
-    return f.filter(~F.col("is_duplicate")).drop("is_duplicate"), f.filter("is_duplicate").drop("is_duplicate")
+    return (f.filter(~F.col("is_duplicate")).drop("is_duplicate", "_row"),
+            f.filter("is_duplicate").drop("is_duplicate", "_row"))
 
 
 def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str = "text_hash",
@@ -91,15 +109,17 @@ def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str
     """I1 batch form: every request with ``status`` ('accepted' or its first
     reason) and, for accepted rows, the target. One pass: shape check,
     one language detection per distinct text, then the duplicate flag."""
-    r = incoming.withColumn("text_hash", S.text_hash("text")).withColumn("reject_reason", shape_reason())
+    given = "_row" in incoming.columns
+    r = incoming if given else numbered(incoming)
+    r = r.withColumn("text_hash", S.text_hash("text")).withColumn("reject_reason", shape_reason())
     r = L.with_language(r, profile, langs, key="text_hash", prepared=prepared)
     r = r.withColumn("reject_reason", F.coalesce(F.col("reject_reason"), L.language_reason()))
     # the narrow request rows (no text) are used twice by the duplicate flag:
     # write them once instead of re-running the detection for each use
-    r = materialize(r.select("id", key, "user_feedback", "event_timestamp", "reject_reason"))
+    r = materialize(r.select("_row", "id", key, "user_feedback", "event_timestamp", "reject_reason"))
     f = flag_duplicates(r, store, key, eligible=F.col("reject_reason").isNull())
     status = F.coalesce(F.col("reject_reason"), F.when(F.col("is_duplicate"), "duplicate"), F.lit("accepted"))
-    return f.select("id", "text_hash", status.alias("status"),
+    return f.select(*(["_row"] if given else []), "id", "text_hash", status.alias("status"),
                     F.when(status == "accepted", S.target_from_feedback("user_feedback")).alias("target_score"))
 
 

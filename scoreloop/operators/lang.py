@@ -71,10 +71,13 @@ def detect(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str =
            text: str = "text", prepared: bool = False) -> DataFrame:
     """(key, detected_lang) for every key that has at least one known gram."""
     prof = wide_profile if prepared else bounded_lookup(wide_profile)
-    g = _grams(df, key, text).join(prof, "gram")
-    sums = g.groupBy(key).agg(*[F.sum(f"lp_{lg}").alias(f"s_{lg}") for lg in langs])
-    ranked = F.sort_array(F.array(*[F.struct((-F.col(f"s_{lg}")).alias("neg"), F.lit(lg).alias("lang"))
-                                    for lg in langs]))
+    # one row per (text, gram) before the join: beyond the broadcast bound the
+    # shuffle join moves distinct grams, not every character
+    counts = _grams(df, key, text).groupBy(key, "gram").agg(F.count("*").alias("c"))
+    g = counts.join(prof, "gram")
+    sums = g.groupBy(key).agg(*[F.sum(F.col(f"`lp_{lg}`") * F.col("c")).alias(f"s_{k}") for k, lg in enumerate(langs)])
+    ranked = F.sort_array(F.array(*[F.struct((-F.col(f"s_{k}")).alias("neg"), F.lit(lg).alias("lang"))
+                                    for k, lg in enumerate(langs)]))
     return sums.select(key, ranked[0]["lang"].alias("detected_lang"))
 
 

@@ -39,14 +39,19 @@ def _finite(c: Column) -> Column:
     return ~F.isnan(c) & (F.abs(c) != F.lit(INF))
 
 
+def one_phase(epochs: DataFrame, phase: str | None) -> DataFrame:
+    """The epochs of the monitored phase (``phase`` None or no phase column: all rows)."""
+    return epochs.filter(F.col("phase") == phase) if phase is not None and "phase" in epochs.columns else epochs
+
+
 def early_stop(epochs: DataFrame, metric: str = "epoch_loss", patience: int = TRAINING.patience,
-               key: str = "run_id") -> DataFrame:
-    """stop when the monitored value has not improved (strictly lower)
+               key: str = "run_id", phase: str | None = "val") -> DataFrame:
+    """on the monitored ``phase``, stop when the monitored value has not improved (strictly lower)
     for ``patience`` epochs, or is not finite. Gaps and islands: an island
     starts at each improvement; its rank is the wait count."""
     w = Window.partitionBy(key).orderBy("epoch")
     prev_best = F.min("m").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    x = epochs.select(key, "epoch", F.col(metric).alias("m")).withColumn(
+    x = one_phase(epochs, phase).select(key, "epoch", F.col(metric).alias("m")).withColumn(
         "improved", F.coalesce(F.col("m") < prev_best, F.lit(True)) & _finite(F.col("m")))
     x = x.withColumn("island", F.sum(F.col("improved").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     wi = Window.partitionBy(key, "island").orderBy("epoch")
@@ -58,14 +63,14 @@ def early_stop(epochs: DataFrame, metric: str = "epoch_loss", patience: int = TR
 
 
 def best_checkpoint(epochs: DataFrame, stops: DataFrame | None = None, metric: str = "epoch_loss",
-                    key: str = "run_id") -> DataFrame:
-    """lowest monitored value, first epoch on ties, among the epochs that
-    ran (up to the stop epoch when early stopping is given)."""
-    e = epochs
+                    key: str = "run_id", phase: str | None = "val") -> DataFrame:
+    """lowest monitored value of ``phase``, first epoch on ties, among the epochs
+    that ran (up to the stop epoch when early stopping is given); a missing value never wins."""
+    e = one_phase(epochs, phase)
     if stops is not None:
         e = e.join(stops.select(key, "stop_epoch"), key, "left").filter(
             F.col("stop_epoch").isNull() | (F.col("epoch") <= F.col("stop_epoch")))
-    e = e.filter(~F.isnan(metric))
+    e = e.filter(F.col(metric).isNotNull() & ~F.isnan(metric))
     return e.groupBy(key).agg(
         F.min_by("epoch", F.struct(F.col(metric), F.col("epoch"))).alias("best_epoch"),
         F.min(metric).alias("best_value"))
@@ -125,10 +130,11 @@ def promotion_history(candidates: DataFrame, key: str = "family", order: str = "
                       F.col("st.last_promoted").alias("last_promoted"))
 
 
-def run_records(log: DataFrame, patience: int = TRAINING.patience) -> DataFrame:
-    """K3: long run record (run_id, kind, key, value) from a loss log."""
+def run_records(log: DataFrame, patience: int = TRAINING.patience, phase: str | None = "val") -> DataFrame:
+    """K3: long run record (run_id, kind, key, value) from the monitored phase of a loss log."""
+    log = one_phase(log, phase)
     e = epoch_loss(log)
-    stops = early_stop(e, patience=patience)
+    stops = early_stop(e, patience=patience, phase=phase)
     per_run = (log.groupBy("run_id").agg(F.count("*").cast("double").alias("n_steps"),
                                          F.avg("loss").alias("mean_loss"))
                .join(e.groupBy("run_id").agg(F.count("*").cast("double").alias("n_epochs"),

@@ -17,30 +17,33 @@ from scoreloop.config import SIZING
 from scoreloop.session import ensure_checkpoint_dir
 
 
-def row_width(schema: T.StructType) -> int:
-    """A conservative per-row size estimate in bytes (strings count 32)."""
-    size = 16
-    for f in schema.fields:
-        dt = f.dataType
-        if isinstance(dt, (T.StringType, T.BinaryType)):
-            size += 32
-        elif isinstance(dt, (T.ArrayType, T.MapType, T.StructType)):
-            size += 128
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``: strings and binaries by their real length, one aggregate."""
+    size = F.lit(16)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(f.dataType, T.BinaryType):
+            size = size + F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) * 2
         else:
-            size += 8
-    return size
+            size = size + 8
+    n, total = df.agg(F.count("*"), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return n, total
 
 
 def bounded_lookup(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Checkpoint ``df`` (cuts lineage), count it, broadcast it only if both its
-    row count and its estimated size are within bounds; otherwise return it
+    row count and its measured size are within bounds; otherwise return it
     unhinted so the join stays a (skew-aware) shuffle join."""
     limit = SIZING.max_broadcast_rows if max_rows is None else max_rows
     byte_limit = SIZING.max_broadcast_bytes if max_bytes is None else max_bytes
     ensure_checkpoint_dir(df.sparkSession)
     df = df.checkpoint(eager=True)
-    n = df.count()
-    small = n <= limit and n * row_width(df.schema) <= byte_limit
+    n, total = measured(df)
+    small = n <= limit and total <= byte_limit
     return F.broadcast(df) if small else df
 
 

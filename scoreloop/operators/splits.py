@@ -67,14 +67,14 @@ def batch_plan(split_df: DataFrame, batch_size: int = TRAINING.batch_size) -> Da
 
 
 def split_leak(a: DataFrame, b: DataFrame, key: str = "text_hash") -> DataFrame:
-    """H1: how much of set b also occurs in set a, by key."""
-    ka, kb = a.select(key).filter(F.col(key).isNotNull()), b.select(key).filter(F.col(key).isNotNull())
-    overlap = ka.intersect(kb)
-    leaked = b.join(ka.distinct(), key, "left_semi")
-    clean = b.join(ka.distinct(), key, "left_anti")
-    return overlap.agg(F.count("*").cast("long").alias("overlap_keys")).select(
-        "overlap_keys",
-        leaked.select(F.count("*")).scalar().cast("long").alias("rows_leaked"),
-        clean.select(F.count("*")).scalar().cast("long").alias("rows_clean"),
-        ka.distinct().select(F.count("*")).scalar().cast("long").alias("keys_a"),
-        kb.distinct().select(F.count("*")).scalar().cast("long").alias("keys_b"))
+    """H1: how much of set b also occurs in set a, by key: one grouping of both
+    sets counts each key's rows in either; rows of b without a key are clean."""
+    both = (a.select(key, F.lit(1).alias("in_a"), F.lit(0).alias("in_b"))
+            .union(b.select(key, F.lit(0).alias("in_a"), F.lit(1).alias("in_b"))))
+    k = both.groupBy(key).agg(F.sum("in_a").alias("na"), F.sum("in_b").alias("nb"))
+    known = F.col(key).isNotNull()
+    in_a, in_b = known & (F.col("na") > 0), known & (F.col("nb") > 0)
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("nb"))), F.lit(0)).cast("long")
+    return k.agg(F.count_if(in_a & in_b).cast("long").alias("overlap_keys"), total(in_a).alias("rows_leaked"),
+                 total(~in_a).alias("rows_clean"), F.count_if(in_a).cast("long").alias("keys_a"),
+                 F.count_if(in_b).cast("long").alias("keys_b"))

@@ -51,12 +51,12 @@ def duplicate_stats(df: DataFrame, key: str = "text_hash") -> DataFrame:
 
 
 def label_distribution(df: DataFrame, label: str = "target_score") -> DataFrame:
-    """E5: share of each label value among the non-missing labels."""
+    """E5: share of each label value among the non-missing labels, not rounded (a limit reads it)."""
     present = df.filter(~S.is_missing(label))
     counts = present.groupBy(label).agg(F.count("*").alias("n"))
     total = present.select(F.count("*")).scalar()
     return counts.select(F.col(label).alias("label"), F.col("n").cast("long").alias("n"),
-                         F.round(F.try_divide(F.col("n").cast("double"), total), 6).alias("share"))
+                         F.try_divide(F.col("n").cast("double"), total).alias("share"))
 
 
 def mismatch(feedback: str = "user_feedback", score: str = "model_score") -> Column:

@@ -2,39 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreloop.config import SIZING, TOKEN_BOS, TOKEN_EOS, TOKEN_PAD, TOKEN_UNK, TRAINING
+from scoreloop.config import TOKEN_BOS, TOKEN_EOS, TOKEN_PAD, TOKEN_UNK, TRAINING
 from scoreloop.functions.tokens import tokens
-from scoreloop.operators.sizing import bounded_lookup
+from scoreloop.operators.sizing import bounded_lookup, global_rank
 
 FIRST_ID = TOKEN_UNK + 1
 
 
-def vocab_build(texts: DataFrame, text: str = "text", size: int = SIZING.vocab_size) -> DataFrame:
-    """(token, n, token_id): the ``size`` most frequent tokens, ids by
-    count desc then token asc, starting after the special ids.
-
-    The top-k is a per-partition top-k merged in one task (bounded by
-    ``size``); the numbering window then sees at most ``size`` rows.
-    """
+def vocab_build(texts: DataFrame, text: str = "text", size: int | None = None) -> DataFrame:
+    """(token, n, token_id) of every token, ids by count desc then token asc,
+    starting after the special ids. A caller may keep only the ``size`` most
+    frequent. Numbered by the distributed rank, not in one task."""
     counts = (texts.select(F.explode(tokens(text)).alias("token"))
               .groupBy("token").agg(F.count("*").cast("long").alias("n")))
-    top = counts.orderBy(F.col("n").desc(), F.col("token").asc()).limit(size)
-    w = Window.orderBy(F.col("n").desc(), F.col("token").asc())
-    return top.select("token", "n", (F.row_number().over(w) + FIRST_ID - 1).cast("int").alias("token_id"))
+    ranked = global_rank(counts, [F.col("n").desc(), F.col("token").asc()])
+    if size is not None:
+        ranked = ranked.filter(F.col("rank") <= size)
+    return ranked.select("token", "n", (F.col("rank") + FIRST_ID - 1).cast("int").alias("token_id"))
 
 
 def encode_fixed(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "text",
                  max_tokens: int = TRAINING.max_tokens) -> DataFrame:
     """Ids with start/end marks, truncated and padded to ``max_tokens``,
     plus the attention mask. Only the first max_tokens-2 tokens can survive
-    truncation, so only those are exploded and looked up. The vocabulary is
-    bounded by its build size and goes through the same size check."""
+    truncation, so only those are exploded and looked up. The vocabulary
+    goes through the size check."""
     keep = max_tokens - 2
     toks = df.select(key, F.posexplode_outer(F.slice(tokens(text), 1, keep)).alias("pos", "token"))
-    v = bounded_lookup(vocab.select("token", "token_id"))   # bounded by the build size; checked anyway
+    v = bounded_lookup(vocab.select("token", "token_id")) 
     looked = toks.join(v, "token", "left").select(
         key, "pos", F.coalesce("token_id", F.lit(TOKEN_UNK)).alias("tid"))
     per_doc = looked.groupBy(key).agg(
@@ -60,9 +58,11 @@ def score_linear(df: DataFrame, weights: DataFrame, key: str = "id", text: str =
     text without tokens scores 0.5. The weight table is size-checked before
     it is broadcast; each text's rows collapse map-side in the aggregation."""
     w = weights if prepared else bounded_lookup(weights)
-    t = df.select(key, F.explode_outer(tokens(text)).alias("token"))
+    # one row per (text, token) before the join: beyond the broadcast bound the
+    # shuffle join moves distinct tokens, not every occurrence
+    t = (df.select(key, F.explode_outer(tokens(text)).alias("token"))
+         .groupBy(key, "token").agg(F.count("token").alias("c")))
     j = t.join(w, "token", "left")
-    s = j.groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("sw"),
-                           F.count("token").alias("nt"))
+    s = j.groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0)) * F.col("c")).alias("sw"), F.sum("c").alias("nt"))
     mean = F.when(F.col("nt") > 0, F.col("sw") / F.col("nt")).otherwise(F.lit(0.0))
     return s.select(key, (F.lit(1.0) / (F.lit(1.0) + F.exp(-mean))).alias("score"))

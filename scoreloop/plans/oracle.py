@@ -90,8 +90,8 @@ tset AS (
   FROM documents d LEFT JOIN (SELECT text_hash, target_score FROM dd) l ON sha256(d.text) = l.text_hash
 )"""
 
-ROWHASH = """CAST(('0x' || substr(md5(concat_ws('|', coalesce(CAST(text AS VARCHAR), '\\N'),
-                  coalesce(CAST(label AS VARCHAR), '\\N'))), 1, 8))::BIGINT AS DECIMAL(20,0))"""
+ROWHASH = """CAST(('0x' || substr(md5(concat(coalesce(length(CAST(text AS VARCHAR)) || ':' || CAST(text AS VARCHAR), '-'),
+                  coalesce(length(CAST(label AS VARCHAR)) || ':' || CAST(label AS VARCHAR), '-'))), 1, 15))::BIGINT AS DECIMAL(38,0))"""
 
 DSR = f"""
 dsr AS (
@@ -156,7 +156,8 @@ SQL["gate_length"] = F_ + "SELECT id, text_hash FROM fe WHERE coalesce(length(te
 SQL["gate_consistency"] = F_ + f"SELECT id, text_hash FROM fe WHERE {CONSISTENT}"
 SQL["gate_target"] = with_ctes(FE, STALE) + "SELECT id, text_hash FROM stale WHERE target_score IS NOT NULL AND NOT isnan(target_score)"
 SQL["clean_feedback_remap"] = with_ctes(FE, DEDUP) + f""",
-c AS (SELECT * FROM dd WHERE coalesce(lang = 'en', false) AND coalesce(length(text) BETWEEN 5 AND 1000, false) AND {CONSISTENT})
+c AS (SELECT * REPLACE (CASE WHEN model_version = 'm1' THEN NULL WHEN model_version = 'm2' THEN 0.25 ELSE target_score END AS target_score)
+      FROM dd WHERE coalesce(lang = 'en', false) AND coalesce(length(text) BETWEEN 5 AND 1000, false) AND {CONSISTENT})
 SELECT id, text, text_hash, model_score, user_feedback, model_version, event_timestamp,
        CASE WHEN (SELECT coalesce(max(CASE WHEN target_score IS NULL OR isnan(target_score) THEN 1 ELSE 0 END), 0) FROM c) = 1
             THEN {MAP_TARGET} ELSE target_score END AS target_score, lang
@@ -234,7 +235,7 @@ g AS (
 ),
 dup AS (SELECT CAST(sum(n) - count(*) AS DOUBLE) / sum(n) AS c4 FROM (SELECT text_hash, count(*) n FROM clean GROUP BY text_hash) x),
 lab AS (SELECT max(share) AS c5, CAST(count(*) AS DOUBLE) AS c6 FROM (
-          SELECT round(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clean WHERE target_score IS NOT NULL AND NOT isnan(target_score)), 6) AS share
+          SELECT CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM clean WHERE target_score IS NOT NULL AND NOT isnan(target_score)) AS share
           FROM clean WHERE target_score IS NOT NULL AND NOT isnan(target_score) GROUP BY target_score) y),
 w AS (SELECT * FROM g, dup, lab),
 r AS (
@@ -344,15 +345,16 @@ FROM (SELECT length(array_to_string(list_slice(regexp_extract_all(text, '{PAT}')
              abs(y_true - y_pred) AS err FROM pred) t GROUP BY 1"""
 
 LL = """
-ll AS (SELECT 'r' || CAST(event_id % 7 AS VARCHAR) AS run_id, 'val' AS phase, (event_id // 7) // 50 AS epoch,
-              event_id // 7 AS step, value AS loss FROM events),
+ll AS (SELECT 'r' || CAST(event_id % 7 AS VARCHAR) AS run_id, phase, (event_id // 7) // 50 AS epoch, event_id // 7 AS step,
+              CASE WHEN phase = 'val' THEN value ELSE value / 2 - (event_id // 7) // 50 END AS loss
+       FROM (SELECT *, unnest(['val', 'train']) AS phase FROM events) x),
 ep AS (SELECT run_id, phase, epoch, avg(loss) AS epoch_loss, sum(loss) AS loss_sum, count(loss) AS steps
        FROM ll GROUP BY run_id, phase, epoch)"""
 FIN = "(NOT isnan(m) AND abs(m) != 'inf'::DOUBLE)"
 ES = f"""
 es1 AS (SELECT run_id, epoch, epoch_loss AS m,
                min(epoch_loss) OVER (PARTITION BY run_id ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pb
-        FROM ep),
+        FROM ep WHERE phase = 'val'),
 es2 AS (SELECT *, coalesce(m < pb, true) AND {FIN} AS improved FROM es1),
 es3 AS (SELECT *, sum(CASE WHEN improved THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY epoch ROWS UNBOUNDED PRECEDING) AS island FROM es2),
 es4 AS (SELECT *, row_number() OVER (PARTITION BY run_id, island ORDER BY epoch) - 1 AS wait FROM es3),
@@ -368,7 +370,7 @@ SQL["best_checkpoint"] = "WITH" + LL + "," + ES + """,
 b AS (SELECT ep.run_id, ep.epoch, ep.epoch_loss,
              row_number() OVER (PARTITION BY ep.run_id ORDER BY ep.epoch_loss, ep.epoch) AS rk
       FROM ep LEFT JOIN es ON ep.run_id = es.run_id
-      WHERE (es.stop_epoch IS NULL OR ep.epoch <= es.stop_epoch) AND NOT isnan(ep.epoch_loss))
+      WHERE ep.phase = 'val' AND (es.stop_epoch IS NULL OR ep.epoch <= es.stop_epoch) AND NOT isnan(ep.epoch_loss))
 SELECT run_id, epoch AS best_epoch, round(epoch_loss, 9) AS best_value FROM b WHERE rk = 1"""
 
 CAND = """
@@ -422,8 +424,8 @@ SQL["run_compare"] = "WITH" + LL + "," + ES + """
 SELECT r.run_id, 2.0 AS patience, round(r.n_steps, 9) AS n_steps, round(r.mean_loss, 9) AS mean_loss,
        round(e.n_epochs, 9) AS n_epochs, round(e.best_epoch_loss, 9) AS best_epoch_loss,
        round(CAST(es.stop_epoch AS DOUBLE), 9) AS stop_epoch
-FROM (SELECT run_id, CAST(count(*) AS DOUBLE) AS n_steps, avg(loss) AS mean_loss FROM ll GROUP BY run_id) r
-JOIN (SELECT run_id, CAST(count(*) AS DOUBLE) AS n_epochs, min(epoch_loss) AS best_epoch_loss FROM ep GROUP BY run_id) e
+FROM (SELECT run_id, CAST(count(*) AS DOUBLE) AS n_steps, avg(loss) AS mean_loss FROM ll WHERE phase = 'val' GROUP BY run_id) r
+JOIN (SELECT run_id, CAST(count(*) AS DOUBLE) AS n_epochs, min(epoch_loss) AS best_epoch_loss FROM ep WHERE phase = 'val' GROUP BY run_id) e
   ON r.run_id = e.run_id
 JOIN es ON r.run_id = es.run_id"""
 
@@ -496,7 +498,7 @@ VOCAB = f"""
 vc AS (SELECT token, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '{PAT}')) AS token FROM documents) t
        GROUP BY token),
 vocab AS (SELECT token, CAST(n AS BIGINT) AS n, CAST(row_number() OVER (ORDER BY n DESC, token ASC) + 3 AS INTEGER) AS token_id
-          FROM vc QUALIFY row_number() OVER (ORDER BY n DESC, token ASC) <= 50000)"""
+          FROM vc)"""
 SQL["vocab_build"] = "WITH" + VOCAB + "\nSELECT token, n, token_id FROM vocab"
 SQL["encode_fixed"] = "WITH" + VOCAB + f""",
 et AS (SELECT doc_id, list_slice(regexp_extract_all(text, '{PAT}'), 1, 510) AS toks FROM documents),
@@ -529,11 +531,15 @@ SELECT doc_id, detected_lang, reason, round(score, 6) AS score,
 
 INC = """
 half AS (SELECT max(id) / 2 AS h FROM fe),
-store AS (SELECT * FROM fe WHERE id < (SELECT h FROM half)
+store AS (SELECT * FROM fe WHERE id < (SELECT h FROM half) AND id % 5 = 0
           QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY id) = 1),
-inc AS (SELECT id, text, model_score, user_feedback, model_version, event_timestamp FROM fe
-        WHERE id >= (SELECT h FROM half)),
-ih AS (SELECT *, sha256(text) AS text_hash FROM inc)"""
+req AS (SELECT id, CASE WHEN id % 53 = 0 THEN 'abc' WHEN id % 61 = 0 THEN '\u4e2d\u6587\u4e2d\u6587\u4e2d\u6587' WHEN id % 67 = 0 THEN NULL ELSE text END AS text,
+               CASE WHEN id % 43 = 0 THEN 1.5 WHEN id % 79 = 0 THEN NULL ELSE model_score END AS model_score,
+               CASE WHEN id % 41 = 0 THEN 'some_unknown_feedback_label' WHEN id % 71 = 0 THEN NULL ELSE user_feedback END AS user_feedback,
+               CASE WHEN id % 47 = 0 THEN NULL WHEN id % 73 = 0 THEN repeat('v', 101) ELSE model_version END AS model_version,
+               event_timestamp, unnest(CASE WHEN id % 59 = 0 THEN [0, 1] ELSE [0] END) AS copy FROM fe),
+rh AS (SELECT *, sha256(text) AS text_hash FROM req),
+ih AS (SELECT * FROM rh WHERE id >= (SELECT h FROM half))"""
 SHAPE = """CASE WHEN coalesce(length(text) < 5, true) THEN 'text_too_short'
      WHEN model_score IS NULL OR isnan(model_score) OR model_score < 0.0 OR model_score > 1.0 THEN 'score_out_of_range'
      WHEN NOT coalesce(regexp_matches(user_feedback, '^(human|ai|human_edited_ai)$'), false) THEN 'invalid_feedback'
@@ -543,27 +549,27 @@ SHAPE = """CASE WHEN coalesce(length(text) < 5, true) THEN 'text_too_short'
 
 def new_dups(src: str) -> str:
     return f"""
-fst AS (SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp ASC NULLS LAST, id ASC) = 1),
+fst AS (SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp ASC NULLS LAST, id ASC, copy) = 1),
 new AS (SELECT * FROM fst f WHERE NOT EXISTS (SELECT 1 FROM store s WHERE s.text_hash = f.text_hash)),
 dups AS (SELECT * FROM fst f WHERE EXISTS (SELECT 1 FROM store s WHERE s.text_hash = f.text_hash)
-         UNION ALL SELECT * FROM {src} x WHERE NOT EXISTS (SELECT 1 FROM fst WHERE fst.id = x.id))"""
-
-
-SQL["ingest_validate"] = with_ctes(FE, INC) + f"SELECT id, {SHAPE} AS reject_reason FROM inc"
-SQL["constraint_report"] = F_ + """
-SELECT 'text_not_null' AS rule, CAST(count(*) FILTER (WHERE text IS NULL) AS BIGINT) AS violations FROM fe
-UNION ALL SELECT 'text_hash_not_null', CAST(count(*) FILTER (WHERE text_hash IS NULL) AS BIGINT) FROM fe
-UNION ALL SELECT 'model_score_not_null', CAST(count(*) FILTER (WHERE model_score IS NULL) AS BIGINT) FROM fe
-UNION ALL SELECT 'user_feedback_not_null', CAST(count(*) FILTER (WHERE user_feedback IS NULL) AS BIGINT) FROM fe
-UNION ALL SELECT 'user_feedback_allowed', CAST(count(*) FILTER (WHERE user_feedback NOT IN ('human', 'ai', 'human_edited_ai')) AS BIGINT) FROM fe
-UNION ALL SELECT 'text_hash_width', CAST(count(*) FILTER (WHERE length(text_hash) > 64) AS BIGINT) FROM fe
-UNION ALL SELECT 'user_feedback_width', CAST(count(*) FILTER (WHERE length(user_feedback) > 20) AS BIGINT) FROM fe
-UNION ALL SELECT 'model_version_width', CAST(count(*) FILTER (WHERE length(model_version) > 100) AS BIGINT) FROM fe
-UNION ALL SELECT 'text_hash_unique', CAST(coalesce((SELECT sum(n) FROM (SELECT text_hash, count(*) AS n FROM fe
+         UNION ALL SELECT * FROM {src} x WHERE NOT EXISTS (SELECT 1 FROM fst WHERE fst.id = x.id AND fst.copy = x.copy))"""
+
+
+SQL["ingest_validate"] = with_ctes(FE, INC) + f"SELECT id, {SHAPE} AS reject_reason FROM req"
+SQL["constraint_report"] = with_ctes(FE, INC) + """
+SELECT 'text_not_null' AS rule, CAST(count(*) FILTER (WHERE text IS NULL) AS BIGINT) AS violations FROM rh
+UNION ALL SELECT 'text_hash_not_null', CAST(count(*) FILTER (WHERE text_hash IS NULL) AS BIGINT) FROM rh
+UNION ALL SELECT 'model_score_not_null', CAST(count(*) FILTER (WHERE model_score IS NULL) AS BIGINT) FROM rh
+UNION ALL SELECT 'user_feedback_not_null', CAST(count(*) FILTER (WHERE user_feedback IS NULL) AS BIGINT) FROM rh
+UNION ALL SELECT 'user_feedback_allowed', CAST(count(*) FILTER (WHERE user_feedback NOT IN ('human', 'ai', 'human_edited_ai')) AS BIGINT) FROM rh
+UNION ALL SELECT 'text_hash_width', CAST(count(*) FILTER (WHERE length(text_hash) > 64) AS BIGINT) FROM rh
+UNION ALL SELECT 'user_feedback_width', CAST(count(*) FILTER (WHERE length(user_feedback) > 20) AS BIGINT) FROM rh
+UNION ALL SELECT 'model_version_width', CAST(count(*) FILTER (WHERE length(model_version) > 100) AS BIGINT) FROM rh
+UNION ALL SELECT 'text_hash_unique', CAST(coalesce((SELECT sum(n) FROM (SELECT text_hash, count(*) AS n FROM rh
           WHERE text_hash IS NOT NULL GROUP BY text_hash HAVING count(*) > 1) t), 0) AS BIGINT)"""
 SQL["ingest_lang_gate"] = with_ctes(FE, INC) + "," + PROF.lstrip() + "," + detect_cte(
-    "(SELECT DISTINCT text_hash, text FROM ih)", "text_hash") + f"""
-SELECT ih.id, det.detected_lang, {LANG_REASON} AS reason FROM ih LEFT JOIN det ON ih.text_hash = det.text_hash"""
+    "(SELECT DISTINCT text_hash, text FROM rh)", "text_hash") + f"""
+SELECT rh.id, det.detected_lang, {LANG_REASON} AS reason FROM rh LEFT JOIN det ON rh.text_hash = det.text_hash"""
 SQL["ingest_new"] = with_ctes(FE, INC) + "," + new_dups("ih") + "\nSELECT id, text_hash FROM new"
 SQL["ingest_duplicates"] = with_ctes(FE, INC) + "," + new_dups("ih") + "\nSELECT id, text_hash FROM dups"
 SQL["ingest_pipeline"] = with_ctes(FE, INC) + "," + PROF.lstrip() + "," + detect_cte(

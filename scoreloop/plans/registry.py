@@ -42,10 +42,10 @@ def _fe(spark, sf_dir):
     return FX.feedback_events(spark, sf_dir)
 
 
-def _stale_targets(spark, sf_dir):
+def _stale_targets(spark, sf_dir, with_lang=False):
     """Feedback rows as a store may hold them: m1 rows lost their target,
     m2 rows carry an old value."""
-    fe = FX.feedback_events(spark, sf_dir, with_lang=False)
+    fe = FX.feedback_events(spark, sf_dir, with_lang=with_lang)
     t = (F.when(F.col("model_version") == "m1", F.lit(None).cast("double"))
          .when(F.col("model_version") == "m2", F.lit(0.25))
          .otherwise(F.col("target_score")))
@@ -146,7 +146,7 @@ def q_gate_target(spark, sf_dir):
 
 @query("clean_feedback_remap")
 def q_clean_feedback_remap(spark, sf_dir):
-    return G.clean_feedback(_fe(spark, sf_dir), variant="remap").select(*FEEDBACK_COLS)
+    return G.clean_feedback(_stale_targets(spark, sf_dir, with_lang=True), variant="remap").select(*FEEDBACK_COLS)
 
 
 @query("dedup_latest")
@@ -156,7 +156,8 @@ def q_dedup_latest(spark, sf_dir):
 
 @query("duplicate_flag")
 def q_duplicate_flag(spark, sf_dir):
-    return G.duplicate_flag(_fe(spark, sf_dir)).select("id", "is_duplicate")
+    fe = _fe(spark, sf_dir).select("id", "text_hash", "event_timestamp")
+    return G.duplicate_flag(fe).select("id", "is_duplicate")
 
 
 @query("funnel_report")
@@ -194,7 +195,7 @@ def q_duplicate_ratio(spark, sf_dir):
 
 @query("label_distribution")
 def q_label_distribution(spark, sf_dir):
-    return V.label_distribution(_fe(spark, sf_dir))
+    return V.label_distribution(_fe(spark, sf_dir)).withColumn("share", F.round("share", 6))
 
 
 @query("alignment_ratio")
@@ -384,7 +385,9 @@ from scoreloop.operators import splits as SP  # noqa: E402
 
 
 def _training_keyed(spark, sf_dir):
-    return FX.training_set(spark, sf_dir).withColumn("text_hash", S.text_hash("text"))
+    """Key, label and hash of the training rows: texts stay out of the rank's sort and checkpoint."""
+    return (FX.training_set(spark, sf_dir).withColumn("text_hash", S.text_hash("text"))
+            .select("doc_id", "label", "text_hash"))
 
 
 @query("sample_head")
@@ -486,20 +489,18 @@ def q_predict_pipeline(spark, sf_dir):
 
 @query("ingest_validate")
 def q_ingest_validate(spark, sf_dir):
-    _, inc = FX.feedback_split(spark, sf_dir)
-    return IN.validate_requests(inc).select("id", "reject_reason")
+    return IN.validate_requests(FX.requests(spark, sf_dir)).select("id", "reject_reason")
 
 
 @query("constraint_report")
 def q_constraint_report(spark, sf_dir):
-    return IN.constraint_report(_fe(spark, sf_dir))
+    return IN.constraint_report(FX.requests(spark, sf_dir).withColumn("text_hash", S.text_hash("text")))
 
 
 @query("ingest_lang_gate")
 def q_ingest_lang_gate(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
-    _, inc = FX.feedback_split(spark, sf_dir)
-    r = L.with_language(inc.withColumn("text_hash", S.text_hash("text")), prof, langs, key="text_hash",
+    r = L.with_language(FX.requests(spark, sf_dir).withColumn("text_hash", S.text_hash("text")), prof, langs, key="text_hash",
                         prepared=True)
     return r.select("id", "detected_lang", L.language_reason().alias("reason"))
 

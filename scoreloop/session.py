@@ -22,6 +22,8 @@ def get_session(master: str | None = None, app: str = "scoreloop",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        # checkpoint files of tables no longer referenced are deleted
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.ui.showConsoleProgress": "false",
     }
     if shuffle_partitions:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from scoreloop import schemas
 
@@ -26,14 +25,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """True if any data file lies under ``path`` (names with _ or . do not count)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    files = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(hpath, True)
+    while files.hasNext():
+        if files.next().getPath().getName()[0] not in "_.":
+            return True
+    return False
+
+
 def read_parquet_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame | None:
     if not path_exists(spark, path):
         return None
     r = spark.read.schema(schema) if schema is not None else spark.read
-    try:
-        return r.parquet(path)
-    except AnalysisException:
+    if schema is None and not has_files(spark, path):
         return None
+    return r.parquet(path)  # a damaged store raises: taken as empty it would let every duplicate in
 
 
 # ---------------------------------------------------------------- A2, A3: CSV
@@ -114,12 +123,18 @@ def drift_history(spark: SparkSession, history_path: str) -> DataFrame | None:
 
 # ---------------------------------------------------------------- A8: feedback store
 
-def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash") -> DataFrame:
+def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash", batch_id: int | None = None) -> DataFrame:
     """Append accepted rows, partitioned by event date. Rows whose key is
     already stored are dropped first (unique key), which also makes a retried
-    batch idempotent. Returns the rows actually appended (lazily)."""
+    batch idempotent. With ``batch_id`` the rows are known to be new and carry it:
+    only what a failed attempt of the same batch has written is dropped. Files per
+    date are bounded (rebalanced; AQE splits a hot date). Returns the rows appended (lazily)."""
     spark = rows.sparkSession
     existing = read_parquet_or_none(spark, store_path)
+    if batch_id is not None:
+        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        if existing is not None and "batch_id" in existing.columns:
+            existing = existing.filter(F.col("batch_id") == batch_id)
     if existing is not None:
         from scoreloop.operators.sizing import bounded_lookup
 
@@ -128,7 +143,7 @@ def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash") ->
         batch_keys = bounded_lookup(rows.select(key).filter(F.col(key).isNotNull()).distinct())
         seen = existing.select(key).join(batch_keys, key, "left_semi").distinct()
         rows = rows.join(seen, key, "left_anti")
-    out = rows.withColumn("event_date", F.to_date("event_timestamp"))
+    out = rows.withColumn("event_date", F.to_date("event_timestamp")).hint("rebalance", "event_date")
     out.write.mode("append").partitionBy("event_date").parquet(store_path)
     return out
 

@@ -52,16 +52,32 @@ def feedback_events(spark: SparkSession, sf_dir: str, with_lang: bool = True) ->
     return j.select(*cols)
 
 
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incoming requests as a service meets them: the feedback events with some
+    fields broken by id, and some requests delivered twice (same id)."""
+    fe = feedback_events(spark, sf_dir).drop("text_hash", "target_score")
+    broken = lambda k: F.col("id") % k == 0
+    r = (fe.withColumn("text", F.when(broken(53), "abc").when(broken(61), "\u4e2d\u6587\u4e2d\u6587\u4e2d\u6587")
+                       .when(broken(67), F.lit(None)).otherwise(F.col("text")))
+         .withColumn("model_score", F.when(broken(43), 1.5).when(broken(79), F.lit(None)).otherwise(F.col("model_score")))
+         .withColumn("user_feedback", F.when(broken(41), "some_unknown_feedback_label").when(broken(71), F.lit(None))
+                     .otherwise(F.col("user_feedback")))
+         .withColumn("model_version", F.when(broken(47), F.lit(None)).when(broken(73), F.repeat(F.lit("v"), 101))
+                     .otherwise(F.col("model_version"))))
+    copies = F.when(broken(59), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return r.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+
 def feedback_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(store, incoming): ids below half the maximum id are the stored table
-    (first row per hash, as a unique key would keep); the rest arrive."""
+    """(store, incoming): every fifth event below half the maximum id is stored
+    (first row per hash, as a unique key would keep), so some texts are not;
+    the requests from there on arrive."""
     from scoreloop.operators.gates import first_per_key
 
     fe = feedback_events(spark, sf_dir)
     half = fe.select((F.max("id") / 2).alias("h")).scalar()
-    store = first_per_key(fe.filter(F.col("id") < half))
-    incoming = fe.filter(F.col("id") >= half).drop("text_hash", "target_score")
-    return store, incoming
+    store = first_per_key(fe.filter((F.col("id") < half) & (F.col("id") % 5 == 0)))
+    return store, requests(spark, sf_dir).filter(F.col("id") >= half)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,16 +102,17 @@ def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def loss_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Validation loss log of seven runs, one step per event."""
+    """Loss log of seven runs: one validation and one (lower) training step per event."""
     ev = table(spark, sf_dir, "events").select("event_id", "value")
     step = F.expr("div(event_id, 7)")
     return ev.select(
         F.concat(F.lit("r"), (F.col("event_id") % 7).cast("string")).alias("run_id"),
-        F.lit("val").alias("phase"),
+        F.explode(F.array(F.lit("val"), F.lit("train"))).alias("phase"),
         F.expr("div(div(event_id, 7), 50)").alias("epoch"),
         step.alias("step"),
-        F.col("value").alias("loss"),
-    )
+        F.col("value"),
+    ).select("run_id", "phase", "epoch", "step",
+             F.when(F.col("phase") == "val", F.col("value")).otherwise(F.col("value") / 2 - F.col("epoch")).alias("loss"))
 
 
 def dataset_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,27 +8,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Tables whose rows carry long texts: per-row regex work dominates.
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
-
-
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """A scan gives at most one busy task per parquet row group. When a text
-    table comes in fewer files than the session has cores (small inputs,
-    one big row group), spread its rows round-robin so the CPU-heavy text
-    work uses every core. With many files -- any table at cluster scale --
-    the scan is already parallel and nothing is added."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < par:
-        return df.repartition(par)
-    return df
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's tables as Spark scans it; split sizes are a session
+    setting (``spark.sql.files.maxPartitionBytes``)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread if spread is not None else name in TEXT_TABLES:
-        df = spread_small_scan(df)
-    return df
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -6,9 +6,11 @@ validation, language gate, first-per-hash inside the batch, anti-join
 against the store, append accepted rows (partitioned by date) and rejected
 rows (with reason, partitioned by batch id).
 
-Exactly-once effect on retry: the accepted append anti-joins the store, so
-rows a failed attempt already committed are not written again; rejects are
-written with dynamic partition overwrite of their batch-id partition.
+Exactly-once effect on retry: accepted rows carry their batch id. The
+duplicate probe leaves out rows of the same batch, so a retry judges every
+request as the first attempt did; the append leaves out what that attempt
+already committed; rejects are written with dynamic partition overwrite of
+their batch-id partition.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from scoreloop.functions import scalars as S
 from scoreloop.operators import ingest as IN
 from scoreloop.operators import lang as L
+from scoreloop.operators.sizing import materialize
 from scoreloop.sources.files import append_feedback, read_parquet_or_none
 
 
@@ -28,15 +31,16 @@ def make_batch_handler(store_path: str, rejects_path: str, profile: DataFrame, l
         store = read_parquet_or_none(spark, store_path)
         if store is None:
             store = spark.createDataFrame([], "text_hash string")
-        req = batch.withColumn("text_hash", S.text_hash("text"))
-        status = IN.ingest_batch(req.drop("text_hash"), store, profile, langs, prepared=True)
-        # accepted rows with their payload
-        acc_ids = status.filter(F.col("status") == "accepted").select("id")
-        accepted = (req.join(acc_ids, "id", "left_semi")
+        elif "batch_id" in store.columns:  # rows an earlier attempt of this batch stored are not duplicates
+            store = store.filter(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
+        req = materialize(IN.numbered(IN.stamped(batch)).withColumn("text_hash", S.text_hash("text")))
+        status = materialize(IN.ingest_batch(req, store, profile, langs, prepared=True))
+        # accepted rows with their payload, by the number each got on arrival
+        accepted = (req.join(status.filter(F.col("status") == "accepted").select("_row"), "_row", "left_semi")
                     .select("id", "text", "text_hash", "model_score", "user_feedback", "model_version",
                             "event_timestamp", S.target_from_feedback("user_feedback").alias("target_score")))
-        append_feedback(accepted, store_path)
-        rejects = (status.filter(F.col("status") != "accepted")
+        append_feedback(accepted, store_path, batch_id=batch_id)
+        rejects = (status.filter(F.col("status") != "accepted").drop("_row")
                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
         (rejects.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(rejects_path))
