@@ -51,13 +51,16 @@ def profile_wide(counts: DataFrame, langs: list[str]) -> DataFrame:
     """One row per known gram with a log-probability column per language
     (unseen in a language -> smoothed count 0.5)."""
     v = counts.select(F.count_distinct("gram")).scalar()
-    wide = counts.groupBy("gram").pivot("lang", langs).agg(F.first("n"))
-    tot = counts.groupBy().pivot("lang", langs).agg(F.sum("n"))
-    totals = tot.select(F.struct(*[F.col(f"`{lg}`").alias(lg) for lg in langs])).scalar()
+    # languages by their place in the sorted list: a code may hold any character
+    place = F.create_map(*[F.lit(x) for k, lg in enumerate(langs) for x in (lg, k)])
+    by = counts.withColumn("_k", place[F.col("lang")])
+    codes = list(range(len(langs)))
+    wide = by.groupBy("gram").pivot("_k", codes).agg(F.first("n"))
+    tot = by.groupBy().pivot("_k", codes).agg(F.sum("n"))
+    totals = tot.select(F.struct(*[F.col(f"`{k}`").alias(f"t{k}") for k in codes])).scalar()
     cols = [F.col("gram")]
-    for lg in langs:
-        t = totals[lg]
-        cols.append((F.log(F.coalesce(F.col(f"`{lg}`"), F.lit(0)) + SMOOTH) - F.log(t + SMOOTH * v)).alias(f"lp_{lg}"))
+    for k in codes:
+        cols.append((F.log(F.coalesce(F.col(f"`{k}`"), F.lit(0)) + SMOOTH) - F.log(totals[f"t{k}"] + SMOOTH * v)).alias(f"lp_{k}"))
     return wide.select(*cols)
 
 
@@ -75,7 +78,7 @@ def detect(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str =
     # shuffle join moves distinct grams, not every character
     counts = _grams(df, key, text).groupBy(key, "gram").agg(F.count("*").alias("c"))
     g = counts.join(prof, "gram")
-    sums = g.groupBy(key).agg(*[F.sum(F.col(f"`lp_{lg}`") * F.col("c")).alias(f"s_{k}") for k, lg in enumerate(langs)])
+    sums = g.groupBy(key).agg(*[F.sum(F.col(f"lp_{k}") * F.col("c")).alias(f"s_{k}") for k, lg in enumerate(langs)])
     ranked = F.sort_array(F.array(*[F.struct((-F.col(f"s_{k}")).alias("neg"), F.lit(lg).alias("lang"))
                                     for k, lg in enumerate(langs)]))
     return sums.select(key, ranked[0]["lang"].alias("detected_lang"))

@@ -32,13 +32,13 @@ def seeded_shuffle(df: DataFrame, key: str = "id", seed: int = TRAINING.seed) ->
 
 
 def split_exact(df: DataFrame, key: str = "id", seed: int = TRAINING.seed,
-                train_ratio: float = TRAINING.train_ratio) -> DataFrame:
+                train_ratio: float = TRAINING.train_ratio, two_way: bool = False) -> DataFrame:
     """G3 exact: train = floor(r n), validation = floor(rest / 2), test = the rest,
-    by rank in the seeded order."""
+    by rank in the seeded order; ``two_way``: train and test only (80/20, 85/15 ...)."""
     ranked = seeded_shuffle(df, key, seed)
     n = ranked.select(F.count("*")).scalar()   # reads the checkpointed ranking
     n_train = F.floor(n * F.lit(train_ratio))
-    n_val = F.floor((n - n_train) / 2)
+    n_val = F.lit(0).cast("long") if two_way else F.floor((n - n_train) / 2)
     split = (F.when(F.col("shuffle_rank") <= n_train, "train")
              .when(F.col("shuffle_rank") <= n_train + n_val, "val").otherwise("test"))
     offset = (F.when(F.col("split") == "train", F.lit(0)).when(F.col("split") == "val", n_train)

@@ -4,32 +4,38 @@ retrain chain (K5).
 The reference fine-tunes a transformer on one GPU; here the regressor is
 re-aimed as a distributed Spark ML pipeline over the same word tokens:
 tokens -> hashed term counts -> IDF -> a linear head (unbounded) or a
-logistic-link GLM (sigmoid head, keeps scores in [0, 1]).
+weighted logistic regression (sigmoid head, keeps scores in [0, 1]).
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, RegexTokenizer
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloop.config import TOKEN_PATTERN
 
 
-def _stages(head: str, num_features: int | None, text: str, label: str, max_iter: int, reg: float):
-    """The GLM head is fitted by IRLS, whose normal equations are dense in the
-    feature count (solved on the driver each iteration), so its default
-    hashed space is small; the linear head uses L-BFGS (distributed
-    gradients) and takes a larger space."""
-    if num_features is None:
-        num_features = 512 if head == "sigmoid" else 4096
+# the runner and the example scorer travel by value: Python workers need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+NUM_FEATURES = 1 << 18
+
+
+def _stages(head: str, num_features: int, text: str, label: str, max_iter: int, reg: float):
+    """Both heads are fitted by distributed gradients (L-BFGS), so the hashed space
+    may be large. The sigmoid head takes soft labels as weights: a row counts as
+    class 1 with weight label and as class 0 with weight 1 - label."""
     tok = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True)
     tf = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features)
     idf = IDF(inputCol="_tf", outputCol="_features")
@@ -37,21 +43,28 @@ def _stages(head: str, num_features: int | None, text: str, label: str, max_iter
         reg_ = LinearRegression(featuresCol="_features", labelCol=label, predictionCol="score",
                                 maxIter=max_iter, regParam=reg, solver="l-bfgs")
     elif head == "sigmoid":
-        reg_ = GeneralizedLinearRegression(featuresCol="_features", labelCol=label, predictionCol="score",
-                                           family="binomial", link="logit", maxIter=max_iter, regParam=reg)
+        reg_ = LogisticRegression(featuresCol="_features", labelCol="_class", weightCol="_weight", predictionCol="_predicted",
+                                  rawPredictionCol="_raw", probabilityCol="_probability", maxIter=max_iter, regParam=reg)
     else:
         raise ValueError(head)
     return tok, tf, idf, reg_
 
 
-def score_pipeline(head: str = "sigmoid", num_features: int | None = None, text: str = "text",
+def _as_classes(df: DataFrame, label: str) -> DataFrame:
+    y = F.col(label)
+    both = F.array(F.struct(F.lit(1.0).alias("c"), y.alias("w")), F.struct(F.lit(0.0).alias("c"), (1.0 - y).alias("w")))
+    return (df.withColumn("_x", F.explode(both)).filter("_x.w > 0")
+            .withColumns({"_class": F.col("_x.c"), "_weight": F.col("_x.w")}).drop("_x"))
+
+
+def score_pipeline(head: str = "sigmoid", num_features: int = NUM_FEATURES, text: str = "text",
                    label: str = "label", max_iter: int = 10, reg: float = 0.01) -> Pipeline:
     """The unfitted pipeline: tokens -> hashed counts -> IDF -> head."""
     return Pipeline(stages=list(_stages(head, num_features, text, label, max_iter, reg)))
 
 
 def train_score_model(train: DataFrame, head: str = "sigmoid", text: str = "text", label: str = "label",
-                      num_features: int | None = None, max_iter: int = 10, reg: float = 0.01) -> PipelineModel:
+                      num_features: int = NUM_FEATURES, max_iter: int = 10, reg: float = 0.01) -> PipelineModel:
     """K4: fit on (text, label in [0, 1]).
 
     Texts are tokenized and hashed once; the sparse term counts are
@@ -64,7 +77,8 @@ def train_score_model(train: DataFrame, head: str = "sigmoid", text: str = "text
     counts = tf.transform(tok.transform(data)).select("_tf", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         idf_model = idf.fit(counts)
-        reg_model = reg_.fit(idf_model.transform(counts))
+        fitted = idf_model.transform(counts)
+        reg_model = reg_.fit(_as_classes(fitted, "label") if head == "sigmoid" else fitted)
     finally:
         counts.unpersist()
     return PipelineModel(stages=[tok, tf, idf_model, reg_model])
@@ -73,7 +87,9 @@ def train_score_model(train: DataFrame, head: str = "sigmoid", text: str = "text
 def score_ml(model: PipelineModel, df: DataFrame, text: str = "text") -> DataFrame:
     """One score per row from a fitted pipeline (distributed transform)."""
     out = model.transform(df.withColumn("text", F.coalesce(F.col(text), F.lit(""))))
-    return out.drop("_tokens", "_tf", "_features")
+    if "_probability" in out.columns:
+        out = out.withColumn("score", vector_to_array("_probability")[1])
+    return out.drop("_tokens", "_tf", "_features", "_raw", "_probability", "_predicted")
 
 
 def score_udf(df: DataFrame, score_fn: Callable[[pd.Series], pd.Series], key: str = "id",
@@ -81,13 +97,6 @@ def score_udf(df: DataFrame, score_fn: Callable[[pd.Series], pd.Series], key: st
     """A user's own scorer as an Arrow-batched ``mapInPandas`` -- the
     one Python hook. ``score_fn`` maps a Series of texts to a Series of
     floats and should load its model once (e.g. a module-level cache)."""
-    # ship this module's functions (the runner and the example scorer) by
-    # value, so Python workers need only pandas/numpy, not this package
-    from pyspark import cloudpickle
-    import sys
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
     def run(batches):
         for pdf in batches:
             yield pd.DataFrame({key: pdf[key], "score": score_fn(pdf[text].fillna("")).astype("float64")})

@@ -610,3 +610,28 @@ SELECT doc_id,
        round(1.0 / (1.0 + exp(-((CAST(len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]')) AS DOUBLE)
                                  / greatest(length(coalesce(text, '')), 1)) - 0.5) * 4.0)), 6) AS score
 FROM documents"""
+
+SQL["metrics_json"] = SQL["band_metrics"]
+SQL["dataset_registry"] = with_ctes(FE, DEDUP, TRAIN) + f"""
+SELECT 'training_set' AS dataset, run_id, CAST(CAST(sum({ROWHASH}) AS DECIMAL(38,0)) AS VARCHAR) AS fingerprint,
+       CAST(count(*) AS BIGINT) AS rows, {AS_OF} AS registered_at
+FROM (SELECT *, unnest(['r1', 'r2']) AS run_id FROM tset) x GROUP BY run_id"""
+_hard_fails = SQL["validation_report"].replace("SELECT ord, \"check\", round(value, 6)", "SELECT ord, status AS hard, \"check\", round(value, 6)", 1)
+SQL["drift_state"] = with_ctes(FE, DEDUP, CLEAN) + "," + PREV.lstrip() + f""",
+report AS (SELECT * FROM ({_hard_fails}) q)
+SELECT run_ts, round(mean_score, 6) AS mean_score FROM hist
+UNION ALL SELECT {AS_OF}, round(avg(CASE WHEN NOT isnan(model_score) THEN model_score END), 6) FROM clean
+HAVING (SELECT count(*) FROM report WHERE hard = 'fail') = 0"""
+SQL["ingest_append"] = SQL["ingest_pipeline"][:SQL["ingest_pipeline"].rindex("\nSELECT id, text_hash, 'accepted'")] + f"""
+SELECT id, text_hash, target_score, CAST(event_timestamp AS DATE) AS event_date FROM store
+UNION ALL SELECT id, text_hash, {MAP_TARGET}, CAST(event_timestamp AS DATE) FROM new"""
+SQL["split_two_way"] = with_ctes(FE, DEDUP, TRAIN) + f""",
+sk AS (SELECT doc_id, row_number() OVER (ORDER BY {SKEY.format(k='doc_id')}, doc_id) AS rk FROM tset),
+sr AS (SELECT sk.*, train_ratio, CAST(floor((SELECT count(*) FROM tset) * train_ratio) AS BIGINT) AS nt
+       FROM (SELECT *, unnest([0.8::DOUBLE, 0.85::DOUBLE]) AS train_ratio FROM sk) sk)
+SELECT doc_id, train_ratio, CASE WHEN rk <= nt THEN 'train' ELSE 'test' END AS split,
+       CAST(rk - CASE WHEN rk <= nt THEN 0 ELSE nt END AS BIGINT) AS rank_in_split FROM sr"""
+SQL["early_stop_running"] = "WITH" + LL + """,
+rl AS (SELECT run_id, epoch, phase, sum(loss_sum) OVER w / sum(steps) OVER w AS epoch_loss
+       FROM ep WINDOW w AS (PARTITION BY run_id, phase ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),""" + ES.replace(
+    "FROM ep WHERE", "FROM rl WHERE") + "\nSELECT run_id, stop_epoch, epochs_seen FROM es"

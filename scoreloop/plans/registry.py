@@ -346,6 +346,12 @@ def q_early_stop(spark, sf_dir):
     return RN.early_stop(_epochs(spark, sf_dir))
 
 
+@query("early_stop_running")
+def q_early_stop_running(spark, sf_dir):
+    """F5 on the running validation loss."""
+    return RN.early_stop(RN.running_loss(FX.loss_log(spark, sf_dir)), metric="running_loss")
+
+
 @query("best_checkpoint")
 def q_best_checkpoint(spark, sf_dir):
     e = _epochs(spark, sf_dir)
@@ -405,6 +411,14 @@ def q_split_exact(spark, sf_dir):
     return SP.split_exact(_training_keyed(spark, sf_dir), key="doc_id").select("doc_id", "split", "rank_in_split")
 
 
+@query("split_two_way")
+def q_split_two_way(spark, sf_dir):
+    data = _training_keyed(spark, sf_dir).select("doc_id")
+    parts = [SP.split_exact(data, key="doc_id", train_ratio=r, two_way=True)
+             .select("doc_id", F.lit(r).alias("train_ratio"), "split", "rank_in_split") for r in (0.8, 0.85)]
+    return parts[0].union(parts[1])
+
+
 @query("split_bucket")
 def q_split_bucket(spark, sf_dir):
     return SP.split_bucket(_training_keyed(spark, sf_dir), key="doc_id").select("doc_id", "split")
@@ -571,7 +585,7 @@ def q_score_udf(spark, sf_dir):
 def q_retrain_report(spark, sf_dir):
     from scoreloop.plans.retrain import retrain_report
     fe = _fe(spark, sf_dir)
-    return retrain_report(spark, fe, AS_OF, _previous_history(spark, sf_dir))
+    return retrain_report(spark, fe, AS_OF, _previous_history(spark, sf_dir), state_dir=_fresh(spark, "retrain"))
 
 
 # ---------------------------------------------------------------- A2, A3: CSV round trip
@@ -593,6 +607,63 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, schema)
 
 
+# ---------------------------------------------------------------- A4, A5, A7, A8: stores, written and read back
+
+def _fresh(spark, name):
+    import uuid
+
+    from scoreloop.session import scratch_path
+
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query("metrics_json")
+def q_metrics_json(spark, sf_dir):
+    from scoreloop.sources.files import load_metrics, save_metrics
+
+    metrics = EV.band_metrics(_pred(spark, sf_dir))
+    path = _fresh(spark, "band_metrics")
+    save_metrics(metrics, path)
+    return load_metrics(spark, path, metrics.schema)
+
+
+@query("dataset_registry")
+def q_dataset_registry(spark, sf_dir):
+    from scoreloop.sources.files import register_dataset
+
+    data = FX.training_set(spark, sf_dir)
+    path = _fresh(spark, "registry")
+    for run in ("r1", "r2", "r1"):  # registering a run again changes nothing
+        out = register_dataset(data, ["text", "label"], "training_set", run, path, AS_OF)
+    return out.select("dataset", "run_id", "fingerprint", "rows", "registered_at")
+
+
+@query("drift_state")
+def q_drift_state(spark, sf_dir):
+    from scoreloop.sources.files import append_drift, drift_history
+
+    path = _fresh(spark, "drift")
+    append_drift(_previous_history(spark, sf_dir), path)
+    clean = G.clean_feedback(_fe(spark, sf_dir))
+    report = V.validation_report(clean, AS_OF, drift_history(spark, path))
+    if report.select(V.should_replace_baseline(report)).first()[0]:
+        append_drift(V.drift_entry(clean, AS_OF), path)
+    return drift_history(spark, path).select("run_ts", F.round("mean_score", 6).alias("mean_score"))
+
+
+@query("ingest_append")
+def q_ingest_append(spark, sf_dir):
+    from scoreloop.sources.files import append_feedback, read_feedback_store
+
+    prof, langs = _profile(spark, sf_dir)
+    store, inc = FX.feedback_split(spark, sf_dir)
+    path = _fresh(spark, "feedback_store")
+    append_feedback(store.drop("lang"), path)
+    for _ in range(2):  # the second delivery finds everything stored
+        append_feedback(IN.accepted_rows(inc, read_feedback_store(spark, path), prof, langs, prepared=True), path)
+    return read_feedback_store(spark, path).select("id", "text_hash", "target_score", F.col("event_date").cast("date").alias("event_date"))
+
+
 @query("clean_feedback_detected")
 def q_clean_feedback_detected(spark, sf_dir):
     """The funnel with the language gate by the detector (C4 via D5). The

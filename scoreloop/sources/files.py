@@ -131,10 +131,9 @@ def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash", ba
     date are bounded (rebalanced; AQE splits a hot date). Returns the rows appended (lazily)."""
     spark = rows.sparkSession
     existing = read_parquet_or_none(spark, store_path)
-    if batch_id is not None:
-        rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-        if existing is not None and "batch_id" in existing.columns:
-            existing = existing.filter(F.col("batch_id") == batch_id)
+    rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if batch_id is not None and existing is not None and "batch_id" in existing.columns:
+        existing = existing.filter(F.col("batch_id") == batch_id)
     if existing is not None:
         from scoreloop.operators.sizing import bounded_lookup
 
