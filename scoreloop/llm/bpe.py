@@ -4,7 +4,7 @@ A task cuts its texts into pre-tokens (each match of the pattern), and gives
 every distinct pre-token that is not itself a token to DuckDB as one row per
 byte: (word, position, token). A recursive query joins adjacent rows with the
 merge table and contracts, in every word, the leftmost pair of minimum rank, until
-no word has a pair left. Decoding joins (document, position, id) rows with
+no word has a pair left; a word without a pair leaves the loop. Decoding joins (document, position, id) rows with
 the vocabulary and concatenates the bytes in position order.
 
 The merge table holds every pair of tokens whose bytes together are a token
@@ -34,27 +34,24 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LONG = 128
-REMEMBER = 300_000
-ROWS = 3_000_000
-BYTES = 4_000_000
+REMEMBER = 400_000
+ROWS = 2_000_000
+BYTES = 2_000_000
 
 RECURSIVE = """
 with recursive tk as (
-  select w, i, t, 0 as step from bytes_of
+  select w, i, t, 0 as done from bytes_of
   union all
   (with pairs as (
-     select x.w, x.i, x.t, x.step, x.ni, m.r
-     from (select w, i, t, step, lead(t) over q as nt, lead(i) over q as ni from tk window q as (partition by w order by i)) x
+     select x.w, x.i, x.t, x.ni, m.r
+     from (select w, i, t, lead(t) over q as nt, lead(i) over q as ni from tk where done = 0 window q as (partition by w order by i)) x
      left join merges m on m.a = x.t and m.b = x.nt),
    best as (
-     select w, arg_min(i, r::bigint * 1048576 + i) as i, min(r) as r, arg_min(ni, r::bigint * 1048576 + i) as gone
-     from pairs where r is not null group by w)
-   select p.w, p.i, case when p.i = b.i then b.r else p.t end, p.step + 1
-   from pairs p join best b on p.w = b.w where p.i <> b.gone)
+     select w, min(r::bigint * 1048576 + i) as k, arg_min(ni, r::bigint * 1048576 + i) as gone from pairs group by w)
+   select p.w, p.i, case when p.i = b.k % 1048576 then (b.k // 1048576)::int else p.t end, case when b.k is null then 1 else 0 end
+   from pairs p join best b on p.w = b.w where b.gone is null or p.i <> b.gone)
 )
-select w, list(t order by i) as ids
-from (select w, i, t, step, max(step) over (partition by w) as last from tk) where step = last
-group by w order by w
+select w, list(t order by i) as ids from tk where done = 1 group by w order by w
 """
 
 DECODE = """
@@ -73,7 +70,7 @@ def load_ranks(raw: bytes) -> dict[bytes, int]:
 def connect():
     import duckdb
 
-    con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+    con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
     con.execute("set enable_progress_bar = false")
     return con
 
@@ -92,13 +89,10 @@ class Encoder:
     """Encodes texts of one task."""
 
     def __init__(self, raw: bytes, pattern: str):
-        import re
-
         import numpy as np
         import regex
 
         self.ranks, self.find = load_ranks(raw), regex.compile(pattern).findall
-        self.uneven = re.compile(r"\s | \s").search
         self.byte = np.array([self.ranks[bytes([k])] for k in range(256)], np.int32)
         self.con = connect()
         split = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items()
@@ -106,6 +100,7 @@ class Encoder:
         table_of(self.con, "merges", {name: np.array([x[k] for x in split], np.int32) for k, name in enumerate("abr")})
         self.first: dict[str, bytes] = {}  # part at the start of a text -> ids
         self.after: dict[str, bytes] = {}  # part after a space -> ids
+        self.odd: set[str] = set()
 
     def words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """ids (little-endian unsigned 32-bit) of distinct pre-tokens that are no tokens."""
@@ -166,17 +161,16 @@ class Encoder:
         """ids of each text as little-endian unsigned 32-bit integers."""
         import struct
 
-        if len(self.first) + len(self.after) > REMEMBER:
-            self.first, self.after = {}, {}
-        cut, whole = [], {}
-        for k, t in enumerate(texts):
-            if self.uneven(t):
-                whole[k] = self.find(t)
-                cut.append(None)
-            else:
-                cut.append(t.split(" "))
-        new_first = {c[0] for c in cut if c} - self.first.keys()
-        new_after = set().union(*(c[1:] for c in cut if c)) - self.after.keys()
+        if len(self.first) + len(self.after) + len(self.odd) > REMEMBER:
+            self.first, self.after, self.odd = {}, {}, set()
+        cut = [t.split(" ") for t in texts]
+        new_first = {c[0] for c in cut} - self.first.keys()
+        new_after = set().union(*(c[1:] for c in cut)) - self.after.keys()
+        # a part that is empty or has white space at an end: the cut beside it may not be a boundary
+        self.odd.update([p for s in (new_first, new_after) for p in s if not p or p[0].isspace() or p[-1].isspace()])
+        new_first -= self.odd
+        new_after -= self.odd
+        whole = {k: self.find(texts[k]) for k, c in enumerate(cut) if not self.odd.isdisjoint(c)}
         pieces = {}  # (place, part) -> pre-tokens
         for p in new_first:
             pieces[0, p] = [x.encode() for x in self.find(p)]
@@ -185,7 +179,7 @@ class Encoder:
         for k, found in whole.items():
             pieces[2, k] = [x.encode() for x in found]
         need = {x for ps in pieces.values() for x in ps if x not in self.ranks}
-        ids = self.words(sorted(need))
+        ids = self.words(list(need))
 
         def join(ps):
             return b"".join([ids[x] if x in ids else struct.pack("<I", self.ranks[x]) for x in ps])
@@ -193,7 +187,7 @@ class Encoder:
         for (place, p), ps in pieces.items():
             if place < 2:
                 (self.after if place else self.first)[p] = join(ps)
-        return [join(pieces[2, k]) if c is None else self.first[c[0]] + b"".join(map(self.after.__getitem__, c[1:]))
+        return [join(pieces[2, k]) if k in whole else self.first[c[0]] + b"".join(map(self.after.__getitem__, c[1:]))
                 for k, c in enumerate(cut)]
 
 
@@ -209,27 +203,57 @@ def _runs(sizes, most):
         yield at, len(sizes)
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, keep: list[str]) -> DataFrame:
-    """``keep`` columns, n_tokens and ids (binary) of every row of ``docs`` (which has text)."""
-    schema = T.StructType([docs.schema[c] for c in keep]
-                          + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+class Decoder:
+    """Decodes id sequences of one task."""
+
+    def __init__(self, raw: bytes, con=None):
+        import numpy as np
+
+        ranks, self.con = load_ranks(raw), con or connect()
+        table_of(self.con, "vocab", {"id": np.fromiter(ranks.values(), np.int32, len(ranks)), "h": [t.hex() for t in ranks]})
+
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        import numpy as np
+
+        out = []
+        for i, j in _runs([len(x) // 4 for x in ids], BYTES // 8):
+            lens = np.array([len(x) // 4 for x in ids[i:j]])
+            at = np.arange(lens.sum(), dtype=np.int64) - np.repeat(np.cumsum(lens) - lens, lens)
+            table_of(self.con, "ids_of", {"d": np.repeat(np.arange(j - i, dtype=np.int32), lens), "p": at,
+                                          "id": np.frombuffer(b"".join(ids[i:j]), "<u4").astype(np.int32)})
+            got = self.con.sql(DECODE).to_arrow_table()
+            raw = dict(zip(got.column("d").to_pylist(), got.column("raw").to_pylist()))
+            out += [raw.get(k, b"") for k in range(j - i)]
+        return out
+
+
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, keep: list[str], text: str = "text", decoded: bool = False) -> DataFrame:
+    """``keep`` columns, n_tokens and ids (binary) of every row of ``docs``; with
+    ``decoded`` also the bytes the ids decode to, by the same task."""
+    own = text in keep
+    schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+                          + [T.StructField("decoded", T.BinaryType())] * decoded)
+    where = keep.index(text) if own else len(keep)
 
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         coder = None
         for b in batches:
-            coder = coder or Encoder(vocabulary, pattern)
-            texts = [t or "" for t in b.column(b.num_columns - 1).to_pylist()]
-            for i, j in _runs([len(t) for t in texts], BYTES):
-                ids = coder.encode(texts[i:j])
+            if coder is None:
+                coder = Encoder(vocabulary, pattern)
+                back = Decoder(vocabulary, coder.con) if decoded else None
+            for i, j in _runs(pc.fill_null(pc.binary_length(b.column(where)), 0).to_pylist(), BYTES):
                 part = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(k) for k in range(part.num_columns - 1)]
-                    + [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    names=[*keep, "n_tokens", "ids"])
+                ids = coder.encode([t or "" for t in part.column(where).to_pylist()])
+                cols = [part.column(k) for k in range(len(keep))] + [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+                if decoded:
+                    cols.append(pa.array(back.decode(ids), pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=[*keep, "n_tokens", "ids"] + ["decoded"] * decoded)
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(run, schema)
+    given = [F.col(f"`{c}`") for c in keep] + ([] if own else [F.col(f"`{text}`").alias("_text")])
+    return docs.select(*given).mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, vocabulary: bytes) -> DataFrame:
@@ -239,24 +263,12 @@ def decode(coded: DataFrame, vocabulary: bytes) -> DataFrame:
     where = names.index("ids")
 
     def run(batches):
-        import numpy as np
         import pyarrow as pa
 
-        con = None
+        back = None
         for b in batches:
-            if con is None:
-                con, ranks = connect(), load_ranks(vocabulary)
-                table_of(con, "vocab", {"id": np.fromiter(ranks.values(), np.int32, len(ranks)), "h": [t.hex() for t in ranks]})
-            ids = [np.frombuffer(x or b"", "<u4") for x in b.column(where).to_pylist()]
-            for i, j in _runs([len(x) for x in ids], BYTES // 8):
-                lens = np.array([len(x) for x in ids[i:j]])
-                at = np.arange(lens.sum(), dtype=np.int64) - np.repeat(np.cumsum(lens) - lens, lens)
-                table_of(con, "ids_of", {"d": np.repeat(np.arange(j - i, dtype=np.int32), lens), "p": at,
-                                         "id": np.concatenate(ids[i:j]).astype(np.int32)})
-                got = con.sql(DECODE).to_arrow_table()
-                raw = dict(zip(got.column("d").to_pylist(), got.column("raw").to_pylist()))
-                part = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([raw.get(k, b"") for k in range(j - i)], pa.binary())],
-                                                 names=[*names, "decoded"])
+            back = back or Decoder(vocabulary)
+            ids = [x or b"" for x in b.column(where).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(back.decode(ids), pa.binary())], names=[*names, "decoded"])
 
     return coded.mapInArrow(run, schema)
