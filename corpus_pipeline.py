@@ -30,7 +30,7 @@ ORACLE_SQL = None
 
 
 def _whole(docs: DataFrame):
-    """All columns as one struct."""
+    """All columns as one struct (without its text, which then travels once, beside it)."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
 
 
@@ -41,25 +41,25 @@ def _unpacked(rows: DataFrame, docs: DataFrame, **changed) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(rest("doc_id", 3) != 1).select("doc_id", "text", "lang"))
-    found = langid.predict(docs.select(_whole(docs), "text"), model, ["_row"])
-    return _unpacked(found.filter(F.col("lang_pred") != langid.UND), docs)
+    found = langid.predict(docs.select(_whole(docs.drop("text")), "text"), model, ["_row", "text"])
+    return _unpacked(found.filter(F.col("lang_pred") != langid.UND), docs, text=F.col("text"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, _ = write_scratch(simhash.fingerprints(docs.select(_whole(docs), "text"), ["_row"], size=3)
+    rows, _ = write_scratch(simhash.fingerprints(docs.select(_whole(docs.drop("text")), "text"), ["_row", "text"], size=3)
                             .withColumn("_id", F.monotonically_increasing_id()), "pipeline-fingerprints")
     narrow = rows.select("_id", "fp", F.col("_row").getField("doc_id").alias("doc_id"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_id")
     low = narrow.groupBy("fp").agg(F.min(order).alias("low"))
     stay = (low.join(simhash.groups(narrow, max_bits=3), "fp").groupBy("group").agg(F.min("low").alias("low"))
             .select(F.col("low._id").alias("_id")))
-    return _unpacked(rows.join(stay, "_id", "left_semi"), docs)
+    return _unpacked(rows.join(stay, "_id", "left_semi"), docs, text=F.col("text"))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = suffix.remove_repeats(docs.select(_whole(docs), "text"), ["_row"], length=400)
-    old = F.col("_row").getField("text")
-    text = F.when(F.col("n_removed") == 0, old).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
+    others = docs.drop("text")
+    cleaned = suffix.remove_repeats(docs.select(_whole(others), "text"), ["_row"], length=400)
+    text = F.make_valid_utf8(F.col("kept").cast("string"))
     chars = F.when(F.col("n_removed") == 0, F.col("_row").getField("n_chars")).otherwise(F.char_length(text).cast("long"))
     return _unpacked(cleaned, docs, text=text, n_chars=chars)
 
@@ -74,9 +74,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary, pattern = public_vocabulary()
-    coded = bpe.decode(bpe.encode(docs.select(_whole(docs), "text"), vocabulary, pattern, ["_row"]), vocabulary)
-    keep = [F.col("_row").getField(c).alias(c) for c in docs.columns if c not in ("n_tokens", "ids", "round_trip")]
-    same = F.col("decoded") == F.coalesce(F.col("_row").getField("text"), F.lit("")).cast("binary")
+    named = {c: f"_c{k}" for k, c in enumerate(docs.columns)}  # no clash with the operator's columns
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()])
+    coded = bpe.encode(rows, vocabulary, pattern, rows.columns, text=named["text"], decoded=True,
+                       remember=200_000, rows=1_000_000, step=1_000_000)  # beside executors that earlier stages have filled
+    keep = [F.col(n).alias(c) for c, n in named.items() if c not in ("n_tokens", "ids", "round_trip")]
+    same = F.col("decoded") == F.coalesce(F.col(named["text"]), F.lit("")).cast("binary")
     return coded.select(*keep, "n_tokens", "ids", same.alias("round_trip"))
 
 

@@ -34,9 +34,9 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LONG = 128
-REMEMBER = 400_000
-ROWS = 2_000_000
-BYTES = 2_000_000
+REMEMBER = 700_000
+ROWS = 4_000_000
+BYTES = 4_000_000
 
 RECURSIVE = """
 with recursive tk as (
@@ -70,7 +70,7 @@ def load_ranks(raw: bytes) -> dict[bytes, int]:
 def connect():
     import duckdb
 
-    con = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
+    con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
     con.execute("set enable_progress_bar = false")
     return con
 
@@ -88,10 +88,12 @@ def table_of(con, name, columns):
 class Encoder:
     """Encodes texts of one task."""
 
-    def __init__(self, raw: bytes, pattern: str):
+    def __init__(self, raw: bytes, pattern: str, remember: int | None = None, rows: int | None = None):
         import numpy as np
         import regex
 
+        self.remember, self.rows = remember or REMEMBER, rows or ROWS
+
         self.ranks, self.find = load_ranks(raw), regex.compile(pattern).findall
         self.byte = np.array([self.ranks[bytes([k])] for k in range(256)], np.int32)
         self.con = connect()
@@ -111,7 +113,7 @@ class Encoder:
             if w is not None and len(w) > LONG:
                 out[w] = self.by_heap(w)
                 continue
-            if group and (w is None or rows > ROWS):
+            if group and (w is None or rows > self.rows):
                 lens = np.fromiter(map(len, group), np.int64, len(group))
                 at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
                 table_of(self.con, "bytes_of", {"w": np.repeat(np.arange(len(group), dtype=np.int32), lens), "i": at.astype(np.int32),
@@ -161,7 +163,7 @@ class Encoder:
         """ids of each text as little-endian unsigned 32-bit integers."""
         import struct
 
-        if len(self.first) + len(self.after) + len(self.odd) > REMEMBER:
+        if len(self.first) + len(self.after) + len(self.odd) > self.remember:
             self.first, self.after, self.odd = {}, {}, set()
         cut = [t.split(" ") for t in texts]
         new_first = {c[0] for c in cut} - self.first.keys()
@@ -227,9 +229,12 @@ class Decoder:
         return out
 
 
-def encode(docs: DataFrame, vocabulary: bytes, pattern: str, keep: list[str], text: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: bytes, pattern: str, keep: list[str], text: str = "text", decoded: bool = False,
+           remember: int | None = None, rows: int | None = None, step: int | None = None) -> DataFrame:
     """``keep`` columns, n_tokens and ids (binary) of every row of ``docs``; with
-    ``decoded`` also the bytes the ids decode to, by the same task."""
+    ``decoded`` also the bytes the ids decode to, by the same task. ``remember``, ``rows`` and
+    ``step`` (characters taken at once) set a task's memory; results do not depend on them."""
+    step = step or BYTES
     own = text in keep
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
                           + [T.StructField("decoded", T.BinaryType())] * decoded)
@@ -242,9 +247,9 @@ def encode(docs: DataFrame, vocabulary: bytes, pattern: str, keep: list[str], te
         coder = None
         for b in batches:
             if coder is None:
-                coder = Encoder(vocabulary, pattern)
+                coder = Encoder(vocabulary, pattern, remember, rows)
                 back = Decoder(vocabulary, coder.con) if decoded else None
-            for i, j in _runs(pc.fill_null(pc.binary_length(b.column(where)), 0).to_pylist(), BYTES):
+            for i, j in _runs(pc.fill_null(pc.binary_length(b.column(where)), 0).to_pylist(), step):
                 part = b.slice(i, j - i)
                 ids = coder.encode([t or "" for t in part.column(where).to_pylist()])
                 cols = [part.column(k) for k in range(len(keep))] + [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]

@@ -184,6 +184,8 @@ def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFr
     schema = T.StructType([docs.schema[c] for c in keep]
                           + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
+    where = keep.index("text") if "text" in keep else len(keep)
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -191,7 +193,7 @@ def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFr
         for b in batches:
             for k in range(0, b.num_rows, 512):
                 part = b.slice(k, 512)
-                texts = part.column(part.num_columns - 1).to_pylist()
+                texts = part.column(where).to_pylist()
                 known = [i for i, t in enumerate(texts) if model is not None and has_letter(t)]
                 langs, scores = [UND] * len(texts), [0.0] * len(texts)
                 if known:
@@ -199,7 +201,8 @@ def predict(docs: DataFrame, model: Hierarchy | None, keep: list[str]) -> DataFr
                     for i, lang, s in zip(known, found, p):
                         langs[i], scores[i] = lang, float(s)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(i) for i in range(part.num_columns - 1)] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                    [part.column(i) for i in range(len(keep))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                     names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(run, schema)
+    given = [F.col(f"`{c}`") for c in keep] + ([] if "text" in keep else [F.col("text").alias("_text")])
+    return docs.select(*given).mapInArrow(run, schema)

@@ -94,8 +94,8 @@ def public_vocabulary(name="byte_bpe_multi_50k.tiktoken"):
 @query("op7_bpe_duckdb")
 def op7_bpe_duckdb(spark, sf_dir):
     vocabulary, pattern = public_vocabulary()
-    coded = bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, pattern, ["doc_id"])
-    return bpe.decode(coded, vocabulary).select(
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, vocabulary, pattern, ["doc_id"], decoded=True).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -103,7 +103,7 @@ def op7_bpe_duckdb(spark, sf_dir):
 def op4_suffix_dedup(spark, sf_dir):
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.remove_repeats(docs, ["doc_id"], length=400).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
 
 
 SQL["op6_mix_sainte_lague"] = r"""

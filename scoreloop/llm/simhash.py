@@ -68,16 +68,19 @@ def fingerprints(docs: DataFrame, keep: list[str], size: int = 3) -> DataFrame:
     """``keep`` columns and fp, the fingerprint as a signed long, of every row of ``docs`` (which has text)."""
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("fp", T.LongType())])
 
+    where = keep.index("text") if "text" in keep else len(keep)
+
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
-            fps = [fingerprint(t.as_py(), size) for t in b.column(b.num_columns - 1)]
+            fps = [fingerprint(t.as_py(), size) for t in b.column(where)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(k) for k in range(b.num_columns - 1)] + [pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())],
+                [b.column(k) for k in range(len(keep))] + [pa.array([f - (1 << 64) if f >> 63 else f for f in fps], pa.int64())],
                 names=[*keep, "fp"])
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_text")).mapInArrow(run, schema)
+    given = [F.col(f"`{c}`") for c in keep] + ([] if "text" in keep else [F.col("text").alias("_text")])
+    return docs.select(*given).mapInArrow(run, schema)
 
 
 def gray_rank(codes):

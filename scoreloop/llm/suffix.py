@@ -392,7 +392,7 @@ def cut_out(blocks: DataFrame, told: DataFrame, docs: DataFrame, keep: list[str]
             total, starts = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(edge[:-1])]
             begin = ends - [len(t) for t in texts] if len(texts) else ends
             data = np.frombuffer(raw, np.uint8)
-            kept = [t if total[j] == total[i] else data[i:j][~gone[i:j]].tobytes() for t, i, j in zip(texts, begin.tolist(), ends.tolist())]
+            kept = [None if given is None else t if total[j] == total[i] else data[i:j][~gone[i:j]].tobytes() for given, t, i, j in zip(table.column(table.num_columns - 1).to_pylist(), texts, begin.tolist(), ends.tolist())]
             tables.append(pa.table([table.column(k) for k in range(table.num_columns - 1)]
                                    + [pa.array([len(t) for t in texts], pa.int64()), pa.array(total[ends] - total[begin], pa.int64()),
                                       pa.array(starts[ends] - starts[begin], pa.int64()), pa.array(kept, pa.binary())],
@@ -403,7 +403,9 @@ def cut_out(blocks: DataFrame, told: DataFrame, docs: DataFrame, keep: list[str]
 
 
 def remove_repeats(docs: DataFrame, keep: list[str], length: int = 400) -> DataFrame:
-    """``keep`` columns of every row with n_bytes, n_removed, n_spans and kept (binary)."""
+    """``keep`` columns of every row with n_bytes, n_removed, n_spans and kept (binary; null text: null).
+
+    The text travels once, apart from ``keep``; leave it out there unless the original is needed."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed, packed_dir = write_scratch(pack(docs, keep, length, buckets), "suffix-packed")
