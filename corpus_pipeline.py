@@ -22,13 +22,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloop.llm import bpe, langid, mixing, simhash, suffix
-from scoreloop.llm.common import read, rest, sweep, write_scratch
+from scoreloop.llm.common import drop_scratch, read, rest, sweep, write_scratch
 from scoreloop.llm.queries import public_vocabulary
 
 #: No SQL form: trained models, hashes and tokenizers; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
+#: Scratch folders of stages whose results are stored by now.
+_LEFT: list[str] = []
+
+
+def _drop_left(spark: SparkSession) -> None:
+    """A stage's docs are stored, so what the stage before it read is spent."""
+    while _LEFT:
+        drop_scratch(spark, _LEFT.pop())
+
+
 def _whole(docs: DataFrame):
     """All columns as one struct (without its text, which then travels once, beside it)."""
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
@@ -46,8 +56,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, _ = write_scratch(simhash.fingerprints(docs.select(_whole(docs.drop("text")), "text"), ["_row", "text"], size=3)
+    _drop_left(spark)
+    rows, folder = write_scratch(simhash.fingerprints(docs.select(_whole(docs.drop("text")), "text"), ["_row", "text"], size=3)
                             .withColumn("_id", F.monotonically_increasing_id()), "pipeline-fingerprints")
+    _LEFT.append(folder)
     narrow = rows.select("_id", "fp", F.col("_row").getField("doc_id").alias("doc_id"))
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_id")
     low = narrow.groupBy("fp").agg(F.min(order).alias("low"))
@@ -57,6 +69,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _drop_left(spark)
     others = docs.drop("text")
     cleaned = suffix.remove_repeats(docs.select(_whole(others), "text"), ["_row"], length=400)
     text = F.make_valid_utf8(F.col("kept").cast("string"))
@@ -65,14 +78,17 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, _ = write_scratch(docs.select(_whole(docs), "doc_id", "source", mixing.n_words().alias("size"),
+    _drop_left(spark)
+    rows, folder = write_scratch(docs.select(_whole(docs), "doc_id", "source", mixing.n_words().alias("size"),
                                         F.monotonically_increasing_id().alias("_id")), "pipeline-sizes")
+    _LEFT.append(folder)
     plan = mixing.plan(rows.select("_id", "doc_id", "source", "size")).filter("taken > 0").drop("doc_id", "source", "size")
     taken = mixing.taken_texts(rows.withColumn("text", F.col("_row").getField("text")).join(plan, "_id"))
     return _unpacked(taken, docs, text=F.col("text"), n_chars=F.char_length("text").cast("long"))
 
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _drop_left(spark)
     vocabulary, pattern = public_vocabulary()
     named = {c: f"_c{k}" for k, c in enumerate(docs.columns)}  # no clash with the operator's columns
     rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()])
