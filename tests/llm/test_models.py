@@ -141,6 +141,17 @@ def test_gru_learns(spark):
     assert got[0] > got[1]  # better than unigrams on held-out documents
 
 
+def test_gru_trains_on_every_document_of_a_block(spark):
+    rows = [(1, "a b " * 60_000, True), (2, "x y " * 10_000, True), (3, "x y " * 200, False)]
+    got = grulm.score_documents(spark.createDataFrame(rows, "doc_id long, text string, train boolean").coalesce(1)).collect()
+    held = next(r for r in got if r.doc_id == 3)
+    assert held.score > 0.5 * held.base_score  # "x y" comes only in the second document
+    rng = np.random.default_rng(2)
+    net = grulm.Gru(rng.normal(0, 0.1, sum(int(np.prod(s)) for _, s in grulm.Gru.SHAPES)))
+    for n in (0, 1, 31, 32, 33, 5000):
+        assert net.fit(rng.integers(0, grulm.CODES, n + 1)) == n
+
+
 def encoding():
     raw, pattern = public_vocabulary()
     return raw, pattern, tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(raw), special_tokens={})
