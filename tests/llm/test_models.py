@@ -227,6 +227,18 @@ def test_pipeline_stages(spark, tmp_dir):
     assert all(r.round_trip for r in after)
 
 
+def test_pipeline_language_score_decides(spark, tmp_dir):
+    import corpus_pipeline as P
+
+    noise = ["x 12345 !!! ### 999 @@ ;; $$", "0x9f 77 == 88 %% 12 zq 99 ##", "~~~~ 1q ----", "qzxv kjwq zzxq vvkq jxqz wqkz", "|||| 4 || b || 5 |||"]
+    docs = read(spark, SF, "documents")
+    bad = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate(noise)], "doc_id long, text string, lang string")
+    out = P.language_id(spark, docs.unionByName(bad, allowMissingColumns=True), tmp_dir).select("doc_id").collect()
+    ids = {r.doc_id for r in out}
+    assert not any(i >= 10**6 for i in ids)
+    assert ids == {r.doc_id for r in docs.select("doc_id", "text").collect() if langid.has_letter(r.text)}
+
+
 def test_pipeline_on_an_empty_table(spark, tmp_dir):
     import corpus_pipeline as P
 
