@@ -152,6 +152,34 @@ def test_gru_trains_on_every_document_of_a_block(spark):
         assert net.fit(rng.integers(0, grulm.CODES, n + 1)) == n
 
 
+def test_gru_vocabulary_grows_with_the_corpus(spark):
+    common = [f"w{i}" for i in range(400)]
+    rows = [(1, " ".join(common * 20 + [f"once{i}" for i in range(2000)]), True)]
+    packed = grulm.pack(spark.createDataFrame(rows, "doc_id long, text string, train boolean"), 4).localCheckpoint()
+    answers = grulm.answer(packed, 4).localCheckpoint()
+    corpus = grulm.Corpus(answers)
+    assert corpus.types == 2401 and corpus.size >= 16 * 49 and len(corpus.head) == corpus.size
+    row = grulm.encode(packed, answers, corpus).first()
+    codes = grulm.expand(row["codes"], grulm.code_type(corpus.size))
+    assert set(codes[:8000].tolist()) <= set(range(corpus.size)) and len(set(codes[:400].tolist())) == 400
+    assert grulm.vocabulary(10**8) > 9 * grulm.vocabulary(10**6)
+    net = grulm.Gru.start(corpus)
+    rng = np.random.default_rng(4)
+    h = rng.normal(size=(1, grulm.HIDDEN)).repeat(corpus.size + grulm.BINS + 1, axis=0)
+    logp = [net.losses(k * h, np.arange(len(h)))[0] for k in (1, -1)]
+    assert all(abs(np.exp(x).sum() - 1) < 1e-9 for x in logp)
+    one_class = slice(300 // net.per_class * net.per_class, 300 // net.per_class * net.per_class + 5)
+    assert np.ptp((logp[0] - logp[1])[one_class]) > 1e-3  # the state tells words of one class apart
+    inputs, targets = rng.integers(0, len(h), (6, 4)), rng.integers(0, len(h), (6, 4))
+    state = rng.normal(0, 0.5, (4, grulm.HIDDEN))
+    g = net.gradient(inputs, targets, state)[0]
+    for i in np.argsort(-abs(g))[:10]:
+        d = np.zeros(len(g))
+        d[i] = 1e-5
+        slope = [grulm.Gru(net.theta + x, net.head).gradient(inputs, targets, state)[2] for x in (d, -d)]
+        assert abs((slope[0] - slope[1]) / 2e-5 - g[i]) < 1e-8
+
+
 def encoding():
     raw, pattern = public_vocabulary()
     return raw, pattern, tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(raw), special_tokens={})
