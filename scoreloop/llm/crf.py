@@ -219,7 +219,8 @@ class LineModel:
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, max_lines: int = 200) -> LineModel | None:
     """Fit on ``docs`` (doc_id, text) by ``labels`` (doc_id, label 0/1); None unless both labels occur.
 
-    The sample is drawn from the labels alone, so only its texts move."""
+    The sample is drawn from the labels alone, so only its texts move. Of a text with more
+    than ``max_lines`` lines a seeded run of that many is learnt from."""
     labels = labels.filter("label in (0, 1) and doc_id is not null").select("doc_id", F.col("label").cast("int"))
     counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if set(counts) != {0, 1}:
@@ -230,14 +231,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, max_lines: int
            .withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= per_class).drop("_r"))
     once = Window.partitionBy("doc_id", "label").orderBy(F.length("text"), "text")
     sample = (docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most 2 * per_class ids
-              .filter(f"coalesce(size(split(text, '\n')), 1) <= {max_lines}")
               .withColumn("_r", F.row_number().over(once)).filter(F.col("_r") == 1))
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
+        def some(u, x, w):
+            at = int(np.random.default_rng([SEED, int(u * (1 << 53))]).integers(max(len(w) - max_lines, 0) + 1))
+            return x[at:at + max_lines], w[at:at + max_lines]
+
         for b in batches:
-            got = [line_features(t) for t in b.column(2).to_pylist()]
+            got = [some(u, *line_features(t)) for u, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array([x.tobytes() for x, _ in got], pa.binary()),
                  pa.array([w.tobytes() for _, w in got], pa.binary())], names=["label", "u", "x", "w"])
@@ -246,6 +251,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 800, max_lines: int
 
     rows = (sample.select(F.col("label").cast("int"), F.col("_u").alias("u"), "text")
             .mapInArrow(run, "label int, u double, x binary, w binary").collect())
+    if {r["label"] for r in rows} != {0, 1}:  # ids without a document
+        return None
     rows = sorted(rows, key=lambda r: (r["u"], r["label"], bytes(r["x"])))
     docs = [(np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES), np.frombuffer(r["w"], np.float64)) for r in rows]
     return LineModel(docs, [r["label"] for r in rows])

@@ -72,6 +72,16 @@ def test_quality_edges(spark, tmp_dir):
     assert crf.fit(edge.empty(spark), spark.createDataFrame([], "doc_id long, label int")) is None
 
 
+def test_quality_learns_from_long_documents(spark):
+    good = "\n".join("A plain sentence about the weather, and another one." for _ in range(300))
+    data = [(i, good if i % 2 else "click here >>> $$$ !!!\n" * 300, "en", "a", 0) for i in range(20)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, label int")
+    model = crf.fit(edge.docs(spark, data), labels)
+    got = {r.doc_id: r.score for r in crf.score(edge.docs(spark, data), model, ["doc_id"]).collect()}
+    assert min(got[i] for i in range(1, 20, 2)) > 0.5 > max(got[i] for i in range(0, 20, 2))
+    assert crf.fit(edge.docs(spark, data).filter("doc_id % 2 = 1"), labels) is None
+
+
 def test_forward_backward_matches_enumeration():
     rng = np.random.default_rng(3)
     e, trans = rng.normal(size=(1, 5)), rng.normal(size=(2, 2))
