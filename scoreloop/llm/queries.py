@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from scoreloop.llm import bpe, crf, ego, grulm, langid, mixing, rules, sharding, simhash, suffix
+from scoreloop.llm import bpe, crf, ego, grulm, langid, mixing, phrases, pieces, rules, sharding, simhash, suffix, whitening
 from scoreloop.llm.common import read, rest
 
 QUERIES: dict = {}
@@ -106,6 +106,59 @@ def op4_suffix_dedup(spark, sf_dir):
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
 
 
+@query("op11_phrase_quicksort")
+def op11_phrase_quicksort(spark, sf_dir):
+    return phrases.collocations(read(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def public_file(name):
+    """Bytes of a file of an installed public tokenizer."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+@query("op12_sentencepiece_offsets")
+def op12_sentencepiece_offsets(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.encode(docs, public_file("piece_bpe_32k.model"), ["doc_id"], decoded=True).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.element_at("bounds", -1).cast("long").alias("covered_bytes"))
+
+
+@query("op13_whitening_qdwh")
+def op13_whitening_qdwh(spark, sf_dir):
+    return whitening.whiten(read(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumn(
+        "deviation", F.expr("try_cast(deviation as long)"))
+
+
+SQL["op11_phrase_quicksort"] = r"""
+with t as (
+  select row_number() over () as d, coalesce(lang, 'und') as lang,
+         regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') as ps from documents),
+p as (
+  select d, lang, i, list_filter(regexp_split_to_array(ps[i], '[\x20\x09]+'), lambda x: x <> '') as w from (select d, lang, ps, unnest(range(1, len(ps) + 1)) as i from t)),
+totals as (select lang, sum(len(w))::hugeint as n from p group by lang),
+starts as (select lang, w, unnest(range(1, len(w) + 1)) as s from p),
+grams as (select lang, w, s, unnest(range(1, least(5, len(w) - s + 1) + 1)) as m from starts),
+f as (select lang, m, array_to_string(w[s:s + m - 1], ' ') as g, count(*)::hugeint as c from grams group by all having count(*) >= 100),
+cand as (select lang, m, g, c as a, string_split(g, ' ') as w from f where m > 1),
+inside as (
+  select lang, array_to_string(w[s:s + m2 - 1], ' ') as g, max(a) as longer
+  from (select *, unnest(range(1, m - m2 + 2)) as s from (select *, unnest(range(2, m)) as m2 from cand where m > 2)) group by all),
+kept as (
+  select c.* from cand c left join inside i on c.lang = i.lang and c.g = i.g where i.longer is null or 100 * i.longer < 100 * c.a),
+cuts as (select *, array_to_string(w[1:k], ' ') as lg, array_to_string(w[k + 1:], ' ') as rg from (select *, unnest(range(1, m)) as k from kept)),
+s as (
+  select cuts.lang, cuts.g, a, k, x.c as l, y.c as r, n, (1000 * a * n) // (x.c * y.c) as score
+  from cuts join f x on x.lang = cuts.lang and x.g = cuts.lg join f y on y.lang = cuts.lang and y.g = cuts.rg join totals t on t.lang = cuts.lang),
+best as (select * from s qualify row_number() over (partition by lang, g order by score, k) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(g))::bigint as rank, g as phrase,
+       a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from best qualify row_number() over (partition by lang order by score desc, a desc, encode(g)) <= 2000
+"""
+
 SQL["op6_mix_sainte_lague"] = r"""
 with d as (
   select doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::bigint as size,
