@@ -10,10 +10,10 @@
    piece covers it).
 
 Where no piece has a space mark after another character, no merge crosses the start of a
-word; and a character that is in no longer piece merges with nothing. Texts are cut
-at both, and a task works out a distinct word once. Words are remembered up to
-``REMEMBER`` entries and dropped beyond; results do not depend on it. A text is in memory whole,
-with about 12 bytes per byte of text.
+word; where none has another sign after a letter, none crosses the end of a run of letters; and a
+character that is in no longer piece merges with nothing. Texts are cut there, and a task works out a
+distinct word once. Words are remembered up to ``REMEMBER`` entries and dropped beyond; results do not
+depend on it. A text is in memory whole, with about 12 bytes per byte of text.
 
 Null text is empty text: begin and end id only. Bytes that are not UTF-8 become U+FFFD one by one.
 Result columns replace kept columns of the same name. Equal rows get equal results; an empty
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-REMEMBER = 400_000
+REMEMBER = 700_000
 #: Longer words are not remembered.
 LONG = 64
 #: Bytes of text whose results are returned at once.
@@ -217,40 +217,72 @@ class Normaliser:
 
 
 class Coder(dict):
-    """Word -> (ids, normalised bytes of each piece), both little-endian unsigned 32-bit; encodes and decodes the texts of a task."""
+    """Word -> (id, normalised bytes) of its pieces, little-endian unsigned 32-bit; encodes and decodes the texts of a task."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model, self.normaliser = model, Normaliser(model)
         self.user = re.compile(one_of(model.users)) if model.users else None
-        joined = "".join(sorted({c for p in model.own if len(p) > 1 for c in p if c != MARK}))
-        inside = "".join(map(re.escape, joined))
-        self.cut = re.compile(f"{MARK}*[{inside}]+|{MARK}+|[^{inside}{MARK}]").findall if model.words and joined else None
+        self.plain = not model.users and UNUSED not in model.kinds
+        self.cost = {p: -model.scores[i] for p, i in model.own.items()}
+        self.pair = {p: struct.pack("<II", i, len(p.encode())) for p, i in model.own.items()}
+        self.cut = self.cutter() if model.words else None
         self.text = [b"" if k == CONTROL else model.unk_text if k == UNKNOWN else bytes([int(p[3:5], 16)]) if k == BYTE
                      else p.replace(MARK, " ").encode() for p, k in zip(model.pieces, model.kinds)]
 
+    def cutter(self):
+        """Cuts a normalised text into words that no merge leaves."""
+        long = [p.lstrip(MARK) for p in self.model.own if len(p) > 1]
+        letters = "".join(sorted({c for p in long for c in p if c.isalpha()}))
+        signs = "".join(sorted({c for p in long for c in p if not c.isalpha()}))
+        if not letters + signs:
+            return re.compile(f"{MARK}+|[^{MARK}]").findall
+        inside = "".join(map(re.escape, letters + signs))
+        runs = f"{MARK}*[{inside}]+"
+        if letters and signs and not any(x.isalpha() and not y.isalpha() for p in long for x, y in zip(p, p[1:])):
+            a, b = ("".join(map(re.escape, x)) for x in (letters, signs))
+            runs = f"{MARK}*[{b}]*[{a}]+|{MARK}*[{b}]+"
+        return re.compile(f"{runs}|{MARK}+|[^{inside}{MARK}]").findall
+
     def __missing__(self, word: str):
         found = self.encode_word(word)
         if len(word) <= LONG:
             self[word] = found
         return found
 
-    def encode_word(self, word: str):
-        parts = self.merged(word)
-        ids, sizes, model = [], [], self.model
-        for p in parts:
-            raw = p.encode("utf-8", "surrogateescape")
-            i = model.own.get(p, model.unk)
-            if i == model.unk and model.bytes_left:
-                ids += [model.byte[x] for x in raw]
-                sizes += [0] * (len(raw) - 1) + [len(raw)]
-            else:
-                ids.append(i)
-                sizes.append(len(raw))
-        return struct.pack(f"<{len(ids)}I", *ids), struct.pack(f"<{len(sizes)}I", *sizes)
+    def encode_word(self, word: str) -> bytes:
+        parts = self.short(word) if self.plain and len(word) <= LONG else self.merged(word)
+        try:
+            return b"".join([self.pair[p] for p in parts])
+        except KeyError:  # a character that is no piece
+            return b"".join([self.pair[p] if p in self.pair else self.spelled(p.encode("utf-8", "surrogateescape")) for p in parts])
+
+    def spelled(self, raw: bytes) -> bytes:
+        """An unknown character: its bytes, the last of which covers it."""
+        if not self.model.bytes_left:
+            return struct.pack("<II", self.model.unk, len(raw))
+        return b"".join([struct.pack("<II", self.model.byte[x], len(raw) if k == len(raw) - 1 else 0) for k, x in enumerate(raw)])
+
+    def short(self, word: str) -> list[str]:
+        """The pieces of a short word: the cheapest pair, leftmost of equal ones, until none is a piece."""
+        get, none = self.cost.get, float("inf")
+        parts = list(word)
+        costs = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while costs:
+            low = min(costs)
+            if low == none:
+                break
+            i = costs.index(low)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del costs[i]
+            if i < len(costs):
+                costs[i] = get(parts[i] + parts[i + 1], none)
+            if i:
+                costs[i - 1] = get(parts[i - 1] + parts[i], none)
+        return parts
 
     def merged(self, word: str) -> list[str]:
-        """The pieces of a word: best score first, leftmost of equal ones."""
+        """The same for a word of any length, with symbols of the user and unused pieces."""
         own, scores = self.model.own, self.model.scores
         parts, frozen, at = [], set(), 0
         while at < len(word):
@@ -294,23 +326,15 @@ class Coder(dict):
         if len(self) > REMEMBER:
             self.clear()
         text, align = self.normaliser.run(raw)
-        found = [self[w] for w in self.cut(text)] if self.cut else [self[text]] if text else []
-        ids, sizes = b"".join([f[0] for f in found]), np.frombuffer(b"".join([f[1] for f in found]), "<u4")
-        if not self.model.bytes_left:
-            ids, sizes = self.one_unknown(ids, sizes)
+        found = b"".join(map(self.__getitem__, self.cut(text))) if self.cut else self[text] if text else b""
+        ids, sizes = np.frombuffer(found, "<u4").reshape(-1, 2).T
+        if not self.model.bytes_left and len(ids):  # neighbouring unknown characters are one piece
+            first = np.nonzero(np.append(True, (ids[1:] != self.model.unk) | (ids[:-1] != self.model.unk)))[0]
+            ids, sizes = ids[first], np.add.reduceat(sizes, first)
         ends = np.zeros(len(sizes) + 3, np.int64)
         np.cumsum(sizes, out=ends[2:-1])
         ends[-1] = ends[-2]
-        return b"".join([struct.pack("<I", self.model.begin), ids, struct.pack("<I", self.model.end)]), align[ends]
-
-    def one_unknown(self, ids, sizes):
-        """Neighbouring unknown characters are one piece."""
-        import numpy as np
-
-        x = np.frombuffer(ids, "<u4")
-        first = np.ones(len(x), bool)
-        first[1:] = (x[1:] != self.model.unk) | (x[:-1] != self.model.unk)
-        return x[first].tobytes(), np.add.reduceat(sizes, np.nonzero(first)[0]) if len(x) else sizes
+        return b"".join([struct.pack("<I", self.model.begin), ids.tobytes(), struct.pack("<I", self.model.end)]), align[ends]
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 text of a sequence of ids; bytes that are not UTF-8 become U+FFFD one by one."""
