@@ -6,13 +6,14 @@ more are candidates. Steps:
 
 1. One pass counts the words. Words get 64-bit hashes as identifiers; words that share one are found in
    the counted table and get small numbers of their own, so identifiers are exact.
-2. A second pass makes a suffix pointer at every word that is frequent together with its follower, with the
-   words behind it as far as ``max_words``, the piece and the frequent words go. (A bitmap of at most ``BITS``
-   bits says which words may be frequent; it only saves work.) Equal windows of a block travel as one, with
-   their count.
-3. Pointers are routed by a hash of their two leading words. Prefixes that hold over half a task's share of
-   all windows (counted in the first pass in a bounded number of hash buckets) are routed by three words, then by
-   four, and so on; what such a prefix itself counts is added up from the tasks.
+2. A second pass routes a code of the two leading words of every suffix and counts the codes. Pairs of words below
+   ``min_count`` are abandoned here: no pointer of theirs travels. (Bitmaps of at most ``BITS`` bits say which words and
+   pairs may be frequent; a false yes costs work only.)
+3. A third pass makes suffix pointers with the words behind them, as far as ``max_words``, the piece and the frequent pairs go.
+   Equal windows of a block travel as one, with their count, routed by a hash of their two leading words.
+   Prefixes that hold over half a task's share of all windows (counted by the second pass in a bounded
+   number of hash buckets) are routed by three words, then by four, and so on; what such a prefix
+   itself counts is added up from the tasks.
 4. A task sorts its pointers by the quicksort: the pointers whose word at the present depth is less than, equal to and
    greater than a pivot's form three partitions. The size of an equal partition is the count of its phrase; it is sorted
    by the next word, down to ``max_words``. A partition with fewer than ``min_count`` occurrences is abandoned.
@@ -41,8 +42,9 @@ BLOCK_WORDS = 1_000_000
 PART_WINDOWS = 1_000_000
 #: Distinct words a task counts before it hands them on.
 WORDS_HELD = 500_000
-#: Most bits of the bitmap of frequent words; bits of a prefix bucket; small numbers kept for words that share a hash.
+#: Most bits of a bitmap; bits of a pair's code and of a prefix bucket; small numbers kept for words that share a hash.
 BITS = 1 << 27
+PAIR_BITS = 40
 HEAT_BITS = 20
 SHARED = 1 << 16
 #: The piece separators, and a byte that valid UTF-8 never holds.
@@ -118,32 +120,31 @@ def prefixes(cols, lang: str):
     return out
 
 
-def windows(ids, width: int):
-    """Columns of the windows that begin with two words (id 0 ends a piece)."""
+def windows(ids, width: int, follows=None):
+    """Columns of the windows that begin with two words (id 0 ends a piece; nothing follows where ``follows`` is false)."""
     import numpy as np
 
     padded = np.concatenate([ids, np.zeros(width, np.uint64)])
-    at = np.nonzero((ids != 0) & (padded[1:len(ids) + 1] != 0))[0]
-    cols = [ids[at]]
+    after = padded[1:len(ids) + 1] != 0
+    after = np.concatenate([after if follows is None else after & follows, np.zeros(width, bool)])
+    at = np.nonzero((ids != 0) & after[:len(ids)])[0]
+    cols, on = [ids[at]], np.ones(len(at), bool)
     for k in range(1, width):
-        cols.append(np.where(cols[-1] != 0, padded[at + k], np.uint64(0)))
+        on = on & after[at + k - 1]
+        cols.append(np.where(on, padded[at + k], np.uint64(0)))
     return cols
 
 
-def count_words(docs: DataFrame, width: int, bits: int, share: float) -> DataFrame:
-    """Rows (lang, word, h, n) per task, and (depth, bucket, n) of prefix buckets with over half of ``share``."""
+def count_words(docs: DataFrame, bits: int) -> DataFrame:
+    """Rows (lang, word, h, n) per task; a word may come again."""
 
     def run(batches):
+        from collections import Counter
+
         import numpy as np
         import pyarrow as pa
 
-        held, heat, seen = {}, [np.zeros(1 << HEAT_BITS, np.int64) for _ in range(2, width)], 0
-
-        def rows(lang=None, word=None, h=None, n=None, depth=None, bucket=None):
-            size = len(n)
-            cols = [(lang, pa.string()), (word, pa.string()), (h, pa.int64()), (n, pa.int64()), (depth, pa.int32()), (bucket, pa.int32())]
-            return pa.RecordBatch.from_arrays([pa.nulls(size, t) if v is None else pa.array(v, t) for v, t in cols],
-                                              names=["lang", "word", "h", "n", "depth", "bucket"])
+        held: dict[str, Counter] = {}
 
         def flush():
             for lang, counts in held.items():
@@ -151,59 +152,133 @@ def count_words(docs: DataFrame, width: int, bits: int, share: float) -> DataFra
                 words = list(counts)
                 for k in range(0, len(words), 50_000):
                     part = words[k:k + 50_000]
-                    yield rows([lang] * len(part), [w.decode() for w in part],
-                               np.array([word_hash(w, bits) for w in part], np.uint64).view(np.int64), [counts[w] for w in part])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(part)), pa.array([w.decode() for w in part]),
+                         pa.array(np.array([word_hash(w, bits) for w in part], np.uint64).view(np.int64)), pa.array([counts[w] for w in part], pa.int64())],
+                        names=["lang", "word", "h", "n"])
             held.clear()
 
-        class Hashes(dict):
-            def __missing__(self, word):
-                self[word] = h = word_hash(word, bits) or 1
-                return h
-
-        hashes = Hashes({CUT: 0})
-        from collections import Counter
-
         for lang, words in blocks_of(batches, BLOCK_WORDS):
             held.setdefault(lang, Counter()).update(words)
-            ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-            cols = windows(ids, width)
-            seen += len(cols[0])
-            for k, p in enumerate(prefixes(cols[:-1], lang)):
-                heat[k] += np.bincount((p[cols[k + 1] != 0] >> np.uint64(64 - HEAT_BITS)).astype(np.int64), minlength=1 << HEAT_BITS)
             if sum(map(len, held.values())) > WORDS_HELD:
                 yield from flush()
-            if len(hashes) > WORDS_HELD:
-                hashes = Hashes({CUT: 0})
         yield from flush()
-        for k, h in enumerate(heat):
-            hot = np.nonzero(h > share / 2 * seen)[0]
-            yield rows(n=h[hot], depth=np.full(len(hot), k + 2), bucket=hot)
 
-    return docs.mapInArrow(run, "lang string, word string, h long, n long, depth int, bucket int")
+    return docs.mapInArrow(run, "lang string, word string, h long, n long")
 
 
-def route(docs: DataFrame, width: int, bits: int, parts: int, frequent, special: dict, hot: list) -> DataFrame:
-    """(lang, part, payload): windows with counts and route depths, packed per block and part."""
+def bitmap(rows: DataFrame, column: str, n: int) -> bytes:
+    """Flags of the ``n`` values of a column, by their lowest bits: 64 bits or more a value, at most ``BITS`` in all."""
+    bits = 1 << 15
+    while bits < min(64 * n, BITS):
+        bits *= 2
+    place = F.col(column).bitwiseAND(F.lit(bits - 1)) + 1
+    flags = bytearray(bits // 8)
+    for r in (rows.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
+              .groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()):  # 4096 bytes a row
+        flags[(r["b"] - 1) * 4096:r["b"] * 4096] = r["m"]
+    return bytes(flags)
+
+
+def identifiers(frequent: bytes, special: dict, bits: int):
+    """Word -> identifier, 0 for words that are surely infrequent; a dictionary that forgets beyond ``WORDS_HELD``."""
+    import numpy as np
+
     size = len(frequent) * 8
 
+    class Ids(dict):
+        def __missing__(self, word):
+            i = special.get(word) or word_hash(word, bits)
+            at = i % size
+            self[word] = i = i if frequent[at >> 3] >> (at & 7) & 1 else 0
+            return i
+
+        def of(self, words):
+            if len(self) > WORDS_HELD:
+                self.clear()
+            self[CUT] = 0
+            return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+    return Ids()
+
+
+def count_codes(docs: DataFrame, width: int, bits: int, parts: int, frequent: bytes, special: dict, share: float, min_count: int) -> DataFrame:
+    """(depth, code, n): codes of pairs (depth 0) that occur ``min_count`` times; buckets of prefixes of ``depth`` words
+    that hold over ``share`` of the windows of some task."""
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        flags = np.frombuffer(frequent, np.uint8)
+        ids = identifiers(frequent, special, bits)
+        heat, seen = [np.zeros(1 << HEAT_BITS, np.int64) for _ in range(2, width)], 0
+
+        def messages(depth, codes, counts, code_bits):
+            part = (codes * np.uint64(parts)) >> np.uint64(code_bits)
+            at = np.concatenate([[0], np.nonzero(np.diff(part))[0] + 1, [len(part)]]) if len(part) else [0]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([depth] * (len(at) - 1), pa.int32()), pa.array([int(part[i]) for i in at[:-1]], pa.int32()),
+                 pa.array([packed([differences(codes[i:j]), counts[i:j].astype(np.uint32)]) for i, j in zip(at[:-1], at[1:])], pa.binary())],
+                names=["depth", "part", "payload"])
+
+        for lang, words in blocks_of(batches, BLOCK_WORDS):
+            cols = windows(ids.of(words), max(2, width - 1))
+            ph = prefixes(cols, lang)
+            seen += len(ph[0])
+            for k, h in enumerate(heat):
+                h += np.bincount((ph[k][cols[k + 1] != 0] >> np.uint64(64 - HEAT_BITS)).astype(np.int64), minlength=1 << HEAT_BITS)
+            codes = np.sort(ph[0] >> np.uint64(64 - PAIR_BITS))
+            first = np.nonzero(np.append(True, codes[1:] != codes[:-1]))[0] if len(codes) else np.zeros(0, np.int64)
+            yield messages(0, codes[first], np.diff(np.append(first, len(codes))), PAIR_BITS)
+        for k, h in enumerate(heat):
+            hot = np.nonzero(h > share * seen)[0]
+            yield messages(k + 2, hot.astype(np.uint64), np.minimum(h[hot], (1 << 32) - 1), HEAT_BITS)
+
+    def add(table):
+        import numpy as np
+        import pyarrow as pa
+
+        depth = table.column("depth")[0].as_py()
+        got = [unpacked(x, [(8, np.uint8), (4, np.uint32)]) for x in table.column("payload").to_pylist()]
+        codes = np.concatenate([np.cumsum(together(g[0])) for g in got])
+        order = np.argsort(codes, kind="stable")
+        codes, n = codes[order], np.concatenate([g[1] for g in got])[order].astype(np.int64)
+        first = np.nonzero(np.append(True, codes[1:] != codes[:-1]))[0]
+        codes, n = codes[first], np.add.reduceat(n, first)
+        keep = n >= (1 if depth else min_count)
+        return pa.table([pa.array(np.full(int(keep.sum()), depth, np.int32)), pa.array(codes[keep].astype(np.int64)), pa.array(n[keep])],
+                        names=["depth", "code", "n"])
+
+    sent = docs.mapInArrow(run, "depth int, part int, payload binary")
+    return sent.groupBy("depth", "part").applyInArrow(add, "depth int, code long, n long")
+
+
+def differences(codes):
+    """Steps of a rising sequence, byte by byte (numpy, unsigned): mostly zeros, so they pack well."""
+    import numpy as np
+
+    return np.diff(codes, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T
+
+
+def together(planes):
+    import numpy as np
 
-        class Ids(dict):
-            def __missing__(self, word):
-                i = special.get(word) or word_hash(word, bits)
-                at = i % size
-                self[word] = i = i if flags[at >> 3] >> (at & 7) & 1 else 0
-                return i
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
 
-        ids = Ids({CUT: 0})
+
+def route(docs: DataFrame, width: int, bits: int, parts: int, frequent: bytes, special: dict, pairs: bytes, hot: list) -> DataFrame:
+    """(lang, part, payload): windows with counts and route depths, packed per block and part."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        ids, flags = identifiers(frequent, special, bits), np.frombuffer(pairs, np.uint8)
+        low = np.uint64(len(pairs) * 8 - 1)
         for lang, words in blocks_of(batches, BLOCK_WORDS):
-            if len(ids) > WORDS_HELD:
-                ids = Ids({CUT: 0})
-            cols = windows(np.fromiter(map(ids.__getitem__, words), np.uint64, len(words)), width)
+            at = ids.of(words)
+            code = (prefixes([at, np.append(at[1:], np.uint64(0))], lang)[0] >> np.uint64(64 - PAIR_BITS)) & low
+            cols = windows(at, width, (flags[(code >> np.uint64(3)).astype(np.int64)] >> (code & np.uint64(7)).astype(np.uint8)) & 1 == 1)
             n = len(cols[0])
             if not n:
                 continue
@@ -231,22 +306,25 @@ def route(docs: DataFrame, width: int, bits: int, parts: int, frequent, special:
 
 
 def packed(columns) -> bytes:
+    """Columns of equal length as one byte string, compressed unless it is short."""
     import pyarrow as pa
 
+    n = len(columns[-1])
     raw = b"".join([c.tobytes() for c in columns])
-    return len(columns[0]).to_bytes(4, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if len(columns[0]) >= 64 else raw)
+    return n.to_bytes(4, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if n >= 64 else raw)
 
 
-def unpacked(payload: bytes, width: int):
+def unpacked(payload: bytes, kinds):
+    """The columns: ``kinds`` are (bytes a row, type)."""
     import numpy as np
     import pyarrow as pa
 
-    n = int.from_bytes(payload[:4], "little")
-    size = n * (8 * width + 5)
-    raw = pa.decompress(payload[4:], decompressed_size=size, codec="zstd") if n >= 64 else payload[4:]
-    raw = memoryview(raw)
-    cols = [np.frombuffer(raw[8 * n * k:8 * n * (k + 1)], np.uint64) for k in range(width)]
-    return [*cols, np.frombuffer(raw[8 * n * width:n * (8 * width + 4)], np.uint32), np.frombuffer(raw[n * (8 * width + 4):], np.uint8)]
+    n, out, at = int.from_bytes(payload[:4], "little"), [], 0
+    raw = pa.decompress(payload[4:], decompressed_size=n * sum(k for k, _ in kinds), codec="zstd", asbytes=True) if n >= 64 else payload[4:]
+    for size, kind in kinds:
+        out.append(np.frombuffer(raw, kind, n * size // np.dtype(kind).itemsize, at))
+        at += n * size
+    return out
 
 
 def sort_pointers(cols, weight, pointers, depth: int, min_count: int):
@@ -288,7 +366,8 @@ def count_phrases(routed: DataFrame, width: int, min_count: int) -> DataFrame:
     def run(table):
         import numpy as np
 
-        got = [unpacked(x, width) for x in table.column("payload").to_pylist()]
+        kinds = [(8, np.uint64)] * width + [(4, np.uint32), (1, np.uint8)]
+        got = [unpacked(x, kinds) for x in table.column("payload").to_pylist()]
         cols = [np.concatenate([g[k] for g in got]) for k in range(width + 2)]
         weight, depths = cols[width].astype(np.int64), cols[width + 1]
         found = []
@@ -315,10 +394,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     given = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit(UND)).alias("lang"),
                         F.make_valid_utf8(F.coalesce(F.col(f"`{text}`"), F.lit(""))).cast("binary").alias("text"))
-    counted, counted_dir = write_scratch(count_words(given, max_words, hash_bits, 0.5 / tasks), "phrase-words")
-    words, words_dir = write_scratch(counted.filter("word is not null").groupBy("lang", "word", "h").agg(F.sum("n").alias("n")), "phrase-counts")
-    shared = (words.select("h", "word").distinct().groupBy("h").agg(F.count("*").alias("k"), F.collect_list("word").alias("ws"))
-              .filter((F.col("k") > 1) | F.col("h").between(0, SHARED)).select(F.explode("ws").alias("word")).limit(SHARED).collect())
+    by_hash = Window.partitionBy("h")
+    words, words_dir = write_scratch(
+        count_words(given, hash_bits).repartition("h").groupBy("h", "lang", "word").agg(F.sum("n").alias("n"))
+        .withColumn("shared", (F.min("word").over(by_hash) != F.max("word").over(by_hash)) | F.col("h").between(0, SHARED)), "phrase-words")
+    shared = words.filter("shared").select("word").distinct().limit(SHARED).collect()
     if len(shared) >= SHARED:
         raise ArithmeticError("too many words share a hash")
     special = {r["word"].encode(): i + 1 for i, r in enumerate(sorted(shared))}
@@ -328,25 +408,21 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
         named = named.join(own, "word", "left").withColumn("id", F.coalesce("own", "h"))
     named = named.select("lang", "word", "id", "n")
     totals = words.groupBy("lang").agg(F.sum("n").alias("total"))
-    n_words, n_frequent = (words.agg(F.sum("n"), F.count(F.when(F.col("n") >= min_count, 1))).first())
-    bits = 1 << 15
-    while bits < min(64 * n_frequent, BITS):
-        bits *= 2
-    place = F.col("id").bitwiseAND(F.lit(bits - 1)) + 1
-    flags = bytearray(bits // 8)
-    for r in (named.select(F.bitmap_bucket_number(place).alias("b"), F.bitmap_bit_position(place).alias("p"))
-              .groupBy("b").agg(F.bitmap_construct_agg("p").alias("m")).collect()):  # 4096 bytes a row, ``bits`` bits in all
-        flags[(r["b"] - 1) * 4096:r["b"] * 4096] = r["m"]
-    parts = max(tasks, -(-(n_words or 0) // PART_WINDOWS))
+    n_words, n_frequent = (v or 0 for v in words.agg(F.sum("n"), F.count(F.when(F.col("n") >= min_count, 1))).first())
+    frequent = bitmap(named, "id", n_frequent)
+    coded, coded_dir = write_scratch(count_codes(given, max_words, hash_bits, max(tasks, -(-n_words // PART_WINDOWS)), frequent, special,
+                                                 1 / 32 / tasks, min_count), "phrase-pairs")
+    pairs = coded.filter("depth = 0")
+    n_pairs, n_windows = (v or 0 for v in pairs.agg(F.count("*"), F.sum("n")).first())
     hot = [np.zeros(1 << HEAT_BITS, bool) for _ in range(2, max_words)]
-    for r in (counted.filter("depth is not null").groupBy("depth", "bucket").agg(F.sum("n").alias("n"))
-              .filter(F.col("n") > (n_words or 0) * 0.5 / tasks).select("depth", "bucket").collect()):  # at most 2 * tasks a depth
-        hot[r["depth"] - 2][r["bucket"]] = True
-    routed = route(given, max_words, hash_bits, parts, bytes(flags), special, hot)
+    for r in (coded.filter("depth > 0").filter(F.col("n") > n_windows * 0.5 / tasks)
+              .select("depth", "code").collect()):  # at most 2 ** HEAT_BITS a depth
+        hot[r["depth"] - 2][r["code"]] = True
+    routed = route(given, max_words, hash_bits, max(tasks, -(-n_windows // PART_WINDOWS)), frequent, special, bitmap(pairs, "code", n_pairs), hot)
     found, found_dir = write_scratch(count_phrases(routed, max_words, min_count).groupBy("lang", "ids").agg(F.sum("n").alias("a"))
                                      .filter(F.col("a") >= min_count), "phrase-found")
     out, _ = write_scratch(scored(found, named, totals, top, cover), "phrase-out")
-    drop_scratch(spark, counted_dir, words_dir, found_dir)
+    drop_scratch(spark, words_dir, coded_dir, found_dir)
     return out
 
 
