@@ -183,7 +183,12 @@ class Normaliser:
 
         m = self.model
         out, align, keep, at, space = [], [], [], 0, m.squeeze
+        head, leading = 0, m.squeeze  # source bytes of the spaces before everything else
         for part, size, replaced in self.parts(raw):
+            if leading and (part or replaced):
+                spaces = len(part) - len(part.lstrip(b" ")) if not replaced else part == b" "
+                head = at + (spaces if not replaced else size * spaces)
+                leading = spaces == len(part) and len(part) > 0
             if part:
                 b = np.frombuffer(part, np.uint8) == 32
                 if replaced:  # only spaces at its head can be one space too many
@@ -197,22 +202,21 @@ class Normaliser:
                 out.append(part)
                 keep.append(stay)
             at += size
-        if not out:
-            return "", np.array([0])
         data, align = b"".join(out), np.concatenate([*align, [at]])
-        if m.squeeze:
+        if m.squeeze and out:
             stay = np.concatenate(keep)
             data, align = np.frombuffer(data, np.uint8)[stay].tobytes(), align[np.append(stay, True)]
-            n = len(data.rstrip(b" "))
-            data, align = data[:n], align[:n + 1]
-            if not data:
-                return "", align[-1:]
-        if m.dummy:
-            data = data + b" " if m.suffix else b" " + data
-            align = np.append(align, align[-1]) if m.suffix else np.insert(align, 0, align[0] if m.squeeze else 0)
+        if raw and m.dummy and not m.suffix:
+            data, align = b" " + data, np.insert(align, 0, head)
         if m.escape and b" " in data:
             align = np.repeat(align, np.append(1 + 2 * (np.frombuffer(data, np.uint8) == 32), 1))
             data = data.replace(b" ", MARK.encode())
+        space = MARK.encode() if m.escape else b" "
+        while m.squeeze and data.endswith(space):
+            data = data[:-len(space)]
+            align = align[:len(data) + 1]
+        if data and m.dummy and m.suffix:
+            data, align = data + space, np.append(align, [align[-1]] * len(space))
         return data.decode("utf-8", "surrogateescape"), align
 
 
@@ -406,7 +410,9 @@ def encode(docs: DataFrame, model: bytes, keep: list[str], text: str = "text", d
                     cols.append(pa.array([coder.decode(x) for x in ids], pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=[*given, "n_tokens", "ids", "bounds"] + ["decoded"] * decoded)
 
-    return docs.select(*[F.col(f"`{c}`") for c in given], F.col(f"`{text}`").cast("binary").alias("_text")).mapInArrow(run, schema)
+    # numbered names: a kept column may have any name
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(given)], F.col(f"`{text}`").cast("binary").alias("_text"))
+    return rows.mapInArrow(run, schema)
 
 
 def decode(coded: DataFrame, model: bytes) -> DataFrame:

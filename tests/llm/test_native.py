@@ -140,7 +140,7 @@ def test_quotas_match_highest_quotients(spark):
         assert all(got[i, k] == want[i] for i in range(len(goals)))
 
 
-@pytest.mark.parametrize("name", ["op6_mix_sainte_lague", "op8_quality_rules"])
+@pytest.mark.parametrize("name", ["op6_mix_sainte_lague", "op8_quality_rules", "op11_phrase_quicksort"])
 def test_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
