@@ -15,9 +15,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Scratch folders this driver has written and not deleted yet. A result that is
-#: still lazy may read one; who has stored its results calls ``sweep``.
-_WRITTEN: list[str] = []
+#: One list per running ``scratch_of_call``: the scratch folders written inside it and not deleted yet.
+_OWNERS: list[list[str]] = []
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,15 +39,17 @@ def write_scratch(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` as Parquet into a fresh scratch folder; (reread table, folder)."""
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    _WRITTEN.append(path)
+    for owner in _OWNERS[-1:]:
+        owner.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def drop_scratch(spark: SparkSession, *paths: str) -> None:
     """Delete scratch folders that no later step reads."""
     for path in paths:
-        if path in _WRITTEN:
-            _WRITTEN.remove(path)
+        for owner in _OWNERS:
+            if path in owner:
+                owner.remove(path)
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -65,9 +66,18 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, old)
 
 
-def sweep(spark: SparkSession, keep: tuple[str, ...] = ()) -> None:
-    """Delete all scratch folders written so far but those in ``keep``."""
-    drop_scratch(spark, *[p for p in _WRITTEN if p not in keep])
+@contextlib.contextmanager
+def scratch_of_call(spark: SparkSession, keep: list[str]):
+    """Deletes at its end what the body has written and neither deleted nor put into ``keep``.
+
+    A lazy result reads its scratch folders until it is stored; who stores it within the body
+    leaves nothing behind. Folders of other calls stay."""
+    _OWNERS.append([])
+    try:
+        yield
+    finally:
+        mine = _OWNERS.pop()
+        drop_scratch(spark, *[p for p in mine if p not in keep])
 
 
 def rest(doc_id: str, mod: int) -> F.Column:

@@ -6,9 +6,9 @@ separate its languages. Features are hashed byte trigrams of the lower-cased
 letters of the whole text (square root of the counts, unit length).
 
 The machines are fitted on the driver on at most ``per_lang`` texts per
-language and ``max_sample`` in all, the ones with the smallest seeded hash of
-their id; that bound does not grow with the input. Prediction is one pass over
-the texts, without a shuffle.
+language and ``max_sample`` in all (but ``FEW`` of every language, however many there are), the ones with
+the smallest seeded hash of their id; that bound does not grow with the input. Prediction is one pass
+over the texts, without a shuffle.
 
 Texts that are null or have no letter, and every text when nothing can be
 learned, get ``und`` with score 0. Rows without a language are not learned
@@ -30,6 +30,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 UND = "und"
 DIM = 1 << 12
 SEED = 9
+FEW = 5
 #: Language families by language code; a code not listed is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "lb", "fy"),
@@ -148,14 +149,12 @@ class Hierarchy:
 def fit(train: DataFrame, per_lang: int = 400, max_sample: int = 4000) -> Hierarchy | None:
     """Fit on ``train`` (doc_id, text, lang): a bounded sample of each language; None without rows."""
     train = train.filter("lang is not null and text is not null and trim(text) <> ''")
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(max_sample // 20).collect()}
+    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     if not counts:
         return None
-    bound = max(1, min(per_lang, max_sample // len(counts)))
-    share = F.lit(0.0)
-    for lang, n in counts.items():  # a hash threshold that leaves about twice the bound, before any shuffle
-        share = F.when(F.col("lang") == lang, F.lit(2.0 * bound / n + 100.0 / n)).otherwise(share)
+    bound = min(per_lang, max(FEW, max_sample // len(counts)))
+    # a hash threshold that leaves about twice the bound, before any shuffle
+    share = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, 2.0 * bound / n + 100.0 / n)])[F.col("lang")]
     draw = unit(F.lit(SEED), F.col("doc_id"))
     near = train.withColumn("_u", draw).filter(F.col("_u") < share)
     order = Window.partitionBy("lang").orderBy("_u", "doc_id")

@@ -33,7 +33,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreloop.llm.common import drop_scratch, write_scratch
+from scoreloop.llm.common import cut, drop_scratch, write_scratch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -421,7 +421,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", max_wo
     routed = route(given, max_words, hash_bits, max(tasks, -(-n_windows // PART_WINDOWS)), frequent, special, bitmap(pairs, "code", n_pairs), hot)
     found, found_dir = write_scratch(count_phrases(routed, max_words, min_count).groupBy("lang", "ids").agg(F.sum("n").alias("a"))
                                      .filter(F.col("a") >= min_count), "phrase-found")
-    out, _ = write_scratch(scored(found, named, totals, top, cover), "phrase-out")
+    out = cut(scored(found, named, totals, top, cover))
     drop_scratch(spark, words_dir, coded_dir, found_dir)
     return out
 

@@ -219,6 +219,7 @@ def pack(docs: DataFrame, keep: list[str], length: int, buckets: int) -> DataFra
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         serial = [TaskContext.get().partitionId() << 32]
@@ -239,7 +240,7 @@ def pack(docs: DataFrame, keep: list[str], length: int, buckets: int) -> DataFra
 
         got, size = [], 0
         for batch in batches:
-            lens = [len(t) if t else 0 for t in batch.column(batch.num_columns - 1).to_pylist()]
+            lens = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
             at = 0
             for k, n in enumerate(lens):
                 size += n + 64
@@ -353,6 +354,21 @@ def refine(blocks: DataFrame, answers: DataFrame, length: int, buckets: int) ->
     return blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(run, MESSAGE)
 
 
+def removed_runs(start, stop, ends):
+    """Maximal removed runs from overlapping byte ranges: (text, from, to), texts ending at ``ends``."""
+    import numpy as np
+
+    order = np.argsort(start, kind="stable")
+    start, stop = start[order], stop[order]
+    text = np.searchsorted(ends, start, side="right")  # one free place between texts: their runs never join
+    far = np.maximum.accumulate(stop + text) if len(stop) else stop
+    new = np.ones(len(start), bool)
+    new[1:] = (start + text)[1:] > far[:-1]
+    first = np.nonzero(new)[0]
+    text = text[first]
+    return text, start[first], far[np.append(first[1:], len(far)) - 1] - text if len(first) else first
+
+
 def cut_out(blocks: DataFrame, told: DataFrame, docs: DataFrame, keep: list[str], length: int) -> DataFrame:
     """The rows with n_bytes, n_removed, n_spans and kept (the remaining bytes)."""
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
@@ -380,22 +396,16 @@ def cut_out(blocks: DataFrame, told: DataFrame, docs: DataFrame, keep: list[str]
             codes = [expand(a, np.uint8) for a in said["a"]]
             codes = np.concatenate(codes) if codes else np.zeros(0, np.uint8)
             p = ranges(o0, o1)[codes[expand(parts[1], np.uint32)] > 0] if len(o0) else o0
-            cover = np.zeros(len(raw) + 1, np.int32)
-            np.add.at(cover, np.r_[start, p], 1)
-            np.add.at(cover, np.r_[stop - 1, p] + length, -1)
-            gone = np.cumsum(cover[:-1]) > 0
-            edge = np.zeros(len(raw) + 1, bool)  # a removed run starts
-            edge[:-1] = gone
-            edge[1:len(raw)] &= ~gone[:-1]
-            at_start = (ends - [len(t) for t in texts])[[len(t) > 0 for t in texts]].astype(np.int64)
-            edge[at_start] = np.r_[gone, False][at_start]
-            total, starts = np.r_[0, np.cumsum(gone)], np.r_[0, np.cumsum(edge[:-1])]
-            begin = ends - [len(t) for t in texts] if len(texts) else ends
-            data = np.frombuffer(raw, np.uint8)
-            kept = [None if given is None else t if total[j] == total[i] else data[i:j][~gone[i:j]].tobytes() for given, t, i, j in zip(table.column(table.num_columns - 1).to_pylist(), texts, begin.tolist(), ends.tolist())]
+            text, lo, hi = removed_runs(np.r_[start, p], np.r_[stop - 1, p] + length, ends)
+            kept = [None if given is None else t for given, t in zip(table.column(table.num_columns - 1).to_pylist(), texts)]
+            at = np.r_[0, np.nonzero(np.diff(text))[0] + 1, len(text)] if len(text) else [0]
+            for i, j in zip(at[:-1], at[1:]):
+                k = text[i]
+                stays = zip([int(ends[k]) - len(texts[k]), *hi[i:j].tolist()], [*lo[i:j].tolist(), int(ends[k])])
+                kept[k] = b"".join([raw[x:y] for x, y in stays])
+            count = lambda w=None: pa.array(np.bincount(text, w, len(texts)).astype(np.int64))
             tables.append(pa.table([table.column(k) for k in range(table.num_columns - 1)]
-                                   + [pa.array([len(t) for t in texts], pa.int64()), pa.array(total[ends] - total[begin], pa.int64()),
-                                      pa.array(starts[ends] - starts[begin], pa.int64()), pa.array(kept, pa.binary())],
+                                   + [pa.array([len(t) for t in texts], pa.int64()), count(hi - lo), count(), pa.array(kept, pa.binary())],
                                    names=[*keep, "n_bytes", "n_removed", "n_spans", "kept"]))
         return pa.concat_tables(tables)
 

@@ -102,6 +102,11 @@ def test_ego_join_against_brute_force(spark, monkeypatch, leaf, block):
         r = got[1000 - i]
         assert (r.n_links, r.component_id, r.kept) == (links[i], low[comp[i]], low[comp[i]] == 1000 - i), i
     assert ego.near_duplicates(df.limit(0)).count() == 0
+    short = [[1.0, 0.0], [1.0, 0.1], [0.0, 1.0], [1.0, 0.0], [0.0, 0.0]] + [[float(x)] for x in (1, 2, -1)]  # other lengths link among themselves
+    mixed = df.union(spark.createDataFrame([(2000 + i, v) for i, v in enumerate(short)], "vec_id long, embedding array<float>")).withColumn("n_links", F.lit("x"))
+    more = {r.vec_id: (r.n_links, r.component_id) for r in ego.near_duplicates(mixed, 0.9, block).collect()}
+    assert [more[2000 + i] for i in range(8)] == [(2, 2000), (2, 2000), (0, 2002), (2, 2000), (0, 2004), (1, 2005), (1, 2005), (0, 2007)]
+    assert all(more[1000 - i] == (links[i], low[comp[i]]) for i in range(len(vecs)))
     alone = ego.near_duplicates(df.filter("vec_id > 999")).collect()
     assert [(r.n_links, r.kept) for r in alone] == [(0, True)]
 
