@@ -11,7 +11,7 @@ through. Empty tables give empty results; repeated rows are documents of their o
    families of several languages, and never below 1/2 with two languages in all).
 2. simhash_near_dedup: of each near-duplicate group the document with the smallest
    doc_id stays (null ids last, of equal ids one row).
-3. suffix_dedup: removes repeated 400-byte strings from the texts; n_chars follows.
+3. suffix_dedup: removes repeated ``REPEAT``-byte strings from the texts; n_chars follows.
    A character cut in half becomes U+FFFD. Texts without repeats stay as they are (null too).
 4. mix_sources: one row per copy that the mix takes; a document taken in part
    keeps its taken words; n_chars follows.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloop.llm import bpe, langid, mixing, simhash, suffix
-from scoreloop.llm.common import drop_scratch, read, rest, sweep, write_scratch
+from scoreloop.llm.common import drop_scratch, read, rest, scratch_of_call, write_scratch
 from scoreloop.llm.queries import public_vocabulary
 
 #: No SQL form: trained models, hashes and tokenizers; tests hold the stages against brute force.
@@ -35,6 +35,10 @@ ORACLE_SQL = None
 #: sf0.01 and sf0.1: README, section llm.
 MIN_SCORE = 0.4
 
+#: Bytes of a repeated string that is removed. Passages of over 50 words that documents share have about 250 to
+#: 400 bytes, so op4's 400 leaves them; README, section llm, has what other lengths catch and touch.
+REPEAT = 200
+
 #: Scratch folders of stages whose results are stored by now.
 _LEFT: list[str] = []
 
@@ -77,7 +81,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     _drop_left(spark)
     others = docs.drop("text")
-    cleaned = suffix.remove_repeats(docs.select(_whole(others), "text"), ["_row"], length=400)
+    cleaned = suffix.remove_repeats(docs.select(_whole(others), "text"), ["_row"], length=REPEAT)
     text = F.make_valid_utf8(F.col("kept").cast("string"))
     chars = F.when(F.col("n_removed") == 0, F.col("_row").getField("n_chars")).otherwise(F.char_length(text).cast("long"))
     return _unpacked(cleaned, docs, text=text, n_chars=chars)
@@ -111,8 +115,10 @@ STAGES = [("language_id", language_id), ("simhash_near_dedup", simhash_near_dedu
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``; the last one's rows."""
-    docs = read(spark, sf_dir, "documents")
+    docs, folders = read(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs, folder = write_scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        sweep(spark, keep=(folder,))
+        with scratch_of_call(spark, keep=folders):
+            docs, folder = write_scratch(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            folders.append(folder)
+        drop_scratch(spark, *folders[:-1])
     return STAGES[-1][1](spark, docs, sf_dir)
