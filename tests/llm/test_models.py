@@ -46,6 +46,59 @@ def test_language_edges(spark, tmp_dir):
     assert {r.lang_pred for r in langid.predict(edge.docs(spark), one, ["doc_id"]).collect()} == {"de", "und"}
 
 
+def test_every_language_is_learned(spark):
+    rnd = random.Random(3)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 600)]
+    rows = [(10 * k + j, " ".join("".join(rnd.choice(letters[2 * k:2 * k + 2]) for _ in range(6)) for _ in range(20)), f"q{k:03d}")
+            for k in range(220) for j in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, max_sample=1000)  # fewer texts than five a language: classes are not bounded
+    assert sum(map(len, model.families.values())) == 220
+
+
+def test_one_versus_one_against_plain_votes():
+    rng = np.random.default_rng(5)
+    langs = ["de", "en", "nl", "es", "fr", "xx"]
+    base = {lang: rng.random(langid.DIM) for lang in langs}
+    x = np.array([base[lang] + rng.normal(0, 0.5, langid.DIM) for lang in langs for _ in range(20)], np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    y = [lang for lang in langs for _ in range(20)]
+    model = langid.Hierarchy(x, y)
+
+    def winner(v, labels, name):  # counts the votes of every pair, one row at a time
+        votes = {k: 0.0 for k in range(len(labels))}
+        for i, j, c in model.machines[name]:
+            m = float(v.astype(np.float64) @ model.weights[:, c].astype(np.float64))
+            votes[i if m > 0 else j] += 1
+            votes[i] += np.tanh(m) / (10 * len(labels))
+            votes[j] -= np.tanh(m) / (10 * len(labels))
+        return labels[max(votes, key=lambda k: (votes[k], -k))]
+
+    want = []
+    for v in x:
+        family = winner(v, list(model.families), "")
+        want.append(winner(v, model.families[family], family))
+    assert model.predict(x)[0].tolist() == want
+
+
+def test_svm_against_a_slow_solver():
+    rng = np.random.default_rng(6)
+    x = np.vstack([rng.normal(0.4, 1, (25, 8)), rng.normal(-0.4, 1, (35, 8))])
+    y = np.array([1.0] * 25 + [-1.0] * 35)
+    cost = np.where(y > 0, 10 * 60 / 50, 10 * 60 / 70)
+
+    def loss(w):
+        return 0.5 * w @ w + cost @ np.maximum(0, 1 - y * (x @ w))
+
+    w = np.zeros(8)
+    best = loss(w)
+    for k in range(1, 20001):  # subgradient steps
+        w = w - 1 / (k + 10) * (w - ((cost * y * (y * (x @ w) < 1)) @ x))
+        best = min(best, loss(w))
+    mine = loss(langid.fit_svm(x, y, epochs=300).astype(np.float64))
+    assert mine <= best * 1.01
+
+
 def test_family_comes_first():
     rng = np.random.default_rng(0)
     base = {lang: rng.random(langid.DIM) for lang in ("en", "de", "fr", "es", "xx")}
@@ -158,15 +211,28 @@ def test_gru_trains_on_every_document_of_a_block(spark):
     assert held.score > 0.5 * held.base_score  # "x y" comes only in the second document
     rng = np.random.default_rng(2)
     net = grulm.Gru(rng.normal(0, 0.1, sum(int(np.prod(s)) for _, s in grulm.Gru.SHAPES)))
-    for n in (0, 1, 31, 32, 33, 5000):
+    for n in (0, 1, 31, 32, 33, 255, 256, 257, 5000):
         assert net.fit(rng.integers(0, grulm.CODES, n + 1)) == n
 
 
+@pytest.mark.parametrize("buckets", [1, 4, 64, 200, 1000])
+def test_gru_head_does_not_depend_on_partitions(spark, buckets):
+    words = [f"w{i}" for i in range(30_000)]
+    rows = [(k, " ".join(words[k % 7::7]) + " " + " ".join(words[:4000]), True) for k in range(14)]
+    packed = grulm.pack(spark.createDataFrame(rows, "doc_id long, text string, train boolean"), buckets)
+    corpus = grulm.Corpus(grulm.answer(packed.coalesce(1), buckets))
+    first = {grulm.END} | {w.encode() for w in words[:4000]}  # these come most often
+    import xxhash
+
+    assert corpus.types == 30_001 and len(corpus.head) == corpus.size == grulm.vocabulary(30_001)
+    assert set(corpus.head.tolist()) <= {xxhash.xxh64_intdigest(w) for w in first}
+
+
 def test_gru_vocabulary_grows_with_the_corpus(spark):
     common = [f"w{i}" for i in range(400)]
     rows = [(1, " ".join(common * 20 + [f"once{i}" for i in range(2000)]), True)]
-    packed = grulm.pack(spark.createDataFrame(rows, "doc_id long, text string, train boolean"), 4).localCheckpoint()
-    answers = grulm.answer(packed, 4).localCheckpoint()
+    packed = grulm.pack(spark.createDataFrame(rows, "doc_id long, text string, train boolean"), 4).cache()
+    answers = grulm.answer(packed, 4).cache()
     corpus = grulm.Corpus(answers)
     assert corpus.types == 2401 and corpus.size >= 16 * 49 and len(corpus.head) == corpus.size
     row = grulm.encode(packed, answers, corpus).first()
