@@ -42,7 +42,7 @@ from scoreloop.llm.common import drop_scratch, write_scratch
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 96
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 PART = 1_000_000
 #: Odd multipliers of the rolling hash and the bit mixer.
 BASE = 0x9E3779B97F4A7C15
