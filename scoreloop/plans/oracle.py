@@ -635,3 +635,65 @@ SQL["early_stop_running"] = "WITH" + LL + """,
 rl AS (SELECT run_id, epoch, phase, sum(loss_sum) OVER w / sum(steps) OVER w AS epoch_loss
        FROM ep WINDOW w AS (PARTITION BY run_id, phase ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),""" + ES.replace(
     "FROM ep WHERE", "FROM rl WHERE") + "\nSELECT run_id, stop_epoch, epochs_seen FROM es"
+
+
+# ------------------------------------------------------------------ K4: the training loop, one CTE per gradient round
+
+def training_cte(rates: dict, epochs: int, rounds: int, dim: int) -> str:
+    """Features, weights after every round (k0, k1, ...) and the log of the epochs that ran."""
+    runs = " UNION ALL ".join(f"SELECT '{r}' AS run_id, {v}::DOUBLE AS rate" for r, v in sorted(rates.items()))
+    out = f"""
+kd AS (SELECT d.doc_id, CAST(l.quality AS DOUBLE) AS y, {SKEY.format(k='d.doc_id')} AS sk,
+              list_filter(list_transform(regexp_extract_all(lower(coalesce(d.text, '')), '{PAT}'), lambda t: ltrim(t)),
+                          lambda t: regexp_full_match(t, '\\p{{L}}+')) AS ws
+       FROM documents d JOIN labels l ON d.doc_id = l.doc_id WHERE l.quality IS NOT NULL),
+kp AS MATERIALIZED (
+  SELECT doc_id, y, CASE WHEN sk < 3006477107.2 THEN CAST(sk % {rounds} AS VARCHAR) WHEN sk < 3650722201.6 THEN 'val' ELSE 'test' END AS part FROM kd),
+kc AS (SELECT doc_id, CAST(('0x' || substr(md5(w), 1, 8))::BIGINT % {dim} AS INTEGER) AS b, count(*) AS c
+       FROM (SELECT doc_id, unnest(ws) AS w FROM kd) GROUP BY 1, 2),
+kf AS MATERIALIZED (
+  SELECT doc_id, b, c / sqrt(sum(c * c) OVER (PARTITION BY doc_id)) AS x FROM kc UNION ALL SELECT doc_id, -1, 1.0 FROM kp),
+kr AS ({runs}),
+kk0 AS MATERIALIZED (SELECT run_id, rate, b, 0.0::DOUBLE AS w, 0.0::DOUBLE AS v FROM kr, (SELECT DISTINCT b FROM kf))"""
+
+    def scores(k, part):
+        return (f"SELECT p.doc_id, p.y, w.run_id, 1 / (1 + exp(-sum(f.x * w.w))) AS s FROM kp p JOIN kf f ON p.doc_id = f.doc_id "
+                f"JOIN kk{k} w ON f.b = w.b WHERE p.part = '{part}' GROUP BY ALL")
+
+    k, logs = 0, []
+    for e in range(epochs):
+        for r in range(rounds):
+            out += f""",
+ks{k} AS MATERIALIZED ({scores(k, r)}),
+kg{k} AS (SELECT s.run_id, f.b, sum(2 * (s.s - s.y) * s.s * (1 - s.s) * f.x) / (SELECT count(*) FROM kp WHERE part = '{r}') AS g
+          FROM ks{k} s JOIN kf f ON s.doc_id = f.doc_id GROUP BY 1, 2),
+kk{k + 1} AS MATERIALIZED (
+  SELECT w.run_id, w.rate, w.b, w.w - w.rate * ({0.9} * w.v + coalesce(g.g, 0)) AS w, {0.9} * w.v + coalesce(g.g, 0) AS v
+  FROM kk{k} w LEFT JOIN kg{k} g ON w.run_id = g.run_id AND w.b = g.b)"""
+            k += 1
+        train = " UNION ALL ".join(f"SELECT run_id, avg((s - y) * (s - y)) AS m FROM ks{i} GROUP BY 1" for i in range(k - rounds, k))
+        out += f""",
+kv{e} AS (SELECT run_id, {e} AS epoch, avg((s - y) * (s - y)) AS val_loss, avg(abs(s - y)) AS val_mae FROM ({scores(k, 'val')}) GROUP BY 1),
+kl{e} AS (SELECT v.*, t.m AS train_loss FROM kv{e} v JOIN (SELECT run_id, avg(m) AS m FROM ({train}) GROUP BY 1) t ON v.run_id = t.run_id)"""
+        logs.append(f"SELECT * FROM kl{e}")
+    es = ES.replace("epoch_loss AS m", "val_mae AS m").replace("min(epoch_loss)", "min(val_mae)").replace("FROM ep WHERE phase = 'val'", "FROM kall")
+    return out + ",\nkall AS MATERIALIZED (" + " UNION ALL ".join(logs) + ")," + es + """,
+klog AS (SELECT kall.* FROM kall JOIN es ON kall.run_id = es.run_id WHERE es.stop_epoch IS NULL OR kall.epoch <= es.stop_epoch)"""
+
+
+TRAINING_CTE = training_cte({"fast": 8.0, "slow": 1.0}, 5, 4, 4096)
+SQL["train_epochs"] = "WITH" + TRAINING_CTE + """
+SELECT run_id, CAST(epoch AS INTEGER) AS epoch, round(train_loss, 6) AS train_loss, round(val_loss, 6) AS val_loss,
+       round(val_mae, 6) AS val_mae, round(sqrt(val_loss), 6) AS val_rmse FROM klog"""
+_tests = " UNION ALL ".join(
+    f"SELECT {e} AS epoch, p.doc_id, p.y, w.run_id, 1 / (1 + exp(-sum(f.x * w.w))) AS s FROM kp p JOIN kf f ON p.doc_id = f.doc_id "
+    f"JOIN kk{4 * (e + 1)} w ON f.b = w.b WHERE p.part = 'test' GROUP BY ALL" for e in range(5))
+SQL["train_best"] = "WITH" + TRAINING_CTE + f""",
+kb AS (SELECT run_id, epoch AS best_epoch, val_mae FROM klog QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY val_mae, epoch) = 1),
+km AS (SELECT avg(y) AS m FROM kp WHERE part NOT IN ('val', 'test'))
+SELECT kb.run_id, CAST(es.stop_epoch AS INTEGER) AS stop_epoch, (SELECT count(*) FROM klog l WHERE l.run_id = kb.run_id)::BIGINT AS epochs_seen,
+       CAST(kb.best_epoch AS INTEGER) AS best_epoch,
+       round(kb.val_mae, 6) AS best_val_mae, round(avg(abs(t.s - t.y)), 6) AS test_mae, round(avg(abs(km.m - t.y)), 6) AS mean_mae,
+       CAST(count(*) AS BIGINT) AS n_test
+FROM kb JOIN es ON kb.run_id = es.run_id JOIN ({_tests}) t ON t.run_id = kb.run_id AND t.epoch = kb.best_epoch, km
+GROUP BY kb.run_id, es.stop_epoch, kb.best_epoch, kb.val_mae"""

@@ -679,3 +679,34 @@ def q_clean_feedback_detected(spark, sf_dir):
 @query("calibration_points")
 def q_calibration_points(spark, sf_dir):
     return EV.calibration_points(_pred(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- K4: the training loop
+
+RATES = {"fast": 8.0, "slow": 1.0}   # runs of the training queries
+TRAIN_EPOCHS = 5
+
+
+def _trained(spark, sf_dir):
+    from scoreloop.plans import training as TR
+
+    state = _fresh(spark, "training")
+    data = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    TR.training_parts(data, f"{state}/parts", "doc_id", "quality", "text", TR.DIM, TR.ROUNDS)
+    return state, TR.train_epochs(spark, f"{state}/parts", state, RATES, TRAIN_EPOCHS)
+
+
+@query("train_epochs")
+def q_train_epochs(spark, sf_dir):
+    _, log = _trained(spark, sf_dir)
+    return log.select("run_id", "epoch", *[F.round(c, 6).alias(c) for c in ("train_loss", "val_loss", "val_mae", "val_rmse")])
+
+
+@query("train_best")
+def q_train_best(spark, sf_dir):
+    from scoreloop.plans import training as TR
+
+    state, log = _trained(spark, sf_dir)
+    best = TR.test_of_best(spark, f"{state}/parts", state, log)
+    return best.select("run_id", "stop_epoch", "epochs_seen", "best_epoch", F.round("best_value", 6).alias("best_val_mae"),
+                       F.round("test_mae", 6).alias("test_mae"), F.round("mean_mae", 6).alias("mean_mae"), "n_test")
