@@ -67,12 +67,18 @@ def profile_wide(counts: DataFrame, langs: list[str]) -> DataFrame:
 def prepare_profile(wide_profile: DataFrame) -> DataFrame:
     """Materialise the profile once (checkpoint) and mark it for broadcast if
     its counted size allows; reuse the result across many detections."""
-    return bounded_lookup(wide_profile)
+    from scoreloop.operators.langprofile import Profile
+
+    return wide_profile if isinstance(wide_profile, Profile) else bounded_lookup(wide_profile)
 
 
 def detect(df: DataFrame, wide_profile: DataFrame, langs: list[str], key: str = "id",
            text: str = "text", prepared: bool = False) -> DataFrame:
-    """(key, detected_lang) for every key that has at least one known gram."""
+    """(key, detected_lang) for every key that has at least one known gram (with a ``Profile``: for every row)."""
+    from scoreloop.operators.langprofile import Profile, detect_rows
+
+    if isinstance(wide_profile, Profile):
+        return detect_rows(df, wide_profile, text, "detected_lang", key)
     prof = wide_profile if prepared else bounded_lookup(wide_profile)
     # one row per (text, gram) before the join: beyond the broadcast bound the
     # shuffle join moves distinct grams, not every character
@@ -92,9 +98,13 @@ def with_language(df: DataFrame, wide_profile: DataFrame, langs: list[str], key:
     Detection runs once per distinct key; when ``df`` is already
     partitioned by ``key`` (e.g. after a dedup on it) the join adds no shuffle.
     """
+    from scoreloop.operators.langprofile import Profile, detect_rows
+
+    if unique_keys and isinstance(wide_profile, Profile):  # every row is a text of its own: no join
+        return detect_rows(df, wide_profile, text, out, *df.columns)
     src = df.select(key, text)
-    if not unique_keys:          # copies of a text are detected once
-        src = src.dropDuplicates([key])
+    if not unique_keys:          # copies of a text are detected once: one of a key's texts, without a sort of the texts
+        src = src.groupBy(key).agg(F.any_value(text).alias(text))
     d = detect(src, wide_profile, langs, key, text, prepared)
     return df.join(d.withColumnRenamed("detected_lang", out), key, "left")
 
@@ -112,3 +122,14 @@ def train_profile(docs: DataFrame, text: str = "text", lang: str = "lang"):
     counts = materialize(profile_counts(docs, text, lang))
     langs = languages(counts)
     return profile_wide(counts, langs), langs
+
+
+def stored(docs: DataFrame, root: str | None = None, text: str = "text", lang: str = "lang"):
+    """(profile, languages) from the stored profile of these rows: in arrays within the broadcast bound, else wide."""
+    from scoreloop.operators import langprofile as LP
+
+    profile = LP.Profile.load(LP.stored_profile(docs, root, text, lang))
+    if profile is not None:
+        return profile, profile.langs
+    wide, langs = train_profile(docs, text, lang)
+    return prepare_profile(wide), langs

@@ -697,3 +697,11 @@ SELECT kb.run_id, CAST(es.stop_epoch AS INTEGER) AS stop_epoch, (SELECT count(*)
        CAST(count(*) AS BIGINT) AS n_test
 FROM kb JOIN es ON kb.run_id = es.run_id JOIN ({_tests}) t ON t.run_id = kb.run_id AND t.epoch = kb.best_epoch, km
 GROUP BY kb.run_id, es.stop_epoch, kb.best_epoch, kb.val_mae"""
+
+
+_HELD = SKEY.format(k="doc_id") + " % 3"
+SQL["lang_heldout"] = "WITH" + PROF.replace("FROM documents WHERE text IS NOT NULL", f"FROM documents WHERE text IS NOT NULL AND lang IS NOT NULL AND {_HELD} <> 1") + f""",
+held AS (SELECT * FROM documents WHERE {_HELD} = 1 AND lang IS NOT NULL),""" + detect_cte("held", "doc_id") + """
+SELECT held.lang, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE det.detected_lang = held.lang) AS BIGINT) AS correct,
+       round(avg(CASE WHEN det.detected_lang = held.lang THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM held LEFT JOIN det ON held.doc_id = det.doc_id GROUP BY held.lang"""

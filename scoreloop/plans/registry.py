@@ -447,8 +447,7 @@ def _docs(spark, sf_dir):
 
 
 def _profile(spark, sf_dir):
-    prof, langs = L.train_profile(_docs(spark, sf_dir))
-    return L.prepare_profile(prof), langs
+    return L.stored(_docs(spark, sf_dir))
 
 
 def _weights(spark, sf_dir):
@@ -458,8 +457,9 @@ def _weights(spark, sf_dir):
 
 @query("lang_profile")
 def q_lang_profile(spark, sf_dir):
+    from scoreloop.operators import langprofile as LP
     from scoreloop.operators.sizing import materialize
-    p = L.profile_logp(materialize(L.profile_counts(_docs(spark, sf_dir))))
+    p = L.profile_logp(materialize(LP.gram_counts(_docs(spark, sf_dir))))
     return p.withColumn("logp", F.round("logp", 9))
 
 
@@ -710,3 +710,16 @@ def q_train_best(spark, sf_dir):
     best = TR.test_of_best(spark, f"{state}/parts", state, log)
     return best.select("run_id", "stop_epoch", "epochs_seen", "best_epoch", F.round("best_value", 6).alias("best_val_mae"),
                        F.round("test_mae", 6).alias("test_mae"), F.round("mean_mae", 6).alias("mean_mae"), "n_test")
+
+
+# ---------------------------------------------------------------- D5: accuracy on documents the profile has not seen
+
+@query("lang_heldout")
+def q_lang_heldout(spark, sf_dir):
+    docs = _docs(spark, sf_dir).withColumn("held_out", SP.seeded_key("doc_id") % 3 == 1)
+    prof, langs = L.stored(docs.filter(~F.col("held_out")))
+    found = L.with_language(docs.filter("held_out and lang is not null").select("doc_id", "text", "lang"), prof, langs, key="doc_id",
+                            prepared=True, unique_keys=True)
+    right = F.coalesce(F.col("detected_lang") == F.col("lang"), F.lit(False))
+    return found.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(right).alias("correct"),
+                                     F.round(F.avg(right.cast("double")), 6).alias("accuracy"))

@@ -23,10 +23,20 @@ def test_no_cross_joins_or_row_udfs(spark):
 
 
 def test_detection_joins_profile_map_side(spark):
-    p = plan(E.queries()["lang_detect"](spark, SF))
+    from scoreloop.operators import lang as L
+    from scoreloop.sources.tables import table
+
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    wide, langs = L.train_profile(docs)  # the form for profiles beyond the bound of the arrays
+    p = plan(L.with_language(docs.select("doc_id", "text"), L.prepare_profile(wide), langs, key="doc_id", prepared=True, unique_keys=True))
     assert "Generate" in p and "BroadcastHashJoin" in p
 
 
+def test_detection_by_arrays_moves_nothing(spark):
+    p = plan(E.queries()["lang_detect"](spark, SF))
+    assert "MapInArrow" in p and "Exchange" not in p and "Join" not in p
+
+
 def test_oversized_lookup_is_not_broadcast(spark):
     from pyspark.sql import functions as F
 
