@@ -87,9 +87,15 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
     # probe the store only for this batch's keys: the batch key set (size-checked,
     # broadcast when small) filters the store's key column map-side, so only
     # matching keys reach the shuffle -- not the whole store per batch
-    batch_keys = bounded_lookup(x.select(key).filter(F.col(key).isNotNull()).distinct())
-    stored = (store.select(key).join(batch_keys, key, "left_semi").distinct()
-              .withColumn("_stored", F.lit(True)))
+    # (a ``KeyIndex`` reads only the folders of these keys)
+    from scoreloop.sources.keyindex import KeyIndex
+
+    if isinstance(store, KeyIndex):
+        stored = store.seen(x.select(key))
+    else:
+        batch_keys = bounded_lookup(x.select(key).filter(F.col(key).isNotNull()).distinct())
+        stored = store.select(key).join(batch_keys, key, "left_semi").distinct()
+    stored = stored.withColumn("_stored", F.lit(True))
     per_key = first.join(stored, key, "left")
     x = x.join(per_key, [x[key].eqNullSafe(per_key[key]), x["_elig"] == per_key["_elig"]], "left") \
         .drop(per_key[key]).drop(per_key["_elig"])
@@ -129,8 +135,13 @@ def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp:
     target (B2, as the insert trigger would set it) and time stamp."""
     r = incoming.withColumn("text_hash", S.text_hash("text"))
     r = r.filter(shape_reason().isNull())
+    texts = r.select("text_hash", "text")
     r = L.with_language(r, profile, langs, key="text_hash", prepared=prepared).filter(L.language_reason().isNull())
-    new, _ = split_new_and_duplicates(r, store)
+    # judged without texts, once; the texts of the few accepted rows (one a hash) join at the write
+    new, _ = split_new_and_duplicates(materialize(numbered(r.drop("text"))), store)
+    new = materialize(new)
+    own = texts.join(bounded_lookup(new.select("text_hash")), "text_hash", "left_semi")
+    new = new.join(own.groupBy("text_hash").agg(F.any_value("text").alias("text")), "text_hash")
     ts = stamp if stamp is not None else F.col("event_timestamp")
     return new.select("id", "text", "text_hash", "model_score", "user_feedback", "model_version",
                       ts.alias("event_timestamp"), S.target_from_feedback("user_feedback").alias("target_score"))

@@ -705,3 +705,11 @@ held AS (SELECT * FROM documents WHERE {_HELD} = 1 AND lang IS NOT NULL),""" + d
 SELECT held.lang, CAST(count(*) AS BIGINT) AS n, CAST(count(*) FILTER (WHERE det.detected_lang = held.lang) AS BIGINT) AS correct,
        round(avg(CASE WHEN det.detected_lang = held.lang THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM held LEFT JOIN det ON held.doc_id = det.doc_id GROUP BY held.lang"""
+
+
+COVER = INC + """,
+iall AS (SELECT * FROM rh WHERE NOT (id < (SELECT h FROM half) AND id % 5 = 0))"""
+SQL["probe_duplicates"] = with_ctes(FE, COVER) + "," + new_dups("iall") + """
+SELECT id, text_hash, false AS is_duplicate FROM new UNION ALL SELECT id, text_hash, true FROM dups"""
+SQL["probe_append"] = with_ctes(FE, COVER) + "," + new_dups("iall") + """
+SELECT id, text_hash, NULL::BIGINT AS batch_id FROM store UNION ALL SELECT id, text_hash, 0 FROM new WHERE text_hash IS NOT NULL"""

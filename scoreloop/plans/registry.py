@@ -723,3 +723,35 @@ def q_lang_heldout(spark, sf_dir):
     right = F.coalesce(F.col("detected_lang") == F.col("lang"), F.lit(False))
     return found.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(right).alias("correct"),
                                      F.round(F.avg(right.cast("double")), 6).alias("accuracy"))
+
+
+# ---------------------------------------------------------------- I1, D1, A8: probe of the key index, all events
+
+def _indexed(spark, sf_dir):
+    from scoreloop.sources.files import append_feedback
+    from scoreloop.sources.keyindex import KeyIndex
+
+    store, inc = FX.feedback_cover(spark, sf_dir)
+    path = _fresh(spark, "indexed_store")
+    append_feedback(store.drop("lang"), path)
+    return path, KeyIndex(spark, path), inc.withColumn("text_hash", S.text_hash("text"))
+
+
+@query("probe_duplicates")
+def q_probe_duplicates(spark, sf_dir):
+    _, index, inc = _indexed(spark, sf_dir)
+    return IN.flag_duplicates(inc.select("id", "text_hash", "event_timestamp"), index).select("id", "text_hash", "is_duplicate")
+
+
+@query("probe_append")
+def q_probe_append(spark, sf_dir):
+    """Three deliveries of the same requests: the first adds, the others find everything stored, also in a compacted index."""
+    from scoreloop.sources.files import append_feedback, read_feedback_store
+
+    path, index, inc = _indexed(spark, sf_dir)
+    for k in range(3):
+        new, _ = IN.split_new_and_duplicates(inc.filter(F.col("text_hash").isNotNull()), index)
+        append_feedback(new.drop("lang"), path, batch_id=k)
+        if k == 1:
+            index.compact()
+    return read_feedback_store(spark, path).select("id", "text_hash", "batch_id")

@@ -129,19 +129,13 @@ def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash", ba
     batch idempotent. With ``batch_id`` the rows are known to be new and carry it:
     only what a failed attempt of the same batch has written is dropped. Files per
     date are bounded (rebalanced; AQE splits a hot date). Returns the rows appended (lazily)."""
+    from scoreloop.sources.keyindex import KeyIndex
+
     spark = rows.sparkSession
-    existing = read_parquet_or_none(spark, store_path)
     rows = rows.withColumn("batch_id", F.lit(batch_id).cast("long"))
-    if batch_id is not None and existing is not None and "batch_id" in existing.columns:
-        existing = existing.filter(F.col("batch_id") == batch_id)
-    if existing is not None:
-        from scoreloop.operators.sizing import bounded_lookup
-
-        # only the stored keys this batch carries matter: filter the store's
-        # key column by the batch keys (broadcast when the batch is small)
-        batch_keys = bounded_lookup(rows.select(key).filter(F.col(key).isNotNull()).distinct())
-        seen = existing.select(key).join(batch_keys, key, "left_semi").distinct()
-        rows = rows.join(seen, key, "left_anti")
+    if read_parquet_or_none(spark, store_path) is not None:
+        # only the stored keys this batch carries matter: the index reads their folders, not the store
+        rows = rows.join(KeyIndex(spark, store_path, key).seen(rows.select(key), own_batch=batch_id), key, "left_anti")
     out = rows.withColumn("event_date", F.to_date("event_timestamp")).hint("rebalance", "event_date")
     out.write.mode("append").partitionBy("event_date").parquet(store_path)
     return out

@@ -80,6 +80,17 @@ def feedback_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return store, requests(spark, sf_dir).filter(F.col("id") >= half)
 
 
+def feedback_cover(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(store, incoming): the store of ``feedback_split``, and every request whose event is not one
+    of those the store was taken from, so that both together cover all events."""
+    from scoreloop.operators.gates import first_per_key
+
+    fe = feedback_events(spark, sf_dir)
+    half = fe.select((F.max("id") / 2).alias("h")).scalar()
+    old = (F.col("id") < half) & (F.col("id") % 5 == 0)
+    return first_per_key(fe.filter(old)), requests(spark, sf_dir).filter(~old)
+
+
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions: y_true = target, y_pred = model score."""
     fe = feedback_events(spark, sf_dir, with_lang=False)

@@ -23,6 +23,7 @@ from scoreloop.operators import ingest as IN
 from scoreloop.operators import lang as L
 from scoreloop.operators.sizing import materialize
 from scoreloop.sources.files import append_feedback, read_parquet_or_none
+from scoreloop.sources.keyindex import KeyIndex
 
 
 def make_batch_handler(store_path: str, rejects_path: str, profile: DataFrame, langs: list[str]):
@@ -31,8 +32,8 @@ def make_batch_handler(store_path: str, rejects_path: str, profile: DataFrame, l
         store = read_parquet_or_none(spark, store_path)
         if store is None:
             store = spark.createDataFrame([], "text_hash string")
-        elif "batch_id" in store.columns:  # rows an earlier attempt of this batch stored are not duplicates
-            store = store.filter(F.col("batch_id").isNull() | (F.col("batch_id") != batch_id))
+        else:  # rows an earlier attempt of this batch stored are not duplicates
+            store = KeyIndex(spark, store_path, skip_batch=batch_id)
         req = materialize(IN.numbered(IN.stamped(batch)).withColumn("text_hash", S.text_hash("text")))
         status = materialize(IN.ingest_batch(req, store, profile, langs, prepared=True))
         # accepted rows with their payload, by the number each got on arrival
