@@ -48,13 +48,16 @@ def audit_basic(df: DataFrame, text: str = "text", label: str = "label") -> Data
 
 
 def audit_labels(df: DataFrame, label: str = "label") -> DataFrame:
-    """Label mean, sample std, min, max, median (missing labels skipped)."""
+    """Label mean, sample std, min, max, median (missing labels skipped). The median is
+    selected in passes of bounded state (``operators.quantile``), not sorted in one task."""
+    from scoreloop.operators.quantile import exact_median
+
     x = F.when(~F.isnan(F.col(label).cast("double")), F.col(label).cast("double"))
     return df.agg(F.round(F.avg(x), 6).alias("label_mean"),
                   F.round(F.stddev_samp(x), 6).alias("label_std"),
                   F.round(F.min(x), 6).alias("label_min"),
                   F.round(F.max(x), 6).alias("label_max"),
-                  F.round(F.median(x), 6).alias("label_median"))
+                  F.round(F.lit(exact_median(df, x)).cast("double"), 6).alias("label_median"))
 
 
 def audit_tokens(df: DataFrame, text: str = "text", max_tokens: int = TRAINING.max_tokens,

@@ -101,13 +101,29 @@ def residual_histogram(pred: DataFrame, bins: int = 30) -> DataFrame:
                     F.coalesce("n", F.lit(0).cast("long")).alias("n")))
 
 
+#: Bins a bandwidth, and terms of the series that carries a bin's residuals to the grid points.
+DENSITY_BINS, DENSITY_TERMS = 4, 12
+
+
+def hermite(k: int) -> list[int]:
+    """Coefficients of the k-th Hermite polynomial (He), lowest power first."""
+    a, b = [1], [0, 1]
+    for n in range(1, k + 1):
+        if n == k:
+            return b
+        a, b = b, [x - n * y for x, y in zip([0, *b], [*a, 0, 0])]
+    return a
+
+
 def residual_density(pred: DataFrame, grid_size: int = 200) -> DataFrame:
     """Gaussian kernel density of the residuals (Scott's bandwidth
     h = sample std * n^(-1/5)) on an even grid from min to max.
 
-    Each residual only reaches grid points within 40 h: beyond that the
-    kernel is exactly 0.0 in double precision. The sums are taken per grid
-    point map-side; points that no residual reaches have density 0.
+    Residuals are summed into bins of h / ``DENSITY_BINS``: a bin keeps the sums of d^k, d the distance from its middle in
+    bandwidths (at most 1/8). exp(-(t - d)^2 / 2) = exp(-t^2 / 2) * sum of He_k(t) d^k / k!, so the bins alone give the
+    density, with a relative error below 1e-12 near the residuals; no residual becomes a row again.
+    A bin only reaches grid points within 40 h: beyond that the kernel is exactly 0.0
+    in double precision. Points that no bin reaches have density 0.
     """
     r = pred.select(S.residual().alias("r")).filter(F.col("r").isNotNull() & ~F.isnan("r"))
     stats = r.agg(F.min("r").alias("lo"), F.max("r").alias("hi"), F.count("*").alias("n"),
@@ -116,12 +132,23 @@ def residual_density(pred: DataFrame, grid_size: int = 200) -> DataFrame:
     lo, hi, n, sd = (st[c] for c in ("lo", "hi", "n", "sd"))
     h = sd * F.pow(n.cast("double"), F.lit(-0.2))
     step = (hi - lo) / (grid_size - 1)
+    middle = lo + (F.col("bin") + 0.5) * h / DENSITY_BINS
+    d = (F.col("r") - middle) / h
+    bins = (r.filter((h > 0) & (step > 0)).select("r", F.floor((F.col("r") - lo) / h * DENSITY_BINS).alias("bin")).select("bin", d.alias("d"))
+            .groupBy("bin").agg(*[F.sum(F.pow("d", F.lit(float(k))) if k else F.lit(1.0)).alias(f"m{k}") for k in range(DENSITY_TERMS)]))
     reach = F.lit(40.0) * h
-    k_lo = F.greatest(F.ceil((F.col("r") - reach - lo) / step), F.lit(0)).cast("int")
-    k_hi = F.least(F.floor((F.col("r") + reach - lo) / step), F.lit(grid_size - 1)).cast("int")
-    near = r.filter((h > 0) & (step > 0)).select("r", F.explode(F.sequence(k_lo, k_hi)).alias("k"))
-    u = (lo + F.col("k") * step - F.col("r")) / h
-    sums = near.groupBy("k").agg(F.sum(F.exp(-(u * u) / 2)).alias("s"))
+    k_lo = F.greatest(F.ceil((F.col("c") - reach - lo) / step), F.lit(0)).cast("int")
+    k_hi = F.least(F.floor((F.col("c") + reach - lo) / step), F.lit(grid_size - 1)).cast("int")
+    near = bins.withColumn("c", middle).withColumn("k", F.explode(F.sequence(k_lo, k_hi))).withColumn("t", (lo + F.col("k") * step - F.col("c")) / h)
+    # one power series in t: the coefficient of t^j adds up over all terms
+    by_power = [[(k, hermite(k)[j]) for k in range(DENSITY_TERMS) if j < len(hermite(k)) and hermite(k)[j]] for j in range(DENSITY_TERMS)]
+    series = F.lit(0.0)
+    for terms in reversed(by_power):
+        here = F.lit(0.0)
+        for k, c in terms:
+            here = here + F.col(f"m{k}") * (c / math.factorial(k))
+        series = series * F.col("t") + here
+    sums = near.groupBy("k").agg(F.sum(F.exp(-(F.col("t") * F.col("t")) / 2) * series).alias("s"))
     grid = pred.sparkSession.range(grid_size).select(F.col("id").cast("int").alias("k")).filter((h > 0) & (step > 0))
     norm = n.cast("double") * h * F.lit(math.sqrt(2 * math.pi))
     return grid.join(sums, "k", "left").select(
@@ -144,9 +171,11 @@ def calibration_points(pred: DataFrame) -> DataFrame:
     return pred.select("id", F.col("y_pred").alias("predicted"), F.col("y_true").alias("actual"))
 
 
-def error_by_length(pred: DataFrame, bin_width: int = 100) -> DataFrame:
-    """Absolute error by length of the text kept after truncation."""
-    x = pred.select(TK.truncated_length("text").alias("len"), S.abs_error().alias("err"))
+def error_by_length(pred: DataFrame, bin_width: int = 100, length: str | None = None) -> DataFrame:
+    """Absolute error by length of the text kept after truncation (``length``: a column that has it already,
+    measured once per document instead of once per prediction)."""
+    n = TK.truncated_length("text") if length is None else F.col(length)
+    x = pred.select(n.alias("len"), S.abs_error().alias("err"))
     return x.groupBy((F.floor(F.col("len") / bin_width) * bin_width).cast("long").alias("length_bin")).agg(
         F.count("*").cast("long").alias("n"),
         F.round(F.avg("err"), 6).alias("mean_error"),

@@ -317,7 +317,8 @@ def q_calibration(spark, sf_dir):
 
 @query("error_by_length")
 def q_error_by_length(spark, sf_dir):
-    return EV.error_by_length(_pred(spark, sf_dir))
+    measured = FX.predictions(spark, sf_dir, {"kept_length": TK.truncated_length("text")})
+    return EV.error_by_length(measured, length="kept_length")
 
 
 # ---------------------------------------------------------------- E12, F4-F6, K1-K3: runs

@@ -20,8 +20,9 @@ def _feedback_label(event_type) -> F.Column:
             .when(event_type.isin("click", "view"), "human"))
 
 
-def feedback_events(spark: SparkSession, sf_dir: str, with_lang: bool = True) -> DataFrame:
-    """``feedback_events``: about ten events per document text.
+def feedback_events(spark: SparkSession, sf_dir: str, with_lang: bool = True, measures: dict | None = None) -> DataFrame:
+    """``feedback_events``: about ten events per document text. The hash, and ``measures`` (name -> column of the
+    text), are taken once per document, before the join.
 
     documents d JOIN events e ON d.doc_id = (e.event_id * 31) % N, with N the
     number of documents taken as a scalar subquery (no cross join). The
@@ -31,7 +32,9 @@ def feedback_events(spark: SparkSession, sf_dir: str, with_lang: bool = True) ->
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     n_docs = docs.select(F.count("*")).scalar()
     ev = ev.withColumn("doc_key", (F.col("event_id") * 31) % n_docs)
-    d = docs.select(F.col("doc_id").alias("doc_key"), "text", "lang")
+    measures = measures or {}
+    d = docs.select(F.col("doc_id").alias("doc_key"), "text", "lang", S.text_hash("text").alias("text_hash"),
+                    *[c.alias(k) for k, c in measures.items()])
     j = ev.join(d, "doc_key")
     fb = _feedback_label(F.col("event_type"))
     u = (F.col("event_id") * 7919) % 1001
@@ -40,7 +43,7 @@ def feedback_events(spark: SparkSession, sf_dir: str, with_lang: bool = True) ->
     cols = [
         F.col("event_id").alias("id"),
         F.col("text"),
-        S.text_hash("text").alias("text_hash"),
+        F.col("text_hash"),
         (milli.cast("double") / F.lit(1000.0)).alias("model_score"),
         fb.alias("user_feedback"),
         F.concat(F.lit("m"), (F.col("event_id") % 4 + 1).cast("string")).alias("model_version"),
@@ -49,7 +52,7 @@ def feedback_events(spark: SparkSession, sf_dir: str, with_lang: bool = True) ->
     ]
     if with_lang:
         cols.append(F.col("lang"))
-    return j.select(*cols)
+    return j.select(*cols, *measures)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,12 +94,12 @@ def feedback_cover(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return first_per_key(fe.filter(old)), requests(spark, sf_dir).filter(~old)
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def predictions(spark: SparkSession, sf_dir: str, measures: dict | None = None) -> DataFrame:
     """Predictions: y_true = target, y_pred = model score."""
-    fe = feedback_events(spark, sf_dir, with_lang=False)
+    fe = feedback_events(spark, sf_dir, with_lang=False, measures=measures)
     return fe.select("id", "model_version", "text", "event_timestamp",
                      F.col("target_score").alias("y_true"),
-                     F.col("model_score").alias("y_pred"))
+                     F.col("model_score").alias("y_pred"), *(measures or {}))
 
 
 def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
