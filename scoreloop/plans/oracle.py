@@ -713,3 +713,10 @@ SQL["probe_duplicates"] = with_ctes(FE, COVER) + "," + new_dups("iall") + """
 SELECT id, text_hash, false AS is_duplicate FROM new UNION ALL SELECT id, text_hash, true FROM dups"""
 SQL["probe_append"] = with_ctes(FE, COVER) + "," + new_dups("iall") + """
 SELECT id, text_hash, NULL::BIGINT AS batch_id FROM store UNION ALL SELECT id, text_hash, 0 FROM new WHERE text_hash IS NOT NULL"""
+
+SQL["unique_stream"] = with_ctes(FE, COVER) + """,
+ua AS (SELECT text_hash, id, event_timestamp, count(*) AS copies FROM iall WHERE text_hash IS NOT NULL GROUP BY 1, 2, 3)
+SELECT text_hash, id, CAST(copies AS BIGINT) AS copies,
+       row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp ASC NULLS LAST, id) = 1
+       AND text_hash NOT IN (SELECT text_hash FROM store) AS kept
+FROM ua"""

@@ -756,3 +756,20 @@ def q_probe_append(spark, sf_dir):
         if k == 1:
             index.compact()
     return read_feedback_store(spark, path).select("id", "text_hash", "batch_id")
+
+
+# ---------------------------------------------------------------- I2: first arrival in a stream's state
+
+@query("unique_stream")
+def q_unique_stream(spark, sf_dir):
+    """All requests as a stream of several batches in shuffled order, with the stored keys as the first state."""
+    from scoreloop.streaming import unique as U
+
+    store, inc = FX.feedback_cover(spark, sf_dir)
+    path = _fresh(spark, "unique")
+    rows = inc.select("id", S.text_hash("text").alias("text_hash"), "event_timestamp")
+    rows.repartition(4, F.md5(F.col("id").cast("string"))).write.parquet(f"{path}/requests")
+    src = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/requests")
+    q = U.start_unique(src, f"{path}/decisions", f"{path}/checkpoint", store, partitions=8)
+    q.awaitTermination()
+    return U.settled(spark, f"{path}/decisions").select("text_hash", "id", "copies", "kept")
