@@ -720,3 +720,51 @@ SELECT text_hash, id, CAST(copies AS BIGINT) AS copies,
        row_number() OVER (PARTITION BY text_hash ORDER BY event_timestamp ASC NULLS LAST, id) = 1
        AND text_hash NOT IN (SELECT text_hash FROM store) AS kept
 FROM ua"""
+
+
+_LIMITS = [(1, "required_columns", "0.0::DOUBLE", 0.0, "'pass'"), (2, "min_samples", "c2", 100.0, "CASE WHEN c2 < 100 THEN 'fail' ELSE 'pass' END"),
+           (3, "null_ratio", "c3", 0.01, "CASE WHEN c3 > 0.01 THEN 'fail' ELSE 'pass' END"),
+           (4, "duplicate_ratio", "c4", 0.05, "CASE WHEN c4 > 0.05 THEN 'fail' ELSE 'pass' END"),
+           (5, "max_label_share", "c5", 0.85, "CASE WHEN c5 > 0.85 THEN 'fail' ELSE 'pass' END"),
+           (6, "label_classes", "c6", 2.0, "CASE WHEN c6 < 2 THEN 'fail' ELSE 'pass' END"),
+           (7, "feedback_mismatch", "c7", 0.1, "CASE WHEN c7 > 0.1 THEN 'fail' ELSE 'pass' END"),
+           (8, "freshness_days", "c8", 30.0, "CASE WHEN c8 > 30 THEN 'warn' ELSE 'pass' END"),
+           (9, "target_range", "c9", 1.0, "CASE WHEN coalesce(c9, 1.0) < 1 THEN 'fail' ELSE 'pass' END"),
+           (10, "score_drift", "c10", 0.2, "CASE WHEN b IS NULL THEN 'info' WHEN c10 > 0.2 THEN 'warn' ELSE 'pass' END")]
+_MISSING = "greatest(" + ", ".join(f"avg(CASE WHEN {c} THEN 1.0 ELSE 0.0 END)" for c in (
+    "id IS NULL", "text IS NULL", "text_hash IS NULL", "model_score IS NULL OR isnan(model_score)", "user_feedback IS NULL", "model_version IS NULL",
+    "event_timestamp IS NULL", "target_score IS NULL OR isnan(target_score)", "lang IS NULL")) + ")"
+_HARD = " OR ".join("(" + v.replace("CASE WHEN ", "coalesce(").replace(" THEN 'fail' ELSE 'pass' END", ", false)") + ")" for _, _, _, _, v in _LIMITS if "'fail'" in v)
+RUNS = with_ctes(FE, DEDUP, CLEAN) + f""",
+allrows AS MATERIALIZED (
+  SELECT 'raw' AS tab, strftime(event_timestamp, '%Y-%m-%d') AS run, * FROM fe
+  UNION ALL SELECT 'clean', strftime(event_timestamp, '%Y-%m-%d'), * FROM clean
+  UNION ALL SELECT 'stale', strftime(event_timestamp, '%Y-%m-%d'), * REPLACE (
+    CASE WHEN model_version = 'm1' THEN NULL WHEN model_version = 'm2' THEN 0.25 ELSE target_score END::DOUBLE AS target_score) FROM fe),
+vg AS (SELECT tab, run, CAST(count(*) AS DOUBLE) AS c2, {_MISSING} AS c3, avg(CASE WHEN {MISMATCH} THEN 1.0 ELSE 0.0 END) AS c7, avg({AGE}) AS c8,
+              CAST(min(CASE WHEN {INRANGE} THEN 1 ELSE 0 END) AS DOUBLE) AS c9, avg(CASE WHEN NOT isnan(model_score) THEN model_score END) AS mean_score
+       FROM allrows GROUP BY 1, 2),
+vd AS (SELECT tab, run, CAST(sum(n) - count(*) AS DOUBLE) / sum(n) AS c4 FROM (SELECT tab, run, text_hash, count(*) AS n FROM allrows GROUP BY 1, 2, 3) x GROUP BY 1, 2),
+vl AS (SELECT tab, run, CAST(max(n) AS DOUBLE) / sum(n) AS c5, CAST(count(*) AS DOUBLE) AS c6
+       FROM (SELECT tab, run, target_score, count(*) AS n FROM allrows WHERE target_score IS NOT NULL AND NOT isnan(target_score) GROUP BY 1, 2, 3) x GROUP BY 1, 2),
+v0 AS (SELECT vg.*, c4, c5, coalesce(c6, 0.0) AS c6 FROM vg JOIN vd USING (tab, run) LEFT JOIN vl USING (tab, run)),
+v1 AS (SELECT *, CASE WHEN NOT ({_HARD}) THEN mean_score END AS sound FROM v0),
+v2 AS (SELECT *, last_value(sound IGNORE NULLS) OVER (PARTITION BY tab ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM v1),
+v3 AS (SELECT *, abs(mean_score - b) AS c10 FROM v2),
+vr AS (""" + "\nUNION ALL ".join(
+    f"SELECT tab, run, {o} AS ord, '{n}' AS \"check\", {v} AS value, {lim}::DOUBLE AS limit_value, {st} AS status FROM v3" for o, n, v, lim, st in _LIMITS) + """),
+vo AS (SELECT *, CASE WHEN ord > coalesce(min(CASE WHEN status = 'fail' THEN ord END) OVER (PARTITION BY tab, run), 99) THEN 'not_run' ELSE status END AS outcome FROM vr)
+"""
+SQL["validation_runs"] = RUNS + 'SELECT tab AS "table", run, ord, "check", round(value, 6) AS value, limit_value, status, outcome FROM vo'
+SQL["run_verdicts"] = RUNS + """SELECT tab AS "table", run, CASE WHEN bool_or(outcome = 'fail') THEN 'failed' WHEN bool_or(outcome = 'warn') THEN 'passed with warnings' ELSE 'passed' END AS verdict,
+       arg_min("check", ord) FILTER (WHERE outcome = 'fail') AS first_failure, CAST(count(*) FILTER (WHERE outcome = 'not_run') AS BIGINT) AS checks_not_run
+FROM vo GROUP BY tab, run"""
+
+SQL["monitor_panes"] = F_ + """,
+pw AS (SELECT *, date_trunc('day', event_timestamp) - to_days(CAST(k AS INTEGER)) AS ws FROM fe, (SELECT unnest(range(0, 3)) AS k) kk),
+pr AS (SELECT *, row_number() OVER (PARTITION BY ws ORDER BY model_score) AS rk, count(*) OVER (PARTITION BY ws) AS sc
+       FROM pw WHERE model_score IS NOT NULL AND NOT isnan(model_score)),
+pq AS (SELECT ws, round((floor(max(CASE WHEN rk = ceil(0.5 * sc) THEN model_score END) * 1000) + 0.5) / 1000, 6) AS score_p50,
+              round((floor(max(CASE WHEN rk = ceil(0.95::DOUBLE * sc) THEN model_score END) * 1000) + 0.5) / 1000, 6) AS score_p95 FROM pr GROUP BY ws),
+pm AS (""" + SQL["monitor_sliding"].removeprefix(F_) + """)
+SELECT pm.*, score_p50, score_p95 FROM pm LEFT JOIN pq ON pm.window_start = pq.ws"""

@@ -773,3 +773,49 @@ def q_unique_stream(spark, sf_dir):
     q = U.start_unique(src, f"{path}/decisions", f"{path}/checkpoint", store, partitions=8)
     q.awaitTermination()
     return U.settled(spark, f"{path}/decisions").select("text_hash", "id", "copies", "kept")
+
+
+# ---------------------------------------------------------------- E8: stored verdicts of many runs
+
+def _run_history(spark, sf_dir):
+    """Raw, stale-target and cleaned feedback, a run per day of each, judged in one plan and stored."""
+    from scoreloop.operators.sizing import materialize
+    from scoreloop.sources.files import append_runs
+
+    tables = {"raw": _fe(spark, sf_dir), "stale": _stale_targets(spark, sf_dir, with_lang=True), "clean": G.clean_feedback(_fe(spark, sf_dir))}
+    day = F.date_format("event_timestamp", "yyyy-MM-dd")
+    # texts stay behind: whether one is missing is all a check asks
+    narrow = ["id", F.when(F.col("text").isNotNull(), "").alias("text"), "text_hash", "model_score", "user_feedback", "model_version",
+              "event_timestamp", "target_score", "lang"]
+    rows = None
+    for name, df in tables.items():
+        one = df.select(*narrow, F.lit(name).alias("table"), day.alias("run"))
+        rows = one if rows is None else rows.unionByName(one)
+    rows = materialize(rows)
+    path = _fresh(spark, "validation_runs")
+    append_runs(V.validation_runs(rows.filter("run < '2024-01-20'"), AS_OF), path)
+    return append_runs(V.validation_runs(rows, AS_OF), path)  # known runs stay as they were judged
+
+
+@query("validation_runs")
+def q_validation_runs(spark, sf_dir):
+    return _run_history(spark, sf_dir).select("table", "run", "ord", "check", "value", "limit_value", "status", "outcome")
+
+
+@query("run_verdicts")
+def q_run_verdicts(spark, sf_dir):
+    return V.run_verdicts(_run_history(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- I4: monitors from stored panes
+
+@query("monitor_panes")
+def q_monitor_panes(spark, sf_dir):
+    """Panes of the older and of the newer model versions, stored one after the other, merged into 3-day windows."""
+    from scoreloop.operators import panes as PN
+
+    path = _fresh(spark, "panes")
+    fe = _fe(spark, sf_dir).select("model_version", "event_timestamp", "model_score", "user_feedback")
+    for older in (True, False):
+        PN.pane_states(fe.filter((F.col("model_version") <= "m2") == F.lit(older))).write.mode("append").parquet(path)
+    return PN.window_report(PN.merge_panes(spark.read.parquet(path)), 3)

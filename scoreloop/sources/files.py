@@ -121,6 +121,16 @@ def drift_history(spark: SparkSession, history_path: str) -> DataFrame | None:
     return read_parquet_or_none(spark, history_path, schemas.DRIFT_STATE)
 
 
+def append_runs(report: DataFrame, history_path: str, table: str = "table", run: str = "run") -> DataFrame:
+    """Append check verdicts to the run history (partitioned by table; a run is written once), and read it."""
+    spark = report.sparkSession
+    existing = read_parquet_or_none(spark, history_path)
+    if existing is not None:
+        report = report.join(existing.select(table, run).distinct(), [table, run], "left_anti")
+    report.write.mode("append").partitionBy(table).parquet(history_path)
+    return spark.read.parquet(history_path)
+
+
 # ---------------------------------------------------------------- A8: feedback store
 
 def append_feedback(rows: DataFrame, store_path: str, key: str = "text_hash", batch_id: int | None = None) -> DataFrame:
