@@ -20,7 +20,7 @@ from scoreloop.config import SIZING
 from scoreloop.operators import lang as L
 from scoreloop.operators.sizing import materialize
 from scoreloop.session import scratch_path
-from scoreloop.sources.files import read_parquet_or_none
+from scoreloop.sources.files import path_exists
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -97,13 +97,10 @@ def stored_profile(docs: DataFrame, root: str | None = None, text: str = "text",
     spark = docs.sparkSession
     stamp = table_fingerprint(docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()), [text, lang]).first()
     path = f"{(root or scratch_path(spark, 'lang_profiles')).rstrip('/')}/v1-{stamp['num_rows']}-{stamp['fingerprint']}"
-    known = read_parquet_or_none(spark, f"{path}/arrays", "gram string, langs array<string>, logp array<double>")
-    if known is None:  # the writers' commit makes a half-built table invisible
+    if not path_exists(spark, f"{path}/arrays/_SUCCESS"):  # a table whose writing was cut off is built again
         counts = materialize(gram_counts(docs, text, lang))
-        counts.write.mode("overwrite").parquet(f"{path}/counts")
         profile_arrays(counts).write.mode("overwrite").parquet(f"{path}/arrays")
-        known = spark.read.parquet(f"{path}/arrays")
-    return known
+    return spark.read.schema("gram string, langs array<string>, logp array<double>").parquet(f"{path}/arrays")
 
 
 class Profile:

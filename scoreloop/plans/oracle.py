@@ -768,3 +768,19 @@ pq AS (SELECT ws, round((floor(max(CASE WHEN rk = ceil(0.5 * sc) THEN model_scor
               round((floor(max(CASE WHEN rk = ceil(0.95::DOUBLE * sc) THEN model_score END) * 1000) + 0.5) / 1000, 6) AS score_p95 FROM pr GROUP BY ws),
 pm AS (""" + SQL["monitor_sliding"].removeprefix(F_) + """)
 SELECT pm.*, score_p50, score_p95 FROM pm LEFT JOIN pq ON pm.window_start = pq.ws"""
+
+_REPORT = SQL["validation_report"].replace(",\nhist AS", ",\nhist0 AS", 1).replace("FROM hist)", "FROM hist0 WHERE false)")  # a first run has no history
+SQL["retrain_chain"] = f"""
+WITH vrep AS (SELECT * FROM ({_REPORT}) q),
+bad AS (SELECT count(*) AS n FROM vrep WHERE status = 'fail'),
+cn AS (SELECT count(*) AS n FROM ({SQL["clean_feedback"]}) c),
+sz AS (SELECT n, CAST(floor(n * 0.7::DOUBLE) AS BIGINT) AS nt FROM cn),
+sv AS (SELECT n, nt, CAST(floor((n - nt) / 2) AS BIGINT) AS nv FROM sz)
+SELECT 'clean' AS step, 'ok' AS status, CAST(n AS BIGINT) AS n_rows FROM cn
+UNION ALL SELECT 'validate', CASE WHEN n > 0 THEN 'failed' ELSE 'ok' END, CAST(n AS BIGINT) FROM bad
+UNION ALL SELECT 'split.train', 'ok', nt FROM sv, bad WHERE bad.n = 0
+UNION ALL SELECT 'split.val', 'ok', nv FROM sv, bad WHERE bad.n = 0
+UNION ALL SELECT 'split.test', 'ok', sv.n - nt - nv FROM sv, bad WHERE bad.n = 0
+UNION ALL SELECT 'train', 'ok', nt FROM sv, bad WHERE bad.n = 0
+UNION ALL SELECT 'evaluate', 'ok', sv.n - nt - nv FROM sv, bad WHERE bad.n = 0
+UNION ALL SELECT 'decide', 'promoted', NULL FROM bad WHERE bad.n = 0"""

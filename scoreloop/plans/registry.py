@@ -819,3 +819,16 @@ def q_monitor_panes(spark, sf_dir):
     for older in (True, False):
         PN.pane_states(fe.filter((F.col("model_version") <= "m2") == F.lit(older))).write.mode("append").parquet(path)
     return PN.window_report(PN.merge_panes(spark.read.parquet(path)), 3)
+
+
+# ---------------------------------------------------------------- K5: the restartable chain
+
+@query("retrain_chain")
+def q_retrain_chain(spark, sf_dir):
+    """The chain, run twice: the second run finds every step in the journal."""
+    from scoreloop.plans.chain import retrain_chain
+
+    state = _fresh(spark, "chain")
+    for _ in range(2):
+        out = retrain_chain(spark, _fe(spark, sf_dir), AS_OF, state, epochs=2)
+    return out.select("step", "status", "n_rows")

@@ -112,10 +112,11 @@ def sums(rows: DataFrame, theta, with_gradient: bool):
     return out[0, 0], out[:, 1], out[:, 2], out[:, 3:]
 
 
-def training_parts(data: DataFrame, path: str, key: str, label: str, text: str, dim: int, rounds: int) -> None:
-    """Features of all labelled rows under ``path``, by part: ``val``, ``test`` and the folds of the training rows."""
+def training_parts(data: DataFrame, path: str, key: str, label: str, text: str, dim: int, rounds: int, split_col: str | None = None) -> None:
+    """Features of all labelled rows under ``path``, by part: ``val``, ``test`` and the folds of the training rows
+    (by ``split_col`` if the rows are split already, else by the seeded key)."""
     labelled = data.filter(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double"))).withColumn("y", F.col(label).cast("double"))
-    split = split_bucket(labelled, key=key)
+    split = split_bucket(labelled, key=key) if split_col is None else labelled.withColumn("split", F.col(split_col))
     part = F.when(F.col("split") == "train", (seeded_key(key) % rounds).cast("string")).otherwise(F.col("split"))
     (hashed_features(split.withColumn("part", part), dim, text, key, "y", "part")
      .write.mode("overwrite").partitionBy("part").parquet(path))
