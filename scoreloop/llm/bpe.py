@@ -38,20 +38,20 @@ REMEMBER = 700_000
 ROWS = 4_000_000
 BYTES = 4_000_000
 
+#: p is word * 2^20 + byte position; k packs (rank, position, next position), so its minimum is the leftmost pair of minimum rank.
 RECURSIVE = """
 with recursive tk as (
-  select w, i, t, 0 as done from bytes_of
+  select p, t, 0 as done from bytes_of
   union all
   (with pairs as (
-     select x.w, x.i, x.t, x.ni, m.r
-     from (select w, i, t, lead(t) over q as nt, lead(i) over q as ni from tk where done = 0 window q as (partition by w order by i)) x
+     select x.p, x.t, case when x.np >> 20 = x.p >> 20 then (m.r::bigint << 40) + ((x.p & 1048575) << 20) + (x.np & 1048575) end as k
+     from (select p, t, lead(t) over q as nt, lead(p) over q as np from tk where done = 0 window q as (order by p)) x
      left join merges m on m.a = x.t and m.b = x.nt),
-   best as (
-     select w, min(r::bigint * 1048576 + i) as k, arg_min(ni, r::bigint * 1048576 + i) as gone from pairs group by w)
-   select p.w, p.i, case when p.i = b.k % 1048576 then (b.k // 1048576)::int else p.t end, case when b.k is null then 1 else 0 end
-   from pairs p join best b on p.w = b.w where b.gone is null or p.i <> b.gone)
+   best as (select p >> 20 as w, min(k) as k from pairs group by 1)
+   select p.p, case when p.p & 1048575 = (b.k >> 20) & 1048575 then (b.k >> 40)::int else p.t end, (b.k is null)::int
+   from pairs p join best b on p.p >> 20 = b.w where b.k is null or p.p & 1048575 <> b.k & 1048575)
 )
-select w, list(t order by i) as ids from tk where done = 1 group by w order by w
+select p >> 20 as w, t from tk where done = 1 order by p
 """
 
 DECODE = """
@@ -116,13 +116,12 @@ class Encoder:
             if group and (w is None or rows > self.rows):
                 lens = np.fromiter(map(len, group), np.int64, len(group))
                 at = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
-                table_of(self.con, "bytes_of", {"w": np.repeat(np.arange(len(group), dtype=np.int32), lens), "i": at.astype(np.int32),
+                table_of(self.con, "bytes_of", {"p": (np.repeat(np.arange(len(group)), lens) << 20) + at,
                                                 "t": self.byte[np.frombuffer(b"".join(group), np.uint8)]})
                 got = self.con.sql(RECURSIVE).to_arrow_table()
-                ids = got.column("ids").combine_chunks()
-                flat, ends = ids.values.to_numpy().astype("<u4").tobytes(), ids.offsets.to_numpy() * 4
-                for k, w2 in zip(got.column("w").to_pylist(), range(len(group))):
-                    out[group[k]] = flat[ends[w2]:ends[w2 + 1]]
+                flat = got.column("t").to_numpy().astype("<u4").tobytes()
+                ends = [0, *np.cumsum(4 * np.bincount(got.column("w").to_numpy(), minlength=len(group))).tolist()]
+                out.update((w2, flat[a:b]) for w2, a, b in zip(group, ends, ends[1:]))
                 group, rows = [], 0
             if w is not None:
                 group.append(w)
@@ -176,8 +175,11 @@ class Encoder:
         pieces = {}  # (place, part) -> pre-tokens
         for p in new_first:
             pieces[0, p] = [x.encode() for x in self.find(p)]
-        for p in new_after:
-            pieces[1, p] = [x.encode() for x in self.find(" " + p)]
+        if new_after:  # one match of all: a space starts each part, and no part holds a space
+            found = [x.encode() for x in self.find(" " + " ".join(new_after))]
+            starts = [k for k, x in enumerate(found) if x.startswith(b" ")]
+            for p, i, j in zip(new_after, starts, [*starts[1:], len(found)], strict=True):
+                pieces[1, p] = found[i:j]
         for k, found in whole.items():
             pieces[2, k] = [x.encode() for x in found]
         need = {x for ps in pieces.values() for x in ps if x not in self.ranks}
