@@ -33,13 +33,6 @@ def table_fingerprint(df: DataFrame, cols: list[str], by: str | None = None) ->
     return df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def file_checksums(spark, path_glob: str) -> DataFrame:
-    """A6 per file: SHA-256 of each file's bytes (one file per row)."""
-    return (spark.read.format("binaryFile").load(path_glob)
-            .select(F.col("path"), F.col("length").alias("size_bytes"),
-                    F.sha2(F.col("content"), 256).alias("sha256")))
-
-
 def audit_basic(df: DataFrame, text: str = "text", label: str = "label") -> DataFrame:
     """Rows, missing texts, missing labels."""
     return df.agg(F.count("*").cast("long").alias("num_rows"),

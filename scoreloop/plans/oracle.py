@@ -269,6 +269,18 @@ FROM (SELECT len(regexp_extract_all(coalesce(text, 'nan'), '{PAT}')) + 2 AS n FR
 SQL["table_fingerprint"] = with_ctes(FE, DEDUP, TRAIN) + f"""
 SELECT source, CAST(count(*) AS BIGINT) AS num_rows, CAST(CAST(sum({ROWHASH}) AS DECIMAL(38,0)) AS VARCHAR) AS fingerprint
 FROM tset GROUP BY source"""
+SQL["text_tree"] = """
+WITH RECURSIVE b AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+s AS (SELECT doc_id, raw, octet_length(raw) AS size, greatest((octet_length(raw) + 255) // 256, 1) AS n FROM b),
+leaf AS (SELECT doc_id, size, n, k, sha256(raw[k * 256 + 1 : k * 256 + 256]) AS h
+         FROM (SELECT doc_id, raw, size, n, unnest(range(n)) AS k FROM s) x),
+tree AS (
+  SELECT doc_id, size, n, n AS left_, k, h FROM leaf
+  UNION ALL
+  SELECT doc_id, size, n, (left_ + 3) // 4, k // 4, sha256(string_agg(h, '' ORDER BY k))
+  FROM tree WHERE left_ > 1 GROUP BY doc_id, size, n, left_, k // 4
+)
+SELECT doc_id, CAST(size AS BIGINT) AS n_bytes, CAST(n AS BIGINT) AS n_chunks, h AS root FROM tree WHERE left_ = 1"""
 SQL["lineage_join"] = with_ctes(FE, DEDUP, TRAIN, DSR, MR) + """,
 j AS (SELECT mr.run_id, mr.dataset_run_id, d.num_rows, d.label_mean, d.label_std, d.label_min, d.label_max,
              d.dataset_run_id IS NOT NULL AS found

@@ -236,6 +236,7 @@ def q_validation_report(spark, sf_dir):
 # ---------------------------------------------------------------- E9, E10, A6, D2, D3: audit and lineage
 
 from scoreloop.operators import audit as AU  # noqa: E402
+from scoreloop.sources import checksum as CS  # noqa: E402
 
 
 @query("audit_basic")
@@ -260,10 +261,22 @@ def q_table_fingerprint(spark, sf_dir):
 
 @query("file_checksum")
 def q_file_checksum(spark, sf_dir):
-    return AU.file_checksums(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(
+    return CS.file_checksums(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(
         F.element_at(F.split("path", "/"), -1).alias("file"), "size_bytes", "sha256")
 
 
+@query("file_tree")
+def q_file_tree(spark, sf_dir):
+    return CS.file_tree(spark, f"{sf_dir.rstrip('/')}/*.parquet").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"), "size_bytes", "n_chunks", "root")
+
+
+@query("text_tree")
+def q_text_tree(spark, sf_dir):
+    """The tree of ``file_tree`` over the bytes of each text, with small chunks and few children."""
+    return CS.text_tree(table(spark, sf_dir, "documents"), "doc_id", "text", chunk=256, fanout=4)
+
+
 @query("lineage_join")
 def q_lineage_join(spark, sf_dir):
     j = AU.lineage_join(FX.model_runs(spark, sf_dir), FX.dataset_runs(spark, sf_dir))

@@ -57,4 +57,4 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_sql_or_is_rows_only():
     rows_only = set(QUERIES) - set(E.oracle_sql())
-    assert rows_only == {"file_checksum", "train_score_model", "score_ml", "retrain_report"}
+    assert rows_only == {"file_checksum", "file_tree", "train_score_model", "score_ml", "retrain_report"}
