@@ -13,7 +13,7 @@
    blocks. Whole rounds of the quota take every word once; the rest takes the
    blocks that a seeded permutation of the block numbers (a * b + c mod n)
    places first. No block becomes a row: a document sums over the blocks it
-   overlaps.
+   overlaps. ``dealt`` gives every shard its quota of the selected blocks.
 
 Word positions come from a two-level prefix sum: 4096 seeded buckets per
 source, then rows inside a bucket, so a source with a third of all rows is
@@ -128,6 +128,27 @@ def plan(docs: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPEAT, block:
                     "rounds", pick.alias("pick"), "quota")
 
 
+def dealt(d: DataFrame) -> DataFrame:
+    """The words of ``plan``'s rows dealt to the shards by the quotas: the columns of ``d``,
+    ``shard`` and ``shard_words``, one row per document and shard that gets words of it.
+
+    A source's seats are the places of its permuted blocks, round after round; every shard
+    owns as many of them as its quota says, in shard order. The last shard takes the few seats beyond
+    all quotas (a source's last block may be short). A document's words add up to ``taken``. No
+    shuffle: each document's blocks know their seats. Columns named shard or shard_words are replaced."""
+    seats = F.expr("""flatten(transform(sequence(pick.pos div pick.block, (pick.pos + size - 1) div pick.block), b ->
+        transform(filter(sequence(0L, rounds), r -> r < rounds or (pick.mul * b + pick.add) % pick.n_blocks < pick.extra), r ->
+            struct(r * pick.n_blocks + (pick.mul * b + pick.add) % pick.n_blocks as seat,
+                   least((b + 1) * pick.block, pick.pos + size) - greatest(b * pick.block, pick.pos) as words))))""")
+    shares = F.expr("""filter(transform(sequence(1, size(quota)), k -> struct(k - 1 as shard,
+        aggregate(filter(_seats, s -> s.seat >= aggregate(slice(quota, 1, k - 1), 0L, (a, x) -> a + x)
+                                      and (k = size(quota) or s.seat < aggregate(slice(quota, 1, k), 0L, (a, x) -> a + x))),
+                  0L, (a, s) -> a + s.words) as shard_words)), x -> x.shard_words > 0)""")
+    d = d.drop("shard", "shard_words").filter("taken > 0").withColumn("_seats", seats)
+    return (d.withColumn("_share", F.explode(shares)).drop("_seats")
+            .withColumn("shard", F.col("_share.shard")).withColumn("shard_words", F.col("_share.shard_words")).drop("_share"))
+
+
 def taken_texts(d: DataFrame, text: str = "text") -> DataFrame:
     """One row per copy the mix takes: ``rounds`` times the whole text, then, if only
     some blocks of it are taken once more, those words joined by spaces (all: the text as it is)."""

@@ -121,6 +121,41 @@ def test_mix_targets_and_limits(spark):
     assert mixing.plan(edge.empty(spark).withColumn("size", mixing.n_words())).count() == 0
 
 
+@pytest.mark.parametrize("weights", [(5.0, 2.0, 1.0), (40.0, 1.0)])
+def test_dealt_words_follow_the_quotas(spark, weights):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("size", mixing.n_words()).withColumn("shard", F.lit("mine"))
+    out = mixing.plan(docs.select("doc_id", "source", "size", "shard"), weights=weights).cache()
+    got = mixing.dealt(out).select("doc_id", "source", "shard", "shard_words", "taken").collect()
+    assert all(r.shard_words > 0 and 0 <= r.shard < mixing.SHARDS for r in got)
+    words, per = Counter(), Counter()
+    for r in got:
+        words[r.doc_id] += r.shard_words
+        per[r.source, r.shard] += r.shard_words
+    assert words == Counter({r.doc_id: r.taken for r in out.filter("taken > 0").collect()})
+    quota = {r.source: r.quota for r in out.select("source", "quota").distinct().collect()}
+    assert max(r.rounds for r in out.select("rounds").distinct().collect()) >= 1
+    for source, q in quota.items():
+        for k, n in enumerate(q):
+            assert abs(per[source, k] - n * mixing.BLOCK) <= 4 * mixing.BLOCK, (source, k)
+    assert mixing.dealt(out.limit(0)).count() == 0
+
+
+def test_dealt_blocks_against_brute_force(spark):
+    out = mixing.plan(edge.docs(spark).withColumn("size", mixing.n_words()).select("doc_id", "source", "size", "text")).cache()
+    want = Counter()
+    for r in out.collect():
+        k, ends = r.pick, [sum(r.quota[:j + 1]) for j in range(len(r.quota) - 1)]
+        for word in range(k.pos, k.pos + r.size):
+            place = (k.mul * (word // k.block) + k.add) % k.n_blocks
+            for t in range(r.rounds + (place < k.extra)):
+                seat = t * k.n_blocks + place
+                want[r.doc_id, r.size, sum(seat >= e for e in ends)] += 1
+    got = Counter()
+    for r in mixing.dealt(out).collect():
+        got[r.doc_id, r["size"], r.shard] += r.shard_words
+    assert got == want
+
+
 def test_quotas_match_highest_quotients(spark):
     rnd = random.Random(9)
     goals = [rnd.choice([0.0, 160.0, 1000.0, rnd.uniform(0, 9000)]) for _ in range(13)]
