@@ -84,17 +84,7 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
         incoming = materialize(numbered(incoming))
     x = incoming.withColumn("_elig", elig)
     first = first_arrival(x, [key, "_elig"])
-    # probe the store only for this batch's keys: the batch key set (size-checked,
-    # broadcast when small) filters the store's key column map-side, so only
-    # matching keys reach the shuffle -- not the whole store per batch
-    # (a ``KeyIndex`` reads only the folders of these keys)
-    from scoreloop.sources.keyindex import KeyIndex
-
-    if isinstance(store, KeyIndex):
-        stored = store.seen(x.select(key))
-    else:
-        batch_keys = bounded_lookup(x.select(key).filter(F.col(key).isNotNull()).distinct())
-        stored = store.select(key).join(batch_keys, key, "left_semi").distinct()
+    stored = stored_keys(x, store, key)
     stored = stored.withColumn("_stored", F.lit(True))
     per_key = first.join(stored, key, "left")
     x = x.join(per_key, [x[key].eqNullSafe(per_key[key]), x["_elig"] == per_key["_elig"]], "left") \
@@ -103,11 +93,41 @@ def flag_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash
     return x.withColumn("is_duplicate", dup).drop("_elig", "_first_row", "_stored")
 
 
+def stored_keys(keys: DataFrame, store, key: str = "text_hash") -> DataFrame:
+    """The distinct ``key`` values of ``keys`` that the store (a table or its ``KeyIndex``) holds. The store is probed only for
+    these keys: size-checked, broadcast when small, they filter the store's key column map-side, so only matching keys reach
+    the shuffle -- not the whole store per batch (a ``KeyIndex`` reads only the folders of these keys)."""
+    from scoreloop.sources.keyindex import KeyIndex
+
+    if isinstance(store, KeyIndex):
+        return store.seen(keys.select(key))
+    batch_keys = bounded_lookup(keys.select(key).filter(F.col(key).isNotNull()).distinct())
+    return store.select(key).join(batch_keys, key, "left_semi").distinct()
+
+
 def split_new_and_duplicates(incoming: DataFrame, store: DataFrame, key: str = "text_hash"):
-    """(new, duplicates): first arrival per key not yet stored, and the rest."""
-    f = flag_duplicates(incoming, store, key)
-    return (f.filter(~F.col("is_duplicate")).drop("is_duplicate", "_row"),
-            f.filter("is_duplicate").drop("is_duplicate", "_row"))
+    """(new, duplicates): first arrival per key not yet stored, and the rest. The first arrivals come whole out
+    of one aggregate: not every row travels to its key. Texts are best left behind (``with_texts``)."""
+    from scoreloop.operators.gates import first_rows
+
+    if "_row" not in incoming.columns:  # a redelivered request may repeat key, time and id
+        incoming = materialize(numbered(incoming))
+    first = first_rows(incoming, key)
+    new = first.join(stored_keys(first, store, key), key, "left_anti").select(*[f"`{c}`" for c in incoming.columns])
+    return new.drop("_row"), incoming.join(new.select("_row"), "_row", "left_anti").select(*[f"`{c}`" for c in incoming.columns if c != "_row"])
+
+
+def with_texts(new: DataFrame, requests: DataFrame, key: str = "text_hash", text: str = "text") -> DataFrame:
+    """``new`` (one row a key, written before) with the text of its key, taken from ``requests``, whose ids must not change
+    when they are read again. Only requests with an id of ``new`` give their text: Spark filters them where
+    the ids are scanned, so of all copies of a text about one travels."""
+    if new.isEmpty():  # nothing new: no text is read
+        return new.withColumn(text, F.lit(None).cast("string"))
+    wanted = F.col("id").isin(new.select("id"))
+    if not new.filter("id is null").isEmpty():
+        wanted = wanted | F.col("id").isNull()
+    own = requests.filter(wanted).select(key, text)
+    return new.join(own.groupBy(key).agg(F.any_value(text).alias(text)), key, "left")
 
 
 def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str = "text_hash",
