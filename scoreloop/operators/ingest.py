@@ -152,19 +152,17 @@ def ingest_batch(incoming: DataFrame, store: DataFrame, profile, langs, key: str
 def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp: Column | None = None,
                   prepared: bool = False) -> DataFrame:
     """Rows to append to the store (A8 input): accepted requests with hash,
-    target (B2, as the insert trigger would set it) and time stamp."""
-    r = incoming.withColumn("text_hash", S.text_hash("text"))
-    r = r.filter(shape_reason().isNull())
-    texts = r.select("text_hash", "text")
-    r = L.with_language(r, profile, langs, key="text_hash", prepared=prepared).filter(L.language_reason().isNull())
-    # judged without texts, once; the texts of the few accepted rows (one a hash) join at the write
+    target (B2, as the insert trigger would set it) and time stamp. Ids must
+    not change when ``incoming`` is read again (write ``stamped`` requests first)."""
+    r = incoming.withColumn("text_hash", S.text_hash("text")).filter(shape_reason().isNull())
+    # judged without texts; the language is a function of the text, so one text a new key is read for it
     new, _ = split_new_and_duplicates(materialize(numbered(r.drop("text"))), store)
-    new = materialize(new)
-    own = texts.join(bounded_lookup(new.select("text_hash")), "text_hash", "left_semi")
-    new = new.join(own.groupBy("text_hash").agg(F.any_value("text").alias("text")), "text_hash")
+    new = with_texts(materialize(new), r)
+    new = L.with_language(new, profile, langs, key="text_hash", prepared=prepared, unique_keys=True).filter(L.language_reason().isNull())
     ts = stamp if stamp is not None else F.col("event_timestamp")
-    return new.select("id", "text", "text_hash", "model_score", "user_feedback", "model_version",
-                      ts.alias("event_timestamp"), S.target_from_feedback("user_feedback").alias("target_score"))
+    # written once: the append probes their keys before it writes them
+    return materialize(new.select("id", "text", "text_hash", "model_score", "user_feedback", "model_version",
+                                  ts.alias("event_timestamp"), S.target_from_feedback("user_feedback").alias("target_score")))
 
 
 def predict_batch(docs: DataFrame, profile, langs, weights: DataFrame, key: str = "id",
