@@ -3,8 +3,8 @@
 The profile is kept under a root folder by the fingerprint of its training rows, so every job that
 asks for the same rows reads the same table; it is built once. Within the broadcast bound it goes to the
 tasks as two arrays (sorted gram codes, a row of log-probabilities each), and a text is scored where it is read:
-its grams are looked up and the rows of the known ones added up. No gram becomes a row, no text
-and no language travels. Beyond the bound callers keep the join of ``operators.lang``.
+its grams are looked up and the rows of the known ones added up, ``STEP`` characters at a time. No gram becomes a row,
+no text and no language travels. Beyond the bound callers keep the join of ``operators.lang``.
 """
 
 from __future__ import annotations
@@ -24,8 +24,10 @@ from scoreloop.sources.files import path_exists
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Characters of text whose grams are counted at once.
-STEP = 4_000_000
+#: Characters of text whose grams are looked at together: a task's arrays take about 150 bytes for each.
+STEP = 250_000
+#: Counted grams a task holds before it passes them on.
+HELD = 200_000
 
 
 def gram_codes(texts):
@@ -49,15 +51,40 @@ def code_of(gram: str) -> int:
     return a << 42 | b << 21 | c
 
 
-def pieces(sizes, most: int = STEP):
-    at, n = 0, 0
-    for k, s in enumerate(sizes):
-        n += s or 0
-        if n >= most:
-            yield at, k + 1
-            at, n = k + 1, 0
-    if at < len(sizes):
-        yield at, len(sizes)
+def parts(texts):
+    """(rows, strings) of about ``STEP`` characters. A longer text is cut, each cut with the two characters after it:
+    every gram lies in exactly one string."""
+    rows, strings, size = [], [], 0
+    for row, t in enumerate(texts):
+        for at in range(0, len(t or "") - 2, STEP):
+            rows.append(row)
+            strings.append(t[at:at + STEP + 2])
+            size += len(strings[-1])
+            if size >= STEP:
+                yield rows, strings
+                rows, strings, size = [], [], 0
+    if rows:
+        yield rows, strings
+
+
+class Counts:
+    """Counts of gram codes, added up as sorted arrays."""
+
+    def __init__(self):
+        self.found, self.size = [], 0
+
+    def add(self, codes, n):
+        self.found.append((codes, n))
+        self.size += len(codes)
+        if self.size > HELD:
+            self.merge()
+
+    def merge(self):
+        codes, back = np.unique(np.concatenate([c for c, _ in self.found]), return_inverse=True)
+        n = np.zeros(len(codes), np.int64)
+        np.add.at(n, back, np.concatenate([n for _, n in self.found]))
+        self.found, self.size = [(codes, n)], len(codes)
+        return codes, n
 
 
 def gram_counts(train: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -67,14 +94,24 @@ def gram_counts(train: DataFrame, text: str = "text", lang: str = "lang") -> Dat
     def run(batches):
         import pyarrow as pa
 
+        held = {}
+
+        def told(name):
+            codes, n = held.pop(name).merge()
+            for i in range(0, len(codes), 10_000):
+                grams = [gram_of(c) for c in codes[i:i + 10_000].tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(grams), pa.string()), pa.array(grams, pa.string()),
+                                                  pa.array(n[i:i + 10_000])], names=["lang", "gram", "n"])
+
         for b in batches:
-            langs, texts = np.array(b.column(0).to_pylist(), object), b.column(1).to_pylist()
+            langs = np.array(b.column(0).to_pylist(), object)
             for name in sorted(set(langs.tolist())):
-                own = [texts[i] for i in np.nonzero(langs == name)[0]]
-                for i, j in pieces([len(x) for x in own]):
-                    codes, n = np.unique(gram_codes(own[i:j])[1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(codes), pa.string()), pa.array([gram_of(c) for c in codes.tolist()], pa.string()),
-                                                      pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+                for _, strings in parts(b.column(1)[i].as_py() for i in np.nonzero(langs == name)[0].tolist()):
+                    held.setdefault(name, Counts()).add(*np.unique(gram_codes(strings)[1], return_counts=True))
+                    while held and sum(c.size for c in held.values()) > HELD:
+                        yield from told(max(held, key=lambda x: held[x].size))
+        for name in sorted(held):
+            yield from told(name)
 
     return t.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
@@ -122,17 +159,20 @@ class Profile:
         order = np.argsort(codes)
         return cls(list(got[0]["langs"]), codes[order], np.array([r["logp"] for r in got])[order])
 
-    def languages_of(self, texts) -> list:
-        """The best language of each lower-cased text; None where no gram is known."""
-        if not len(self.codes) or not len(texts):
-            return [None] * len(texts)
-        row, code = gram_codes(texts)
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        hit = self.codes[at] == code
-        row, at = row[hit], at[hit]
-        sums = np.stack([np.bincount(row, self.logp[at, k], len(texts)) for k in range(len(self.langs))], axis=1)
-        best, known = sums.argmax(axis=1), np.bincount(row, minlength=len(texts)) > 0  # ties: the first language
-        return [self.langs[i] if k else None for i, k in zip(best, known)]
+    def languages_of(self, texts, size: int) -> list:
+        """The best language of each of ``size`` lower-cased texts; None where no gram is known."""
+        sums, known = np.zeros((size, len(self.langs))), np.zeros(size, bool)
+        for rows, strings in parts(texts) if len(self.codes) else ():
+            row, code = gram_codes(strings)
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[at] == code
+            row, at = row[hit], at[hit]
+            for k in range(len(self.langs)):
+                np.add.at(sums[:, k], rows, np.bincount(row, self.logp[at, k], len(strings)))
+            known[np.array(rows)[np.bincount(row, minlength=len(strings)) > 0]] = True
+        if not self.langs:
+            return [None] * size
+        return [self.langs[i] if k else None for i, k in zip(sums.argmax(axis=1), known)]  # ties: the first language
 
 
 def detect_rows(df: DataFrame, profile: Profile, text: str = "text", out: str = "detected_lang", *keep: str) -> DataFrame:
@@ -145,8 +185,7 @@ def detect_rows(df: DataFrame, profile: Profile, text: str = "text", out: str =
 
         own = Profile(*shared.value)
         for b in batches:
-            texts = b.column(len(keep)).to_pylist()
-            found = [x for i, j in pieces([len(t or "") for t in texts]) for x in own.languages_of(texts[i:j])]
+            found = own.languages_of((t.as_py() for t in b.column(len(keep))), b.num_rows)
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in range(len(keep))], pa.array(found, pa.string())], names=[*keep, out])
 
     return df.select(*keep, F.lower(text).alias("_t")).mapInArrow(run, f"{schema}, `{out}` string")

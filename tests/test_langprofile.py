@@ -63,3 +63,19 @@ def test_codes_round_trip():
         assert LP.gram_of(LP.code_of(g)) == g
         row, code = LP.gram_codes([None, "", "ab", g, g + "z"])
         assert row.tolist() == [3, 4, 4] and LP.gram_of(int(code[0])) == g
+
+
+def test_long_texts_are_looked_at_in_parts(spark, monkeypatch):
+    texts = ["der " * 300 + "the", None, "the " * 40, "", "ab", "der"] * 3
+    d = spark.createDataFrame([(i, t, ("de", "en")[i % 2]) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    want = {(r.lang, r.gram): r.n for r in L.profile_counts(d).collect()}
+    whole = LP.Profile.load(LP.profile_arrays(LP.gram_counts(d)))
+    found = whole.languages_of(texts, len(texts))
+    seen, real = [], LP.gram_codes
+    monkeypatch.setattr(LP, "STEP", 50)
+    monkeypatch.setattr(LP, "gram_codes", lambda x: seen.append(sum(map(len, x))) or real(x))
+    assert whole.languages_of(iter(texts), len(texts)) == found and found[1] is None
+    assert len(seen) > 60 and max(seen) <= 2 * 52  # a text of 1,203 characters is never in memory as arrays at once
+    monkeypatch.setattr(LP, "gram_codes", real)
+    monkeypatch.setattr(LP, "HELD", 5)
+    assert {(r.lang, r.gram): r.n for r in LP.gram_counts(d).collect()} == want
