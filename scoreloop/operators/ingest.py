@@ -165,7 +165,7 @@ def accepted_rows(incoming: DataFrame, store: DataFrame, profile, langs, stamp:
                                   ts.alias("event_timestamp"), S.target_from_feedback("user_feedback").alias("target_score")))
 
 
-def predict_batch(docs: DataFrame, profile, langs, weights: DataFrame, key: str = "id",
+def predict_batch(docs: DataFrame, profile, langs, weights, key: str = "id",
                   text: str = "text", prepared: bool = False) -> DataFrame:
     """I3 batch form: language gate, linear score, band; rejected texts get
     a reason and no score. Keys are request ids (unique).

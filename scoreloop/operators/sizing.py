@@ -17,8 +17,8 @@ from scoreloop.config import SIZING
 from scoreloop.session import ensure_checkpoint_dir
 
 
-def measured(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of ``df``: strings and binaries by their real length, one aggregate."""
+def row_bytes(df: DataFrame):
+    """Bytes of a row of ``df``: strings and binaries by their real length."""
     size = F.lit(16)
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -30,7 +30,12 @@ def measured(df: DataFrame) -> tuple[int, int]:
             size = size + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) * 2
         else:
             size = size + 8
-    n, total = df.agg(F.count("*"), F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()
+    return size.cast("long")
+
+
+def measured(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, one aggregate."""
+    n, total = df.agg(F.count("*"), F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()
     return n, total
 
 
@@ -47,6 +52,28 @@ def bounded_lookup(df: DataFrame, max_rows: int | None = None, max_bytes: int |
     return F.broadcast(df) if small else df
 
 
+def tiered_lookup(df: DataFrame, weight: str | None = None, max_rows: int | None = None,
+                  max_bytes: int | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """(rows to broadcast, the others or None): all rows within the bounds of ``bounded_lookup``, else those with the
+    greatest ``weight`` (a count) that keep within them, in steps of powers of two (at most 64 rows are counted)."""
+    limit = SIZING.max_broadcast_rows if max_rows is None else max_rows
+    byte_limit = SIZING.max_broadcast_bytes if max_bytes is None else max_bytes
+    df = materialize(df)
+    n, total = measured(df)
+    if n <= limit and total <= byte_limit:
+        return F.broadcast(df), None
+    if weight is None:
+        return F.broadcast(df.limit(0)), df
+    level = F.coalesce(F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)))), F.lit(0)).cast("int")
+    cut, rows, size = 64, 0, 0
+    for r in sorted(df.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.sum(row_bytes(df)).alias("b")).collect(), reverse=True):
+        rows, size = rows + r["n"], size + r["b"]
+        if rows > limit or size > byte_limit:
+            break
+        cut = r["level"]
+    return F.broadcast(df.filter(level >= cut)), df.filter(level < cut)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back:
     later uses (several aggregates, scalar subqueries) scan the result

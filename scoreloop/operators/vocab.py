@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scoreloop.config import TOKEN_BOS, TOKEN_EOS, TOKEN_PAD, TOKEN_UNK, TRAINING
 from scoreloop.functions.tokens import tokens
-from scoreloop.operators.sizing import bounded_lookup, global_rank
+from scoreloop.operators.sizing import bounded_lookup, global_rank, tiered_lookup
 
 FIRST_ID = TOKEN_UNK + 1
 
@@ -45,24 +45,32 @@ def encode_fixed(df: DataFrame, vocab: DataFrame, key: str = "id", text: str = "
 
 
 def token_weights(labelled: DataFrame, text: str = "text", label: str = "quality") -> DataFrame:
-    """B15a weights: per token ln((n_pos + 1) / (n_neg + 1)) over labelled texts."""
+    """B15a weights: per token ln((n_pos + 1) / (n_neg + 1)) over labelled texts, and ``n``, how often it was met there."""
     t = labelled.select(F.col(label).alias("y"), F.explode(tokens(text)).alias("token"))
     return t.groupBy("token").agg(
         F.log((F.count_if(F.col("y") == 1) + 1).cast("double") /
-              (F.count_if(F.col("y") == 0) + 1).cast("double")).alias("w"))
+              (F.count_if(F.col("y") == 0) + 1).cast("double")).alias("w"), F.count("*").alias("n"))
 
 
-def score_linear(df: DataFrame, weights: DataFrame, key: str = "id", text: str = "text",
+def prepare_weights(weights: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(weights to broadcast, the others): written once; beyond the broadcast bound the tokens met least often are the others."""
+    return tiered_lookup(weights, "n" if "n" in weights.columns else None)
+
+
+def score_linear(df: DataFrame, weights, key: str = "id", text: str = "text",
                  prepared: bool = False) -> DataFrame:
     """score = sigmoid(mean token weight), unknown tokens weigh 0, a
     text without tokens scores 0.5. The weight table is size-checked before
-    it is broadcast; each text's rows collapse map-side in the aggregation."""
-    w = weights if prepared else bounded_lookup(weights)
-    # one row per (text, token) before the join: beyond the broadcast bound the
-    # shuffle join moves distinct tokens, not every occurrence
-    t = (df.select(key, F.explode_outer(tokens(text)).alias("token"))
-         .groupBy(key, "token").agg(F.count("token").alias("c")))
-    j = t.join(w, "token", "left")
-    s = j.groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0)) * F.col("c")).alias("sw"), F.sum("c").alias("nt"))
+    it is broadcast (``prepared``: by ``prepare_weights``): a text's tokens are weighed where it is
+    read and collapse map-side to one row. Beyond the bound only tokens that are not among the
+    broadcast ones travel to the others."""
+    often, seldom = weights if prepared else prepare_weights(weights)
+    t = df.select(key, F.explode_outer(tokens(text)).alias("token"))
+    j = t.join(often.select("token", "w", F.lit(True).alias("found")), "token", "left")
+    s = j.groupBy(key).agg(F.sum(F.coalesce("w", F.lit(0.0))).alias("sw"), F.count("token").alias("nt"))
+    if seldom is not None:
+        rest = j.filter(F.col("found").isNull() & F.col("token").isNotNull()).select(key, "token")
+        own = rest.join(seldom.select("token", "w"), "token").groupBy(key).agg(F.sum("w").alias("sw"), F.lit(0).cast("long").alias("nt"))
+        s = s.unionByName(own).groupBy(key).agg(F.sum(F.coalesce("sw", F.lit(0.0))).alias("sw"), F.sum("nt").alias("nt"))
     mean = F.when(F.col("nt") > 0, F.col("sw") / F.col("nt")).otherwise(F.lit(0.0))
     return s.select(key, (F.lit(1.0) / (F.lit(1.0) + F.exp(-mean))).alias("score"))

@@ -465,7 +465,9 @@ def _profile(spark, sf_dir):
 
 
 def _weights(spark, sf_dir):
-    lab = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+    from scoreloop.operators.sizing import bounded_lookup
+    # the labels go to the texts
+    lab = _docs(spark, sf_dir).select("doc_id", "text").join(bounded_lookup(table(spark, sf_dir, "labels").select("doc_id", "quality")), "doc_id")
     return VO.token_weights(lab)
 
 
@@ -507,8 +509,7 @@ def q_score_linear(spark, sf_dir):
 @query("predict_pipeline")
 def q_predict_pipeline(spark, sf_dir):
     prof, langs = _profile(spark, sf_dir)
-    from scoreloop.operators.sizing import bounded_lookup
-    return IN.predict_batch(_docs(spark, sf_dir), prof, langs, bounded_lookup(_weights(spark, sf_dir)),
+    return IN.predict_batch(_docs(spark, sf_dir), prof, langs, VO.prepare_weights(_weights(spark, sf_dir)),
                             key="doc_id", prepared=True)
 
 

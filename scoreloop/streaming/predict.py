@@ -13,10 +13,10 @@ from scoreloop.operators.ingest import predict_batch
 def start_predict(texts: DataFrame, sink_path: str, checkpoint_path: str, profile: DataFrame,
                   langs: list[str], weights: DataFrame, key: str = "id", trigger: dict | None = None):
     from scoreloop.operators.lang import prepare_profile
-    from scoreloop.operators.sizing import bounded_lookup
+    from scoreloop.operators.vocab import prepare_weights
 
     profile = prepare_profile(profile)        # once per stream
-    weights = bounded_lookup(weights)
+    weights = prepare_weights(weights)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         out = predict_batch(batch, profile, langs, weights, key=key, prepared=True).withColumn("batch_id", F.lit(batch_id).cast("long"))

@@ -61,3 +61,29 @@ def test_score_linear_in_unit_interval(spark):
     s = VO.score_linear(docs, VO.token_weights(lab), key="doc_id")
     r = s.agg(F.min("score"), F.max("score"), F.count("*")).first()
     assert 0 < r[0] <= r[1] < 1 and r[2] == docs.count()
+
+
+def test_score_linear_beyond_the_bound_moves_only_rare_tokens(spark, monkeypatch):
+    import dataclasses
+
+    from scoreloop.operators import sizing as SZ
+
+    data = [(1, "aa bb aa cc", 1), (2, "aa dd", 1), (3, "bb bb aa", 0), (4, "ee aa zz zz", 0), (4, "aa dd", 1), (5, None, 1), (6, "", 0), (None, "aa cc qq", 0)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, quality int")
+    w = VO.token_weights(docs.filter("doc_id < 4"))
+    rows = lambda: sorted((r.doc_id or 0, round(r.score, 9)) for r in VO.score_linear(docs, w, key="doc_id").collect())
+    want = rows()
+    assert len(want) == 7 and VO.prepare_weights(w)[1] is None  # a row a key
+    for most in (0, 1, 4):
+        monkeypatch.setattr(SZ, "SIZING", dataclasses.replace(SZ.SIZING, max_broadcast_rows=most))
+        often, seldom = VO.prepare_weights(w)
+        assert often.count() <= most and often.count() + seldom.count() == w.count() and rows() == want
+    assert 0 < often.count() and often.agg(F.min("n")).first()[0] > seldom.agg(F.max("n")).first()[0]
+
+
+def test_score_linear_shuffles_a_row_a_text(spark):
+    docs = spark.read.parquet(DOCS)
+    w = VO.prepare_weights(VO.token_weights(docs.withColumn("quality", F.lit(1))))
+    plan = VO.score_linear(docs, w, key="doc_id", prepared=True)._jdf.queryExecution().executedPlan().toString()
+    keys = [line.split("Exchange hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert keys and all("token" not in k for k in keys)  # no token travels
