@@ -61,3 +61,37 @@ def test_batch_rule_edges(spark):
     assert U.unique_batch(empty).count() == 0
     nulls = spark.createDataFrame([(1, None, None), (2, "x", None), (2, "x", None)], SCHEMA)
     assert [(r.id, r.copies, r.kept) for r in U.unique_batch(nulls).collect()] == [(2, 2, True)]
+
+
+def test_keys_of_a_bucket_share_their_state(spark, tmp_dir, monkeypatch):
+    """The state store is called once a bucket, not once a key; one bucket gives what many give."""
+    data = rows(3)
+    monkeypatch.setattr(U, "BUCKETS", 1)
+    stored = spark.createDataFrame([("b",)], "text string").select(F.sha2("text", 256).alias("text_hash"))
+    got = stream(spark, tmp_dir, [data[:30], data[30:]], stored)
+    assert got == sorted(tuple(r) for r in U.unique_batch(spark.createDataFrame(data, SCHEMA), stored).collect())
+
+
+def test_state_calls_follow_buckets():
+    import pandas as pd
+
+    class Value:
+        value, calls = None, 0
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value, self.calls = value, self.calls + 1
+
+    p = U.FirstArrival()
+    p.holders = Value()
+    p.handleInitialState((0,), pd.DataFrame({"text_hash": ["s"]}), None)
+    chunk = pd.DataFrame({"text_hash": [f"k{i % 500}" for i in range(1000)] + ["s"], "at": [-i for i in range(1000)] + [-9999], "id": range(1001)})
+    out = pd.concat(p.handleInputRows((0,), iter([chunk]), None))
+    assert p.holders.calls == 2 and len(p.holders.value[0]) == 501
+    assert out["decision"].value_counts().to_dict() == {"duplicate": 501, "kept": 500}
+    assert set(out[out["decision"] == "kept"]["id"]) == set(range(500, 1000))
