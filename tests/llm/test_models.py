@@ -256,6 +256,26 @@ def test_gru_vocabulary_grows_with_the_corpus(spark):
         assert abs((slope[0] - slope[1]) / 2e-5 - g[i]) < 1e-8
 
 
+def test_gru_works_in_pieces_of_bounded_size(monkeypatch):
+    import tracemalloc
+
+    head = grulm.vocabulary(3_400_000)
+    rng = np.random.default_rng(8)
+    net = grulm.Gru(rng.normal(0, 0.1, sum(int(np.prod(s)) for _, s in grulm.Gru.shapes(head))).astype(np.float32), head)
+    codes = np.minimum(rng.zipf(1.2, (33, 256)) - 1, head + grulm.BINS)  # one class with most tokens, many with a few
+    h = np.zeros((256, grulm.HIDDEN), np.float32)
+    tracemalloc.start()
+    net.parts(codes[:-1], codes[1:], h)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    net = grulm.Gru(net.theta.astype(np.float64), head)
+    g, state, loss = net.gradient(codes[:-1], codes[1:], h.astype(np.float64))
+    monkeypatch.setattr(grulm, "CACHED", 1 << 40)
+    whole = net.gradient(codes[:-1], codes[1:], h.astype(np.float64))
+    assert np.abs(whole[0] - g).max() < 1e-12 and np.abs(whole[1] - state).max() < 1e-12 and abs(whole[2] - loss) < 1e-12
+
+
 def encoding():
     raw, pattern = public_vocabulary()
     return raw, pattern, tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(raw), special_tokens={})
