@@ -276,6 +276,12 @@ def test_gru_works_in_pieces_of_bounded_size(monkeypatch):
     assert np.abs(whole[0] - g).max() < 1e-12 and np.abs(whole[1] - state).max() < 1e-12 and abs(whole[2] - loss) < 1e-12
 
 
+def test_gru_learns_from_a_window_without_head_words():
+    rng = np.random.default_rng(9)
+    net = grulm.Gru(rng.normal(0, 0.1, sum(int(np.prod(s)) for _, s in grulm.Gru.SHAPES)))
+    assert net.fit(np.full(40, grulm.CODES - 1)) == 39 and np.isfinite(net.theta).all()
+
+
 def encoding():
     raw, pattern = public_vocabulary()
     return raw, pattern, tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(raw), special_tokens={})
